@@ -1,0 +1,44 @@
+"""Finding the few group keys that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+MAX_HOT_KEYS = 10_000
+HOT_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys of the largest groups above ``hot_rows`` rows, at most MAX_HOT_KEYS of them.
+
+    The limit is the size proof for broadcasting the result. It loses nothing: a group that is
+    not among the largest MAX_HOT_KEYS holds less than 1/MAX_HOT_KEYS of all rows and is left to
+    the ordinary shuffle. Counting combines on the map side and reads the key columns only.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    largest = counts.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), *keys)
+    return largest.limit(MAX_HOT_KEYS).drop("_rows")
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Null-safe key equality, so that null keys form one group as in groupBy."""
+    return reduce(and_, [left[k].eqNullSafe(right[f"_hot_{k}"]) for k in keys])
+
+
+def split_hot(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary groups and rows of hot groups.
+
+    With no hot group the broadcast side is empty at run time and adaptive execution removes the
+    hot branch before it scans anything.
+    """
+    hot = hot_keys(df, keys, hot_rows)
+    hot = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
+    match = same_keys(df, hot, keys)
+    return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
