@@ -91,7 +91,8 @@ def response_labels(ids: Column, marker: Sequence[int]) -> Column:
         lambda at: _matches(ids, at, marker),
     )
     end = F.coalesce(F.array_max(starts) + (len(marker) - 1), F.size(ids))
-    return F.transform(ids, lambda x, i: F.when(i < end, IGNORED_LABEL).otherwise(x))
+    # a lambda over the ids would work out `end` again for every element
+    return F.concat(F.array_repeat(F.lit(IGNORED_LABEL), end), F.slice(ids, end + 1, F.size(ids)))
 
 
 def _matches(ids: Column, at: Column, marker: Sequence[int]) -> Column:

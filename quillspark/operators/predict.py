@@ -37,43 +37,53 @@ def drop_blank_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.where(~is_blank(F.col(value))).withColumn(value, strip(F.col(value)))
 
 
-def parse_record(line: Column) -> Column:
-    """Top-level fields of a line holding exactly one JSON object, else null.
+def parse_records(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``record``: the top-level fields of a line holding exactly one JSON object, else null.
 
     from_json stops after the first value and would accept trailing text. Inside brackets any
     trailing text is an error or a second element, unless it closes the bracket itself; that
     remainder is an error inside braces.
     """
-    elements = F.from_json(
-        F.concat(F.lit("["), line, F.lit("]")), F.lit(f"array<{RECORD}>")
-    )
+    line = F.col(value)
+    elements = F.from_json(F.concat(F.lit("["), line, F.lit("]")), F.lit(f"array<{RECORD}>"))
     keys = F.json_object_keys(F.concat(F.lit('{"r":'), line, F.lit("}")))
-    single = (F.size(elements) == 1) & (keys == F.array(F.lit("r")))
-    return F.when(single, _last_key_wins(F.get(elements, F.lit(0))))
+    parsed = _compute(lines, _elements=elements)
+    single = (F.size("_elements") == 1) & (keys == F.array(F.lit("r")))
+    parsed = parsed.withColumn("record", F.when(single, F.get("_elements", F.lit(0))))
+    return parsed.withColumn("record", _last_key_wins(F.col("record"))).drop("_elements")
+
+
+def _compute(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are worked out once per row.
+
+    Filters and projections above a generator cannot be rewritten in terms of its input, so a
+    later filter on such a column does not repeat the expression behind it.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
 
 
 def _last_key_wins(record: Column) -> Column:
     """Drop all but the last entry of a repeated key; from_json keeps them all."""
-    entries = F.map_entries(record)
+    keys = F.map_keys(record)
     last = F.filter(
-        entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]
-        ),
+        F.map_entries(record),
+        lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]),
     )
-    unique = F.size(F.array_distinct(F.map_keys(record))) == F.size(record)
+    unique = F.size(F.array_distinct(keys)) == F.size(record)
     return F.when(unique, record).otherwise(F.map_from_entries(last))
 
 
 def render_prompts(
     lines: DataFrame, template: ChatTemplate = LLAMA3, value: str = "value"
 ) -> DataFrame:
-    """Add ``text`` (the prompt) or, for an unusable line, ``error``.
+    """Add ``text`` (the prompt) or, for an unusable line, ``error``; and ``fields``.
 
-    A ``messages`` key wins over ``prompt`` even if its value is null.
+    A ``messages`` key wins over ``prompt`` even if its value is null. ``fields`` holds the
+    other fields of a record that brings a response of its own, and is null for the rest.
     """
-    parsed = lines.withColumn("_record", parse_record(F.col(value)))
-    record = F.col("_record")
+    parsed = parse_records(lines, value)
+    record = F.col("record")
     has_messages = F.map_contains_key(record, F.lit("messages"))
     has_prompt = F.map_contains_key(record, F.lit("prompt"))
     messages = F.try_variant_get(F.element_at(record, "messages"), "$", MESSAGES)
@@ -81,16 +91,21 @@ def render_prompts(
     plain = F.when(
         F.schema_of_variant(prompt) == "STRING", F.try_variant_get(prompt, "$", "string")
     )
-    text = F.when(has_messages, render(messages, template, add_generation_prompt=True)).when(
-        has_prompt, plain
+    parsed = parsed.withColumn("_messages", F.when(has_messages, messages))
+    text = F.when(has_messages, render(F.col("_messages"), template, True)).when(has_prompt, plain)
+    fields = F.when(
+        F.map_contains_key(record, F.lit("response")),
+        F.map_filter(record, lambda key, _: key != "response"),
     )
-    error = (
+    problem = (
         F.when(record.isNull(), "not a JSON object")
         .when(~has_messages & ~has_prompt, "neither messages nor prompt")
-        .when(F.col("text").isNull() & has_messages, "unusable messages")
-        .when(F.col("text").isNull(), "unusable prompt")
+        .when(has_messages, "unusable messages")
+        .otherwise("unusable prompt")
     )
-    return parsed.withColumn("text", text).withColumn("error", error).drop("_record")
+    rendered = _compute(parsed, text=text, fields=fields, _problem=problem)
+    error = F.when(F.col("text").isNull(), F.col("_problem"))
+    return rendered.withColumn("error", error).drop("record", "_messages", "_problem")
 
 
 def fail_on_error(rendered: DataFrame, value: str = "value") -> DataFrame:
@@ -103,7 +118,7 @@ def fail_on_error(rendered: DataFrame, value: str = "value") -> DataFrame:
 def quarantine(rendered: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable lines and unusable lines (with ``error``)."""
     usable = rendered.where(F.col("error").isNull()).drop("error")
-    return usable, rendered.where(F.col("error").isNotNull()).drop("text")
+    return usable, rendered.where(F.col("error").isNotNull()).drop("text", "fields")
 
 
 def generate(
@@ -130,30 +145,29 @@ def generate(
     return prompts.withColumn("response", predict(F.col(text)))
 
 
-def with_response(line: Column, response: Column) -> Column:
+def with_response(line: Column, fields: Column, response: Column) -> Column:
     """The record line with ``response`` set and every other field as it was.
 
     A record without a response gets it appended to its own text, which keeps number formats
-    and key order. A record that has one is rebuilt from its fields.
+    and key order. A record that has one is rebuilt from its other fields.
     """
-    record = parse_record(line)
     quoted = F.to_json(F.struct(response.alias("response")), {"ignoreNullFields": "false"})
     appended = F.concat(
         F.substring(line, F.lit(1), F.length(line) - 1),
         F.lit(","),
         F.substring(quoted, F.lit(2), F.length(quoted)),
     )
-    others = F.map_filter(record, lambda key, _: key != "response")
     rebuilt = F.to_json(
-        F.map_concat(others, F.create_map(F.lit("response"), response.cast("variant")))
+        F.map_concat(fields, F.create_map(F.lit("response"), response.cast("variant")))
     )
-    return F.when(F.map_contains_key(record, F.lit("response")), rebuilt).otherwise(appended)
+    return F.when(fields.isNull(), appended).otherwise(rebuilt)
 
 
 def prediction_lines(
     predicted: DataFrame, value: str = "value", response: str = "response"
 ) -> DataFrame:
-    return predicted.select(with_response(F.col(value), F.col(response)).alias("value"))
+    line = with_response(F.col(value), F.col("fields"), F.col(response))
+    return predicted.select(line.alias("value"))
 
 
 def predict_lines(

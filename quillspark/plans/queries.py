@@ -31,7 +31,7 @@ from quillspark.operators.vocabulary import (
     token_ids,
 )
 from quillspark.plans import inputs
-from quillspark.session import fresh_path, materialise, ship_package
+from quillspark.session import fresh_path, ship_package, store
 from quillspark.sources.corpus import read_corpus, read_qa, read_sft
 from quillspark.sources.prompts import (
     read_prompt_lines,
@@ -240,8 +240,8 @@ def inspect_rollouts(spark, folder):
 def _vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     """Corpus vocabulary with the added tokens, stored once for its size check and lookups."""
     documents = inputs.table(spark, folder, "documents")
-    base = materialise(build_vocabulary(documents, VOCABULARY_SIZE))
-    return materialise(add_tokens(base, K.ADDED_TOKENS))
+    base = store(build_vocabulary(documents, VOCABULARY_SIZE), "vocabulary")
+    return store(add_tokens(base, K.ADDED_TOKENS), "vocabulary")
 
 
 def _encoded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

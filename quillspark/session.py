@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,25 +27,25 @@ def local_session(cpus: int | str = 8, memory: str = "16g", **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="quillspark-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir; a temporary one only if unset."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="quillspark-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return folder
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/quillspark/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so a lost executor costs one read."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def store(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: cut lineage that survives lost executors."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:
