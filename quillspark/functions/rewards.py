@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import WHITESPACE_CLASS, last_piece, occurrences, strip
+from quillspark.functions.text import WHITESPACE_CLASS, last_piece, occurs_once, strip
 
 # Patterns and weights of the scoring rules. (?d) makes "." and "$" see "\n" as the
 # only line end, and \A ties the match to the start of the text.
@@ -76,7 +76,7 @@ def xml_score(text: Column) -> Column:
     none), the answer-closing form for what follows it beyond one character.
     """
     once = {
-        tag: occurrences(text, tag) == 1
+        tag: occurs_once(text, tag)
         for tag in ("<think>\n", "\n</think>\n", "\n<answer>\n", "\n</answer>")
     }
     after_line = F.length(last_piece(text, "\n</answer>\n"))

@@ -24,13 +24,13 @@ def is_blank(text: Column) -> Column:
     return F.octet_length(strip(text)) == 0
 
 
-def occurrences(text: Column, literal: str) -> Column:
-    """Number of non-overlapping occurrences of an ASCII literal, counted from the left.
+def occurs_once(text: Column, literal: str) -> Column:
+    """Whether an ASCII literal occurs exactly once, counting from the left without overlaps.
 
     Byte lengths are stored with the string, so this costs one replace and no character count.
     """
     removed = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(literal), F.lit("")))
-    return (removed / len(literal)).cast("int")
+    return removed == len(literal)
 
 
 def last_piece(text: Column, literal: str) -> Column:

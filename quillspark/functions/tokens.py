@@ -33,9 +33,14 @@ SPECIAL_TOKENS = [*LLAMA3.special_tokens, END_OF_TEXT, RIGHT_PAD_TOKEN, *ADDED_T
 
 
 def word_pattern(special_tokens: Sequence[str] = tuple(SPECIAL_TOKENS)) -> str:
-    """Regex whose matches tile the text: specials first, then newlines, spaces and words."""
+    """Regex whose matches tile the text into words, spaces, newlines and special tokens.
+
+    Words never contain ``<``, so tokens that open with it are tried after the frequent cases.
+    """
     longest_first = sorted(special_tokens, key=len, reverse=True)
-    return "|".join([*map(re.escape, longest_first), r"\n\n", r"\n", " ", r"[^ \n<]+", "<"])
+    bracketed = [re.escape(t) for t in longest_first if t.startswith("<")]
+    others = [re.escape(t) for t in longest_first if not t.startswith("<")]
+    return "|".join([*others, r"[^ \n<]+", " ", r"\n\n", r"\n", *bracketed, "<"])
 
 
 def words(text: Column, pattern: str | None = None) -> Column:

@@ -239,14 +239,14 @@ def inspect_rollouts(spark, folder):
 
 def _vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     """Corpus vocabulary with the added tokens, stored once for its size check and lookups."""
-    documents = inputs.table(spark, folder, "documents")
+    documents = inputs.documents(spark, folder)
     base = store(build_vocabulary(documents, VOCABULARY_SIZE), "vocabulary")
     return store(add_tokens(base, K.ADDED_TOKENS), "vocabulary")
 
 
 def _encoded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     vocab = _vocabulary(spark, folder)
-    documents = inputs.table(spark, folder, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, folder).select("doc_id", "text")
     return encode(documents, vocab, DOCUMENT_TOKENS, key="doc_id"), vocab
 
 
@@ -268,8 +268,7 @@ def _tokens(encoded: DataFrame) -> DataFrame:
 
 @query
 def vocabulary(spark, folder):
-    documents = inputs.table(spark, folder, "documents")
-    return add_tokens(build_vocabulary(documents, VOCABULARY_SIZE), K.ADDED_TOKENS)
+    return _vocabulary(spark, folder)
 
 
 @query
@@ -293,7 +292,7 @@ def encode_truncate(spark, folder):
 @query
 def encode_joined(spark, folder):
     """The path for vocabularies too large to ship."""
-    documents = inputs.table(spark, folder, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, folder).select("doc_id", "text")
     vocab = _vocabulary(spark, folder)
     return _tokens(encode_by_join(documents, vocab, DOCUMENT_TOKENS, "doc_id"))
 
@@ -314,7 +313,7 @@ def encode_tokenizer_file(spark, folder):
 
         return run
 
-    documents = inputs.table(spark, folder, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, folder).select("doc_id", "text")
     return _tokens(encode_with(documents, open_tokenizer, DOCUMENT_TOKENS))
 
 
@@ -351,7 +350,7 @@ def decode_joined(spark, folder):
 def completion_slice(spark, folder):
     """Generated ids after a prompt: here the prompt is a document's first line."""
     vocab = _vocabulary(spark, folder)
-    documents = inputs.table(spark, folder, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, folder).select("doc_id", "text")
     encoded = encode(documents, vocab, DOCUMENT_TOKENS, key="doc_id")
     first_line = K.words(F.substring_index("text", "\n", 1))
     prompt = F.slice(F.col("input_ids"), F.lit(1), F.size(first_line))
@@ -451,7 +450,7 @@ def map_callback(spark, folder):
     schema = T.StructType(
         [T.StructField("n_words", T.LongType()), T.StructField("shouted", T.StringType())]
     )
-    documents = inputs.table(spark, folder, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, folder).select("doc_id", "text")
     return mapping.map_batches(documents, measure, schema, remove_columns=["text"])
 
 

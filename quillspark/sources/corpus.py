@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,33 +17,55 @@ def read_json(
 ) -> DataFrame:
     """Records from newline-delimited JSON or from files holding a top-level list.
 
-    ``auto`` looks at the first non-blank line. Newline-delimited input (and a list on a single
-    line) is read in splits and fails on anything that is not a record, so a list file among
-    line files is never skipped silently. List files are read whole, one row per file, since
-    their layout has no split points; line files among them are recognised one by one.
+    ``auto`` looks at the first non-blank line for the start of a list. Line input is read in
+    splits. Lists have no split points, so their files are read whole, one row per file; line
+    files among them are recognised one by one. Anything that is not a record stops the job, so neither trailing text
+    nor a file of the other layout is ever skipped silently.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     if layout == "auto":
         lines = spark.read.text(path).where(~is_blank(F.col("value")))
         first = lines.select(strip(F.col("value")).alias("head")).first()
-        multi_line_list = first is not None and first.head.startswith("[")
-        layout = "array" if multi_line_list else "lines"
+        layout = "array" if first is not None and first.head.startswith("[") else "lines"
     if layout == "lines":
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    return _read_whole_files(spark, path, schema)
+        texts = spark.read.text(path).where(~is_blank(F.col("value")))
+        texts = texts.select(strip(F.col("value")).alias("value"))
+    else:
+        texts = _file_contents(spark, path)
+    return texts.select(F.inline(_records(F.col("value"), schema)))
 
 
-def _read_whole_files(spark: SparkSession, path: str | list[str], schema: T.StructType):
+def _file_contents(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Whole lists, and the single lines of files that hold no list."""
     files = spark.read.text(path, wholetext=True).where(~is_blank(F.col("value")))
     content = strip(F.col("value"))
-    strict = {"mode": "FAILFAST"}
+    lines = F.transform(F.split(content, r"\r\n|\n|\r"), strip)
+    lines = F.filter(lines, lambda line: ~is_blank(line))
+    is_list = F.startswith(content, F.lit("["))
+    return files.select(
+        F.explode(F.when(is_list, F.array(content)).otherwise(lines)).alias("value")
+    )
+
+
+def _records(text: Column, schema: T.StructType) -> Column:
+    """Records of a text that is one JSON object or one list of objects, as an array.
+
+    from_json ignores what follows the first value. Inside brackets that is an error or a second
+    element unless it closes the bracket itself, and inside braces that remainder is an error.
+    """
     record = schema.simpleString()
-    as_list = F.from_json(content, F.lit(f"array<{record}>"), strict)
-    lines = F.filter(F.split(content, r"\r\n|\n|\r"), lambda line: ~is_blank(line))
-    as_lines = F.transform(lines, lambda line: F.from_json(line, F.lit(record), strict))
-    records = F.when(F.startswith(content, F.lit("[")), as_list).otherwise(as_lines)
-    return files.select(F.inline(records))
+    enclosed = F.concat(F.lit("["), text, F.lit("]"))
+    strict = {"mode": "FAILFAST"}
+    single = F.from_json(enclosed, F.lit(f"array<{record}>"), strict)
+    nested = F.from_json(enclosed, F.lit(f"array<array<{record}>>"), strict)
+    records = F.when(F.startswith(text, F.lit("[")), F.flatten(nested)).otherwise(single)
+    keys = F.json_object_keys(F.concat(F.lit('{"r":'), text, F.lit("}")))
+    whole = F.coalesce(keys == F.array(F.lit("r")), F.lit(False))
+    nested_value = F.startswith(text, F.lit("[")) | F.startswith(text, F.lit("{"))
+    return F.when(whole & nested_value, records).otherwise(
+        F.raise_error(F.concat(F.lit("not a JSON record: "), text)).cast(f"array<{record}>")
+    )
 
 
 def read_corpus(spark: SparkSession, path: str | list[str], layout: str = "auto") -> DataFrame:
