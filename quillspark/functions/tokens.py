@@ -47,13 +47,23 @@ def words(text: Column, pattern: str | None = None) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern or word_pattern()), F.lit(0))
 
 
+def model_tokens(
+    text: Column, max_tokens: int, pattern: str | None = None, bos: str | None = None
+) -> Column:
+    """Words of a text, after a beginning token if one is given, up to a maximum."""
+    tokens = words(text, pattern)
+    if bos is not None:
+        tokens = F.concat(F.array(F.lit(bos)), tokens)
+    return truncate(tokens, max_tokens)
+
+
 def truncate(ids: Column, max_tokens: int) -> Column:
     """Keep the first tokens; overflow is dropped, never carried into another row."""
     return F.slice(ids, 1, max_tokens)
 
 
 def attention_mask(ids: Column) -> Column:
-    return F.transform(ids, lambda _: F.lit(1))
+    return F.array_repeat(F.lit(1), F.size(ids))
 
 
 def after_prompt(ids: Column, prompt_ids: Column) -> Column:

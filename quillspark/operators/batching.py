@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,15 +15,16 @@ SFT_BATCH, SFT_ACCUMULATION = 2, 4
 RL_BATCH, RL_ACCUMULATION = 1, 1
 
 
-def shard_of(key: Column, shards: int) -> Column:
+def shard_of(key: Sequence[str], shards: int) -> Column:
     """Shard number from a hash of the row key: even for any unique key, sequential or not."""
-    head = F.substring(F.md5(key.cast("string")), 1, 8)
+    text = F.concat_ws("\u001f", *[F.col(k).cast("string") for k in key])
+    head = F.substring(F.md5(text), 1, 8)
     return F.pmod(F.conv(head, 16, 10).cast("bigint"), F.lit(shards)).cast("int")
 
 
 def assign_batches(
     df: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     batch_size: int,
     shards: int,
     accumulation: int = 1,
@@ -30,13 +33,16 @@ def assign_batches(
 
     Rows are numbered within their shard in key order; every ``batch_size`` rows form a batch
     and every ``accumulation`` batches of a shard one optimiser step, so all batches but the
-    last of a shard are full. ``key`` identifies a row. One shard is one task: choose the number
-    of shards by data size (a multiple of the devices), not by the number of devices.
+    last of a shard are full. The key columns together identify a row, as prompt and generation
+    number do, so that rows sharing one of them still spread over all shards. One shard is one
+    task: choose the number of shards by data size (a multiple of the devices), not by the
+    number of devices.
     """
-    within = Window.partitionBy("shard").orderBy(key)
+    key = [key] if isinstance(key, str) else list(key)
+    within = Window.partitionBy("shard").orderBy(*key)
     number = F.row_number().over(within) - 1
     return (
-        df.withColumn("shard", shard_of(F.col(key), shards))
+        df.withColumn("shard", shard_of(key, shards))
         .withColumn("batch", F.floor(number / batch_size).cast("int"))
         .withColumn("step", F.floor(F.col("batch") / accumulation).cast("int"))
     )

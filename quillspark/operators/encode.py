@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.tokens import attention_mask, truncate, words
+from quillspark.functions.tokens import attention_mask, model_tokens
 from quillspark.operators.skew import HOT_ROWS, hot_keys, split_hot
 from quillspark.operators.vocabulary import UNKNOWN, LookupLimit, token_ids
 
@@ -23,21 +23,23 @@ def encode(
     key: str | None = None,
     pattern: str | None = None,
     unknown: str = UNKNOWN,
+    bos: str | None = None,
     limit: LookupLimit = LookupLimit(),
 ) -> DataFrame:
     """Add ``input_ids`` and ``attention_mask`` for a text column.
 
-    Words are split and truncated in the JVM. A vocabulary within ``limit`` is then looked up in
+    Raw corpus text takes a beginning token (``bos``), rendered chat text brings its own. Words
+    are split and truncated in the JVM. A vocabulary within ``limit`` is then looked up in
     place, with no shuffle; a larger one is joined (see encode_by_join), which needs a unique
     ``key``. The check runs on ``vocab``, so pass a stored or checkpointed table.
     """
     if limit.admits(vocab):
-        ids = lookup_ids(vocab, unknown)(truncate(words(F.col(text), pattern), max_tokens))
+        ids = lookup_ids(vocab, unknown)(model_tokens(F.col(text), max_tokens, pattern, bos))
         encoded = df.withColumn("input_ids", ids)
         return encoded.withColumn("attention_mask", attention_mask(F.col("input_ids")))
     if key is None:
         raise ValueError("the vocabulary exceeds the lookup limit: pass a unique key to join on")
-    return encode_by_join(df, vocab, max_tokens, key, text, pattern, unknown)
+    return encode_by_join(df, vocab, max_tokens, key, text, pattern, unknown, bos)
 
 
 def lookup_ids(vocab: DataFrame, unknown: str = UNKNOWN) -> Callable[[Column], Column]:
@@ -87,6 +89,7 @@ def encode_by_join(
     text: str = "text",
     pattern: str | None = None,
     unknown: str = UNKNOWN,
+    bos: str | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Encode against a vocabulary of any size by joining exploded tokens.
@@ -96,7 +99,7 @@ def encode_by_join(
     per row, hence bounded by ``max_tokens``.
     """
     (unknown_id,) = token_ids(vocab, [unknown], unknown)
-    source = df.select(key, truncate(words(F.col(text), pattern), max_tokens).alias("_words"))
+    source = df.select(key, model_tokens(F.col(text), max_tokens, pattern, bos).alias("_words"))
     tokens = source.select(key, F.posexplode("_words").alias("_pos", "_item"))
     wanted = vocab.select(F.col("token").alias("_item"), F.col("id").cast("int").alias("_value"))
     rows = _join_items(tokens, wanted, key, F.lit(unknown_id), hot_rows)

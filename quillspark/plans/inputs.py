@@ -19,11 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Rows of a small table over all cores.
 
-    A table with fewer scan partitions than cores is shuffled once before CPU-heavy work; one
-    with more, as any large table, is read in place.
+    A scan that would leave half of the cores idle is shuffled once before CPU-heavy work (at
+    most cores/2 scan splits of data); any larger table is read in place.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores // 2 else df
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,7 +32,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def sft_examples(spark: SparkSession, folder: str) -> DataFrame:
     """Five-column examples, one per document; the label is missing for French ones."""
-    return documents(spark, folder).select(
+    return table(spark, folder, "documents").select(
         "doc_id",
         F.concat(F.lit("You read "), F.col("lang"), F.lit(" text.")).alias("system_prompt"),
         F.concat(F.lit("Name the source among "), F.col("source")).alias("instruction"),

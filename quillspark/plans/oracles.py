@@ -224,12 +224,12 @@ VOCAB = f"""
       FROM added WHERE token NOT IN (SELECT token FROM base))"""
 
 
-def encoded(source: str, limit: int) -> str:
+def encoded(source: str, limit: int, first: str = "[]") -> str:
     return f"""
     {VOCAB},
     source AS ({source}),
     word_lists AS (
-      SELECT doc_id, list_slice(regexp_extract_all(text, {PATTERN}), 1, {limit}) AS w FROM source),
+      SELECT doc_id, list_slice(list_concat({first}, regexp_extract_all(text, {PATTERN})), 1, {limit}) AS w FROM source),
     placed AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM word_lists),
     found AS (
       SELECT doc_id, list(coalesce(id, 0) ORDER BY pos) AS ids
@@ -263,6 +263,9 @@ ORACLES["pad_token"] = f"""
     UNION ALL SELECT 'end_of_text', id FROM vocab WHERE token = '<|end_of_text|>'"""
 ORACLES["encode_truncate"] = ENCODED
 ORACLES["encode_joined"] = ENCODED
+ORACLES["encode_with_bos"] = f"""
+    WITH {encoded("SELECT doc_id, text FROM documents", DOCUMENT_TOKENS, "['<|begin_of_text|>']")}
+    SELECT doc_id, {joined('ids')} AS ids, {joined(ones('ids'))} AS mask FROM encoded"""
 ORACLES["encode_tokenizer_file"] = ENCODED
 ORACLES["token_files"] = ENCODED
 DECODED = f"""

@@ -252,7 +252,8 @@ def _encoded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 def _sft_encoded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     vocab = _vocabulary(spark, folder)
-    formatted, _ = mapping.format_sft(inputs.sft_examples(spark, folder), keep=["doc_id"])
+    examples = inputs.spread(inputs.sft_examples(spark, folder))
+    formatted, _ = mapping.format_sft(examples, keep=["doc_id"])
     return encode(formatted, vocab, K.SFT_MAX_TOKENS, key="doc_id"), vocab
 
 
@@ -289,6 +290,13 @@ def encode_truncate(spark, folder):
     return _tokens(encoded)
 
 
+@query
+def encode_with_bos(spark, folder):
+    documents = inputs.documents(spark, folder).select("doc_id", "text")
+    vocab = _vocabulary(spark, folder)
+    return _tokens(encode(documents, vocab, DOCUMENT_TOKENS, key="doc_id", bos=LLAMA3.bos))
+
+
 @query
 def encode_joined(spark, folder):
     """The path for vocabularies too large to ship."""

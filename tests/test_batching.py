@@ -72,7 +72,15 @@ def test_fixed_padding(spark):
     assert [tuple(r) for r in rows] == [([1, 2], [1, 1], [1, 2]), ([1, 0], [1, 0], [1, -100])]
 
 
+def test_one_prompt_with_most_rows_spreads_over_the_shards(spark):
+    rows = spark.range(4000).select(F.lit(1).alias("prompt_id"), F.col("id").alias("gen_id"))
+    batched = B.assign_batches(rows, ["prompt_id", "gen_id"], 4, shards=8)
+    counts = batched.groupBy("shard").count().collect()
+    assert len(counts) == 8 and all(400 < r["count"] < 600 for r in counts)
+
+
 def test_shards_are_even_for_any_key(spark):
     for key in (F.col("id"), F.col("id") * 64, F.concat(F.lit("doc-"), "id")):
-        counts = spark.range(8000).groupBy(B.shard_of(key, 8).alias("s")).count().collect()
+        rows = spark.range(8000).select(key.alias("key"))
+        counts = rows.groupBy(B.shard_of(["key"], 8).alias("s")).count().collect()
         assert len(counts) == 8 and all(800 < r["count"] < 1200 for r in counts)

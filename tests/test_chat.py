@@ -15,7 +15,7 @@ def rendered(spark, messages, **options):
 
 
 def test_render_headers_and_trimming(spark):
-    got = rendered(spark, [("system", " s\n"), ("user", "　u")])
+    got = rendered(spark, [("system", " s\n"), ("user", "\u3000u")])
     assert got == (
         "<|begin_of_text|><|start_header_id|>system<|end_header_id|>\n\ns<|eot_id|>"
         "<|start_header_id|>user<|end_header_id|>\n\nu<|eot_id|>"

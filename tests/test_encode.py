@@ -92,6 +92,15 @@ def test_lookup_and_join_agree(corpus, full_vocab):
     assert all(len(ids) == len(mask) <= 15 for ids, mask in looked_up.values())
 
 
+def test_beginning_token(corpus, full_vocab):
+    plain = table(E.encode(corpus, full_vocab, 14))
+    for begun in (
+        E.encode(corpus, full_vocab, 15, bos="<|begin_of_text|>"),
+        E.encode_by_join(corpus, full_vocab, 15, "id", bos="<|begin_of_text|>"),
+    ):
+        assert {k: v[0] for k, v in table(begun).items()} == {k: [1, *v[0]] for k, v in plain.items()}
+
+
 def test_truncated_ids_are_a_prefix(corpus, full_vocab):
     whole, cut = table(E.encode(corpus, full_vocab, 10**6)), table(E.encode(corpus, full_vocab, 7))
     assert all(cut[k][0] == whole[k][0][:7] for k in whole)

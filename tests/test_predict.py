@@ -35,7 +35,7 @@ GOOD = [
     '{"messages":[{"role":"user","content":"hi"}],"prompt":"ignored"}',
     '{"response":"old","prompt":"q","x":{"b":[1,null],"a":2.5}}',
     '{"prompt":"naïve 😀 日本","n":12345678901234567890}',
-    ' {"prompt":"quote \\" and \\\\ and \\n"}　',
+    ' {"prompt":"quote \\" and \\\\ and \\n"}\u3000',
     '{"prompt":"first","prompt":"last"}',
     '{"response":"r","prompt":"first","prompt":"last"}',
     '{"messages":[]}',
@@ -60,7 +60,7 @@ BAD = [
 
 
 def test_records_pass_through_with_their_response(spark):
-    got = predicted(spark, *GOOD, "", "   ", " \u0085")
+    got = predicted(spark, *GOOD, "", "   ", "\u2003\u0085")
     assert len(got) == len(GOOD)
     open_header = "<|start_header_id|>assistant<|end_header_id|>\n\n"
     texts = ["p", None, "q", "naïve 😀 日本", 'quote " and \\ and \n', "last", "last", open_header]

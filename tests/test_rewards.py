@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillspark.functions import rewards as R
-from quillspark.functions.text import WHITESPACE, last_piece, occurs_once, strip
+from quillspark.functions.text import WHITESPACE, WHITESPACE_CLASS, last_piece, occurs_once, strip
 
 TEXT = F.col("text")
 PERFECT = "<think>\na\n</think>\n<answer>\n4\n</answer>\n"
@@ -72,13 +72,12 @@ def test_numeric_rule_survives_long_digit_runs(evaluate):
 
 def test_numeric_rule_agrees_with_float(evaluate):
     chosen = random.Random(1)
-    pieces = list("0189._+-eE,   ٣naifty")
+    pieces = list("0189._+-eE \u00a0\u2003\u0663naifty")
     samples = ["".join(chosen.choices(pieces, k=chosen.randint(0, 7))) for _ in range(4000)]
 
     def accepted(text):
         try:
-            float(text.replace(",", ""))
-            return True
+            return float(text) is not None
         except ValueError:
             return False
 
@@ -91,19 +90,19 @@ def test_digits_rule_agrees_with_isdigit(evaluate):
 
 
 def test_format_patterns_agree_with_re(evaluate):
-    strict = re.compile(r"\A<think>\n.*?\n</think>\n<answer>\n.*?\n</answer>\n$")
-    soft = re.compile(r"\A<think>.*?</think>\s*<answer>.*?</answer>")
+    strict = re.compile(R.STRICT_FORMAT.removeprefix("(?d)"))
+    soft = re.compile(R.SOFT_FORMAT.removeprefix("(?d)").replace(WHITESPACE_CLASS, r"\s"))
     samples = [
         PERFECT,
         PERFECT + "\n",
         PERFECT + "\n\n",
-        PERFECT.replace("a", "a\r \u0085b"),
+        PERFECT.replace("a", "a\r\u2028\u0085b"),
         PERFECT.replace("a", "a\nb"),
         " " + PERFECT,
         PERFECT[:-1] + "\r",
-        *[f"<think>a</think>{gap}<answer>b</answer>" for gap in (*WHITESPACE, "", "x", "​")],
+        *[f"<think>a</think>{gap}<answer>b</answer>" for gap in (*WHITESPACE, "", "x", "\u200b")],
         "<think>a\nb</think><answer>c</answer>",
-        "<think>a\rb</think><answer>c </answer> tail\n",
+        "<think>a\rb</think><answer>c\u2028</answer> tail\n",
         "<think></think><answer></answer>",
         "<think>a</think><answer>b",
     ]
@@ -128,7 +127,7 @@ def test_hash_answer(evaluate, text, want):
 
 def test_whitespace_set_is_what_python_strips(evaluate):
     assert set(WHITESPACE) == {chr(c) for c in range(0x110000) if chr(c).isspace()}
-    samples = [f"{w}a{w}b{w}" for w in WHITESPACE] + ["​a​", ""]
+    samples = [f"{w}a{w}b{w}" for w in WHITESPACE] + ["\u200ba\u200b", ""]
     assert evaluate(strip(TEXT), *samples) == [s.strip() for s in samples]
 
 
@@ -156,6 +155,7 @@ def test_reward_properties(texts, samples):
     for row in df.collect():
         assert row.xml <= 0.5 + 0.001 + 1e-9
         assert not (row.soft and row.strict)
-        assert row.answer == row.text.split("<answer>")[-1].split("</answer>")[0].strip()
+        after_tag = row.text.rpartition("<answer>")[2]
+        assert row.answer == after_tag.partition("</answer>")[0].strip()
         assert row.tail == row.text.split("\n</answer>\n")[-1]
         assert row.once == (row.text.count("\n<answer>\n") == 1)
