@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import replace
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,6 +123,26 @@ def conversation_texts(
     return grouped.select("conv_id", "part", text.alias("text"))
 
 
+def list_lines(records: DataFrame) -> DataFrame:
+    """JSON objects (``value``) as the lines of one top-level list per partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": ["["]})
+        started = False
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            objects = batch["value"]
+            following = pc.binary_join_element_wise(",", objects, "")
+            if not started:
+                following = pa.concat_arrays([objects.slice(0, 1), following.slice(1)])
+            started = True
+            yield pa.RecordBatch.from_pydict({"value": following})
+        yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+    return records.mapInArrow(run, "value string")
+
+
 def prompt_lines(spark: SparkSession, folder: str) -> DataFrame:
     """JSON lines of every kind of prompt record, one per turn, from all conversations."""
     lines = {

@@ -367,10 +367,18 @@ PREDICTED = f"""
     FROM conversations"""
 ORACLES["prompts_predict"] = PREDICTED
 ORACLES["prompt_files"] = PREDICTED
+ORACLES["prompt_folder"] = PREDICTED
+ORACLES["prompts_quarantine"] = """
+    SELECT conv_id, turn,
+      CASE WHEN role = 'system' THEN 'not a JSON object'
+           WHEN turn = 0 THEN 'neither messages nor prompt'
+           ELSE 'unusable messages' END AS error
+    FROM conversations WHERE role <> 'user' OR turn = 0"""
 
 # files
 
 ORACLES["corpus_files"] = "SELECT text FROM documents"
+ORACLES["corpus_list_files"] = "SELECT text FROM documents"
 ORACLES["sft_files"] = f"""
     SELECT system_prompt, instruction, reference, modified_reasoning, formatted_label FROM ({SFT})"""
 ORACLES["qa_files"] = f"""

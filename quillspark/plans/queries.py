@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from quillspark.functions import rewards as R
 from quillspark.functions import tokens as K
-from quillspark.functions.chat import DRAFT, LLAMA3, ChatTemplate, render
+from quillspark.functions.chat import DRAFT, LLAMA3, ChatTemplate, reasoning_target, render
 from quillspark.operators import batching, mapping, predict, rollouts
 from quillspark.operators.encode import (
     decode,
@@ -38,6 +38,7 @@ from quillspark.sources.prompts import (
     write_prediction_lines,
     write_tokens,
 )
+from quillspark.streaming.prompts import predict_folder
 
 VOCABULARY_SIZE = 2000
 SHARDS = 16
@@ -108,8 +109,6 @@ def sft_rejected(spark, folder):
 
 @query
 def target_block(spark, folder):
-    from quillspark.functions.chat import reasoning_target
-
     examples = inputs.sft_examples(spark, folder)
     target = reasoning_target(F.col("reference"), F.col("modified_reasoning"), layout="block")
     return mapping.replace_columns(examples, {"target": target}, keep=["doc_id"])
@@ -493,6 +492,20 @@ def _fields(lines: DataFrame) -> DataFrame:
     return lines.select(*values, keys.alias("keys"))
 
 
+@query
+def prompts_quarantine(spark, folder):
+    """Unusable lines set aside: plain text, records without a prompt, unusable messages."""
+    value = (
+        F.when(F.col("role") == "system", F.concat(F.lit('{"prompt": '), "text"))
+        .when(F.col("turn") == 0, F.concat(F.lit('{"turn": '), "turn", F.lit("}")))
+        .when(F.col("role") == "user", F.to_json(F.struct(F.col("text").alias("prompt"))))
+        .otherwise(F.to_json(F.struct(F.col("text").alias("messages"))))
+    )
+    lines = inputs.table(spark, folder, "conversations").select("conv_id", "turn", value.alias("value"))
+    _, unusable = predict.quarantine(predict.render_prompts(lines))
+    return unusable.select("conv_id", "turn", "error")
+
+
 @query
 def prompts_predict(spark, folder):
     lines = inputs.prompt_lines(spark, folder)
@@ -512,6 +525,26 @@ def prompt_files(spark, folder):
     return _fields(spark.read.text(predictions))
 
 
+@query
+def prompt_folder(spark, folder):
+    """The same through the restartable streaming run."""
+    prompts, predictions, state = (
+        fresh_path(spark, name) for name in ("prompts", "predictions", "state")
+    )
+    inputs.prompt_lines(spark, folder).write.text(prompts)
+    predict_folder(spark, prompts, predictions, state, _echo, GREEDY).awaitTermination()
+    return _fields(spark.read.text(predictions))
+
+
+@query
+def corpus_list_files(spark, folder):
+    """Files that each hold one list over many lines."""
+    path = fresh_path(spark, "corpus")
+    records = inputs.documents(spark, folder).select(F.to_json(F.struct("*")).alias("value"))
+    inputs.list_lines(records).write.text(path)
+    return read_corpus(spark, path)
+
+
 @query
 def corpus_files(spark, folder):
     path = fresh_path(spark, "corpus")
