@@ -68,7 +68,10 @@ SFT = """
 
 
 def sft_text(label: str, gap: str, end: str) -> str:
-    target = f"'<think>' || modified_reasoning || '</think>' || {NL} || '<answer>' || {label} || '</answer>'"
+    target = (
+        f"'<think>' || modified_reasoning || '</think>' || {NL}"
+        f" || '<answer>' || {label} || '</answer>'"
+    )
     return (
         f"'<|begin_of_text|>' || {turn(quoted('system'), 'system_prompt', gap, end)}"
         f" || {turn(quoted('user'), f'instruction || {NL} || reference', gap, end)}"
@@ -117,12 +120,19 @@ ROLLOUTS = f"""
     FROM (SELECT *, replace(text, {NL}, ' ') AS r, CAST(turn AS VARCHAR) AS a FROM conversations)"""
 
 EXTRACTED = strip("string_split(string_split(t, '<answer>')[-1], '</answer>')[1]")
-NUMBER = r"^[+-]?(?:(?:[0-9]+(?:_[0-9]+)*\.?(?:[0-9]+(?:_[0-9]+)*)?|\.[0-9]+(?:_[0-9]+)*)(?:[eE][+-]?[0-9]+(?:_[0-9]+)*)?|(?i:inf|infinity|nan))$"
-NUMERIC = (
-    f"CASE WHEN regexp_matches({strip(f'replace({EXTRACTED}, {quoted(chr(44))}, {quoted(str())})')}, "
-    f"'{NUMBER}') THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END"
+RUN = r"[0-9]+(?:_[0-9]+)*"
+NUMBER = (
+    rf"^[+-]?(?:(?:{RUN}\.?(?:{RUN})?|\.{RUN})(?:[eE][+-]?{RUN})?|(?i:inf|infinity|nan))$"
 )
-DIGITS = f"CASE WHEN regexp_matches({EXTRACTED}, '^[0-9]+$') THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END"
+WITHOUT_COMMAS = strip(f"replace({EXTRACTED}, ',', '')")
+
+
+def worth(condition: str, value: float) -> str:
+    return f"CASE WHEN {condition} THEN {value}::DOUBLE ELSE 0.0::DOUBLE END"
+
+
+NUMERIC = worth(f"regexp_matches({WITHOUT_COMMAS}, '{NUMBER}')", 0.5)
+DIGITS = worth(f"regexp_matches({EXTRACTED}, '^[0-9]+$')", 0.5)
 
 
 def once(tag: str) -> str:
@@ -140,15 +150,11 @@ XML = f"""(
         THEN 0.125::DOUBLE - {tail(f"{NL} || '</answer>' || {NL}")} * 0.001::DOUBLE ELSE 0 END
     + CASE WHEN {once(f"{NL} || '</answer>'")}
         THEN 0.125::DOUBLE - ({tail(f"{NL} || '</answer>'")} - 1) * 0.001::DOUBLE ELSE 0 END)"""
-SOFT = (
-    f"CASE WHEN regexp_matches(t, '^<think>.*?</think>{WS_RE}*<answer>.*?</answer>')"
-    " THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END"
-)
-STRICT = (
-    r"CASE WHEN regexp_matches(t, '^<think>\n.*?\n</think>\n<answer>\n.*?\n</answer>\n\n?$')"
-    " THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END"
+SOFT = worth(f"regexp_matches(t, '^<think>.*?</think>{WS_RE}*<answer>.*?</answer>')", 0.5)
+STRICT = worth(
+    r"regexp_matches(t, '^<think>\n.*?\n</think>\n<answer>\n.*?\n</answer>\n\n?$')", 0.5
 )
-CORRECT = f"CASE WHEN {EXTRACTED} = answer THEN 2.0::DOUBLE ELSE 0.0::DOUBLE END"
+CORRECT = worth(f"{EXTRACTED} = answer", 2.0)
 
 
 def rollout_query(columns: str) -> str:
@@ -157,7 +163,8 @@ def rollout_query(columns: str) -> str:
 
 ORACLES["extract_answer"] = rollout_query(f"{EXTRACTED} AS extracted")
 ORACLES["hash_answer"] = f"""
-    SELECT doc_id, CASE WHEN contains(t, '####') THEN {strip("string_split(t, '####')[2]")} END AS answer
+    SELECT doc_id,
+      CASE WHEN contains(t, '####') THEN {strip("string_split(t, '####')[2]")} END AS answer
     FROM (SELECT doc_id, CASE WHEN lang <> 'fr' THEN text || ' #### ' || source || {NL}
                               ELSE text END AS t FROM documents)"""
 ORACLES["reward_numeric"] = rollout_query(f"{NUMERIC} AS numeric")
@@ -229,13 +236,16 @@ def encoded(source: str, limit: int, first: str = "[]") -> str:
     {VOCAB},
     source AS ({source}),
     word_lists AS (
-      SELECT doc_id, list_slice(list_concat({first}, regexp_extract_all(text, {PATTERN})), 1, {limit}) AS w FROM source),
+      SELECT doc_id,
+        list_slice(list_concat({first}, regexp_extract_all(text, {PATTERN})), 1, {limit}) AS w
+      FROM source),
     placed AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM word_lists),
     found AS (
       SELECT doc_id, list(coalesce(id, 0) ORDER BY pos) AS ids
       FROM placed LEFT JOIN vocab USING (token) GROUP BY doc_id),
     encoded AS (
-      SELECT doc_id, coalesce(ids, CAST([] AS INTEGER[])) AS ids FROM source LEFT JOIN found USING (doc_id))"""
+      SELECT doc_id, coalesce(ids, CAST([] AS INTEGER[])) AS ids
+      FROM source LEFT JOIN found USING (doc_id))"""
 
 
 DOCUMENTS = encoded("SELECT doc_id, text FROM documents", DOCUMENT_TOKENS)
@@ -250,10 +260,12 @@ def ones(sql: str) -> str:
 
 
 def padded(sql: str, fill: str, length: str) -> str:
-    return f"list_concat(list_slice({sql}, 1, {length}), list_transform(range({length} - len({sql})), lambda x: {fill}))"
+    missing = f"list_transform(range({length} - len({sql})), lambda x: {fill})"
+    return f"list_concat(list_slice({sql}, 1, {length}), {missing})"
 
 
-ENCODED = f"WITH {DOCUMENTS} SELECT doc_id, {joined('ids')} AS ids, {joined(ones('ids'))} AS mask FROM encoded"
+TOKENS = f"{joined('ids')} AS ids, {joined(ones('ids'))} AS mask"
+ENCODED = f"WITH {DOCUMENTS} SELECT doc_id, {TOKENS} FROM encoded"
 
 ORACLES["vocabulary"] = f"WITH {VOCAB} SELECT token, id FROM vocab"
 ORACLES["pad_token"] = f"""
@@ -265,7 +277,7 @@ ORACLES["encode_truncate"] = ENCODED
 ORACLES["encode_joined"] = ENCODED
 ORACLES["encode_with_bos"] = f"""
     WITH {encoded("SELECT doc_id, text FROM documents", DOCUMENT_TOKENS, "['<|begin_of_text|>']")}
-    SELECT doc_id, {joined('ids')} AS ids, {joined(ones('ids'))} AS mask FROM encoded"""
+    SELECT doc_id, {TOKENS} FROM encoded"""
 ORACLES["encode_tokenizer_file"] = ENCODED
 ORACLES["token_files"] = ENCODED
 DECODED = f"""
@@ -277,13 +289,12 @@ DECODED = f"""
     FROM documents d LEFT JOIN pieces USING (doc_id) GROUP BY d.doc_id"""
 ORACLES["decode_text"] = DECODED
 ORACLES["decode_joined"] = DECODED
+FIRST_LINE = f"regexp_extract_all(string_split(text, {NL})[1], {PATTERN})"
 ORACLES["completion_slice"] = f"""
     WITH {DOCUMENTS}
-    SELECT doc_id, {joined(f"list_slice(ids, len(regexp_extract_all(string_split(text, {NL})[1], {PATTERN})) + 1, len(ids))")} AS ids
+    SELECT doc_id, {joined(f"list_slice(ids, len({FIRST_LINE}) + 1, len(ids))")} AS ids
     FROM encoded JOIN source USING (doc_id)"""
-ORACLES["tensor_columns"] = (
-    f"WITH {DOCUMENTS} SELECT {joined('ids')} AS ids, {joined(ones('ids'))} AS mask FROM encoded"
-)
+ORACLES["tensor_columns"] = f"WITH {DOCUMENTS} SELECT {TOKENS} FROM encoded"
 
 # labels, padding, batches
 
@@ -291,7 +302,8 @@ ORACLES["labels_causal"] = f"""
     WITH {DOCUMENTS},
     newline AS (SELECT id AS newline_id FROM vocab WHERE token = {NL})
     SELECT doc_id, {joined('ids')} AS labels,
-      {joined('list_transform(ids, lambda x: CASE WHEN x = newline_id THEN -100 ELSE x END)')} AS labels_by_id
+      {joined('list_transform(ids, lambda x: CASE WHEN x = newline_id THEN -100 ELSE x END)')}
+        AS labels_by_id
     FROM encoded, newline"""
 ORACLES["labels_response"] = f"""
     WITH {encoded(SFT_TEXT, 16384)},
@@ -306,18 +318,21 @@ ORACLES["labels_response"] = f"""
                  lambda j: list_slice(ids, j, j + 3) = m)) + 3, len(ids)) AS e
       FROM encoded, marker),
     labelled AS (
-      SELECT doc_id, list_transform(ids, lambda x, i: CASE WHEN i <= e THEN -100 ELSE x END) AS labels
+      SELECT doc_id,
+        list_transform(ids, lambda x, i: CASE WHEN i <= e THEN -100 ELSE x END) AS labels
       FROM ends)
     SELECT doc_id, {joined('labels')} AS labels,
       CAST(len(list_filter(labels, lambda x: x <> -100)) AS INTEGER) AS supervised
     FROM labelled"""
-SHARD = f"CAST(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % {SHARDS} AS INTEGER)"
+HASH = "CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT)"
+SHARD = f"CAST({HASH} % {SHARDS} AS INTEGER)"
 
 
 def numbered(source: str, columns: str = "") -> str:
     return f"""
       SELECT doc_id{columns}, shard,
-        CAST(floor((row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1) / 2) AS INTEGER) AS batch
+        CAST(floor((row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1) / 2) AS INTEGER)
+          AS batch
       FROM (SELECT *, {SHARD} AS shard FROM {source})"""
 
 
@@ -328,7 +343,8 @@ ORACLES["batch_pad"] = f"""
     WITH {DOCUMENTS},
     numbered AS ({numbered('encoded', ', ids')}),
     sized AS (
-      SELECT *, CAST(max(len(ids)) OVER (PARTITION BY shard, batch) AS INTEGER) AS length FROM numbered),
+      SELECT *, CAST(max(len(ids)) OVER (PARTITION BY shard, batch) AS INTEGER) AS length
+      FROM numbered),
     pad AS (SELECT id AS pad_id FROM vocab WHERE token = '<|finetune_right_pad_id|>')
     SELECT doc_id, shard, batch, length, {joined(padded('ids', 'pad_id', 'length'))} AS ids,
       {joined(padded(ones('ids'), '0', 'length'))} AS mask,
@@ -357,7 +373,8 @@ ORACLES["prompts_filter"] = f"""
 PROMPT = f"""CASE WHEN role IN ('user', 'system') THEN text
     ELSE '<|begin_of_text|>' || {turn("'system'", "'turn ' || turn")} || {turn("'user'", "text")}
       || {header("'assistant'", f"{NL} || {NL}")} END"""
-ORACLES["prompts_render"] = f"SELECT {PROMPT} AS text, CAST(NULL AS VARCHAR) AS error FROM conversations"
+ORACLES["prompts_render"] = f"""
+    SELECT {PROMPT} AS text, CAST(NULL AS VARCHAR) AS error FROM conversations"""
 PREDICTED = f"""
     SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn,
       CASE WHEN role IN ('user', 'system') THEN text ELSE 'unused' END AS prompt,

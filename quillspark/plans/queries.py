@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import json
 import os
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark import SparkFiles
@@ -147,7 +147,8 @@ def extract_answer(spark, folder):
 @query
 def hash_answer(spark, folder):
     documents = inputs.table(spark, folder, "documents")
-    marked = F.when(F.col("lang") != "fr", F.concat("text", F.lit(" #### "), "source", F.lit("\n")))
+    ending = F.concat(F.lit(" #### "), "source", F.lit("\n"))
+    marked = F.when(F.col("lang") != "fr", F.concat("text", ending))
     text = F.coalesce(marked, F.col("text"))
     return documents.select("doc_id", R.extract_hash_answer(text).alias("answer"))
 
@@ -223,9 +224,8 @@ def group_advantage(spark, folder):
     scored = rollouts.score(inputs.rollouts(spark, folder))
     scored = scored.select("prompt_id", "gen_id", "reward")
     advantage = rollouts.group_advantage(scored)
-    return advantage.select(
-        "prompt_id", "gen_id", rounded("reward").alias("reward"), rounded("advantage").alias("advantage")
-    )
+    values = [rounded(n).alias(n) for n in ("reward", "advantage")]
+    return advantage.select("prompt_id", "gen_id", *values)
 
 
 @query
@@ -333,11 +333,11 @@ def _ship_tokenizer_file(vocab: DataFrame) -> str:
     ids = {r.token: r.id for r in vocab.collect()}
     tokenizer = Tokenizer(WordLevel(ids, unk_token=UNKNOWN))
     tokenizer.pre_tokenizer = Split(Regex(K.word_pattern()), behavior="isolated")
-    path = os.path.join(tempfile.mkdtemp(prefix="quillspark-"), "words.json")
-    path = path.replace("words.json", f"words-{abs(hash(json.dumps(ids)))}.json")
+    name = f"words-{uuid.uuid4().hex}.json"
+    path = os.path.join(tempfile.mkdtemp(prefix="quillspark-"), name)
     tokenizer.save(path)
     vocab.sparkSession.sparkContext.addFile(path)
-    return os.path.basename(path)
+    return name
 
 
 @query
@@ -501,7 +501,8 @@ def prompts_quarantine(spark, folder):
         .when(F.col("role") == "user", F.to_json(F.struct(F.col("text").alias("prompt"))))
         .otherwise(F.to_json(F.struct(F.col("text").alias("messages"))))
     )
-    lines = inputs.table(spark, folder, "conversations").select("conv_id", "turn", value.alias("value"))
+    turns = inputs.table(spark, folder, "conversations")
+    lines = turns.select("conv_id", "turn", value.alias("value"))
     _, unusable = predict.quarantine(predict.render_prompts(lines))
     return unusable.select("conv_id", "turn", "error")
 
@@ -564,11 +565,12 @@ def qa_files(spark, folder):
     path = fresh_path(spark, "qa")
     inputs.qa_rows(spark, folder).write.parquet(f"{path}/train")
     inputs.qa_rows(spark, folder).write.json(f"{path}/test")
-    train = mapping.format_qa(read_qa(spark, path)).select(F.lit("train").alias("split"), "question", "answer")
-    test = mapping.format_qa(read_qa(spark, path, "test", "json")).select(
-        F.lit("test").alias("split"), "question", "answer"
-    )
-    return train.unionByName(test)
+    splits = {"train": read_qa(spark, path), "test": read_qa(spark, path, "test", "json")}
+    rows = [
+        mapping.format_qa(rows).select(F.lit(name).alias("split"), "question", "answer")
+        for name, rows in splits.items()
+    ]
+    return rows[0].unionByName(rows[1])
 
 
 @query

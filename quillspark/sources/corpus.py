@@ -19,8 +19,8 @@ def read_json(
 
     ``auto`` looks at the first non-blank line for the start of a list. Line input is read in
     splits. Lists have no split points, so their files are read whole, one row per file; line
-    files among them are recognised one by one. Anything that is not a record stops the job, so neither trailing text
-    nor a file of the other layout is ever skipped silently.
+    files among them are recognised one by one. Anything that is not a record stops the job, so
+    neither trailing text nor a file of the other layout is ever skipped silently.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
