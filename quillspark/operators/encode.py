@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,35 +45,38 @@ def encode(
 
 def lookup_ids(vocab: DataFrame, unknown: str = UNKNOWN) -> Callable[[Column], Column]:
     """Expression mapping token arrays to id arrays; the vocabulary must be of checked size."""
-    table = vocab.select("token", F.col("id").cast("int")).toArrow().combine_chunks()
     (unknown_id,) = token_ids(vocab, [unknown], unknown)
-    shared = vocab.sparkSession.sparkContext.broadcast(table)
+    shared = _broadcast(vocab)
 
     @F.arrow_udf("array<int>")
     def ids_of(tokens: pa.Array) -> pa.Array:
-        table = shared.value
-        place = pc.index_in(tokens.flatten(), value_set=table["token"])
-        ids = pc.fill_null(table["id"].combine_chunks().take(place), unknown_id)
-        return _relist(tokens, ids)
+        known, ids = shared.value
+        place = pc.index_in(tokens.flatten(), value_set=known)
+        return _relist(tokens, pc.fill_null(ids.take(place), unknown_id))
 
     return ids_of
 
 
 def lookup_text(vocab: DataFrame, unknown: str = UNKNOWN) -> Callable[[Column], Column]:
     """Expression mapping id arrays to the concatenation of their tokens."""
-    table = vocab.select("token", F.col("id").cast("int")).toArrow().combine_chunks()
-    shared = vocab.sparkSession.sparkContext.broadcast(table)
+    shared = _broadcast(vocab)
 
     @F.arrow_udf("string")
     def text_of(ids: pa.Array) -> pa.Array:
-        table = shared.value
-        place = pc.index_in(ids.flatten(), value_set=table["id"])
-        tokens = pc.fill_null(table["token"].combine_chunks().take(place), unknown)
-        return pc.binary_join(_relist(ids, tokens), "")
+        tokens, known = shared.value
+        place = pc.index_in(ids.flatten(), value_set=known)
+        return pc.binary_join(_relist(ids, pc.fill_null(tokens.take(place), unknown)), "")
 
     return text_of
 
 
+def _broadcast(vocab: DataFrame) -> Broadcast[tuple[pa.Array, pa.Array]]:
+    """Tokens and ids of a vocabulary that LookupLimit has admitted."""
+    table = vocab.select("token", F.col("id").cast("int")).toArrow()
+    columns = table["token"].combine_chunks(), table["id"].combine_chunks()
+    return vocab.sparkSession.sparkContext.broadcast(columns)
+
+
 def _relist(like: pa.Array, values: pa.Array) -> pa.Array:
     """``values`` cut into lists of the same lengths (and nulls) as ``like``."""
     lengths = pc.fill_null(pc.list_value_length(like), 0).to_numpy(zero_copy_only=False)

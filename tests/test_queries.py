@@ -29,3 +29,43 @@ def test_entry(spark):
 def test_shared_folder_is_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == (configured or shared_folder(spark))
+
+
+NARROW = [
+    "chat_render_generation",
+    "sft_text",
+    "sft_text_compat",
+    "sft_rejected",
+    "rl_prompt",
+    "hash_answer",
+    "reward_total",
+    "reward_custom",
+    "rollout_fanout",
+    "inspect_rollouts",
+    "map_callback",
+    "prompts_filter",
+    "prompts_render",
+    "prompts_quarantine",
+    "prompts_predict",
+]
+
+
+def plan_of(spark, name):
+    return queries()[name](spark, TABLES)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", NARROW)
+def test_row_wise_queries_never_shuffle(spark, name):
+    assert "Exchange" not in plan_of(spark, name)
+
+
+@pytest.mark.parametrize("name", ["encode_joined", "decode_joined", "group_advantage", "batch_pad"])
+def test_no_query_forms_a_product(spark, name):
+    plan = plan_of(spark, name)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_scans_read_only_the_columns_they_use(spark):
+    assert "ReadSchema: struct<doc_id:bigint>" in plan_of(spark, "batch_assign")
+    plan = plan_of(spark, "sft_text")
+    assert "IsNotNull(text)" in plan.split("PushedFilters")[1]
