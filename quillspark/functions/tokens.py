@@ -48,13 +48,13 @@ def words(text: Column, pattern: str | None = None) -> Column:
 
 
 def model_tokens(
-    text: Column, max_tokens: int, pattern: str | None = None, bos: str | None = None
+    text: Column, max_tokens: int | None, pattern: str | None = None, bos: str | None = None
 ) -> Column:
-    """Words of a text, after a beginning token if one is given, up to a maximum."""
+    """Words of a text, after a beginning token if one is given, up to a maximum if one is."""
     tokens = words(text, pattern)
     if bos is not None:
         tokens = F.concat(F.array(F.lit(bos)), tokens)
-    return truncate(tokens, max_tokens)
+    return tokens if max_tokens is None else truncate(tokens, max_tokens)
 
 
 def truncate(ids: Column, max_tokens: int) -> Column:

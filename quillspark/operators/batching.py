@@ -15,7 +15,17 @@ SFT_BATCH, SFT_ACCUMULATION = 2, 4
 RL_BATCH, RL_ACCUMULATION = 1, 1
 
 
-def shard_of(key: Sequence[str], shards: int) -> Column:
+#: Rows of a shard on average, unless the number of shards is given.
+SHARD_ROWS = 1000
+
+
+def shard_count(df: DataFrame, rows: int = SHARD_ROWS) -> Column:
+    """Number of shards for the rows of ``df``, as a scalar subquery."""
+    count = df.agg(F.count(F.lit(1))).scalar()
+    return F.greatest(F.ceil(count / rows), F.lit(1)).cast("bigint")
+
+
+def shard_of(key: Sequence[str], shards: int | Column) -> Column:
     """Shard number from a hash of the row key: even for any unique key, sequential or not."""
     text = F.concat_ws("\u001f", *[F.col(k).cast("string") for k in key])
     head = F.substring(F.md5(text), 1, 8)
@@ -26,7 +36,7 @@ def assign_batches(
     df: DataFrame,
     key: str | Sequence[str],
     batch_size: int,
-    shards: int,
+    shards: int | None = None,
     accumulation: int = 1,
 ) -> DataFrame:
     """Add ``shard``, ``batch`` and ``step``.
@@ -34,11 +44,11 @@ def assign_batches(
     Rows are numbered within their shard in key order; every ``batch_size`` rows form a batch
     and every ``accumulation`` batches of a shard one optimiser step, so all batches but the
     last of a shard are full. The key columns together identify a row, as prompt and generation
-    number do, so that rows sharing one of them still spread over all shards. One shard is one
-    task: choose the number of shards by data size (a multiple of the devices), not by the
-    number of devices.
+    number do, so that rows sharing one of them still spread over all shards. A shard is sorted
+    in one task, so the number of shards follows the number of rows unless it is given.
     """
     key = [key] if isinstance(key, str) else list(key)
+    shards = shard_count(df) if shards is None else shards
     within = Window.partitionBy("shard").orderBy(*key)
     number = F.row_number().over(within) - 1
     return (

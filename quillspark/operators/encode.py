@@ -12,38 +12,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.tokens import attention_mask, model_tokens
-from quillspark.operators.skew import HOT_ROWS, hot_keys, split_hot
 from quillspark.operators.vocabulary import UNKNOWN, LookupLimit, token_ids
+from quillspark.session import store
 
 
 def encode(
     df: DataFrame,
     vocab: DataFrame,
-    max_tokens: int,
+    max_tokens: int | None = None,
     text: str = "text",
-    key: str | None = None,
     pattern: str | None = None,
     unknown: str = UNKNOWN,
     bos: str | None = None,
     limit: LookupLimit = LookupLimit(),
 ) -> DataFrame:
-    """Add ``input_ids`` and ``attention_mask`` for a text column.
+    """Add ``input_ids`` and ``attention_mask`` for a text column, whole unless ``max_tokens``.
 
     Raw corpus text takes a beginning token (``bos``), rendered chat text brings its own. Words
     are split and truncated in the JVM. A vocabulary within ``limit`` is then looked up in
-    place, with no shuffle; a larger one is joined (see encode_by_join), which needs a unique
-    ``key``. The check runs on ``vocab``, so pass a stored or checkpointed table.
+    place, with no shuffle; a larger one is joined (see encode_by_join). Both give the same
+    rows. The check runs on ``vocab``, so pass a stored or checkpointed table.
     """
-    if limit.admits(vocab):
-        ids = lookup_ids(vocab, unknown)(model_tokens(F.col(text), max_tokens, pattern, bos))
-        encoded = df.withColumn("input_ids", ids)
-        return encoded.withColumn("attention_mask", attention_mask(F.col("input_ids")))
-    if key is None:
-        raise ValueError("the vocabulary exceeds the lookup limit: pass a unique key to join on")
-    return encode_by_join(df, vocab, max_tokens, key, text, pattern, unknown, bos)
+    if not limit.admits(vocab):
+        return encode_by_join(df, vocab, max_tokens, text, pattern, unknown, bos)
+    ids = _lookup_ids(vocab, unknown)(model_tokens(F.col(text), max_tokens, pattern, bos))
+    encoded = df.withColumn("input_ids", ids)
+    return encoded.withColumn("attention_mask", attention_mask(F.col("input_ids")))
 
 
-def lookup_ids(vocab: DataFrame, unknown: str = UNKNOWN) -> Callable[[Column], Column]:
+def _lookup_ids(vocab: DataFrame, unknown: str = UNKNOWN) -> Callable[[Column], Column]:
     """Expression mapping token arrays to id arrays; the vocabulary must be of checked size."""
     (unknown_id,) = token_ids(vocab, [unknown], unknown)
     shared = _broadcast(vocab)
@@ -57,7 +54,7 @@ def lookup_ids(vocab: DataFrame, unknown: str = UNKNOWN) -> Callable[[Column], C
     return ids_of
 
 
-def lookup_text(vocab: DataFrame, unknown: str = UNKNOWN) -> Callable[[Column], Column]:
+def _lookup_text(vocab: DataFrame, unknown: str = UNKNOWN) -> Callable[[Column], Column]:
     """Expression mapping id arrays to the concatenation of their tokens."""
     shared = _broadcast(vocab)
 
@@ -88,86 +85,75 @@ def _relist(like: pa.Array, values: pa.Array) -> pa.Array:
 def encode_by_join(
     df: DataFrame,
     vocab: DataFrame,
-    max_tokens: int,
-    key: str,
+    max_tokens: int | None = None,
     text: str = "text",
     pattern: str | None = None,
     unknown: str = UNKNOWN,
     bos: str | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Encode against a vocabulary of any size by joining exploded tokens.
 
-    Truncation happens before the explode. Frequent tokens would pile up in one join task, so
-    they are split off and joined against their few vocabulary rows by broadcast. Regrouping is
-    per row, hence bounded by ``max_tokens``.
+    The rows are stored once with a number of their own and their words, so the text is split
+    once and rows need no key. A frequent token's join partition is split at run time. A row
+    regroups its own tokens only.
     """
     (unknown_id,) = token_ids(vocab, [unknown], unknown)
-    source = df.select(key, model_tokens(F.col(text), max_tokens, pattern, bos).alias("_words"))
-    tokens = source.select(key, F.posexplode("_words").alias("_pos", "_item"))
+    words = model_tokens(F.col(text), max_tokens, pattern, bos)
+    rows = store(df.withColumns({"_row": F.monotonically_increasing_id(), "_words": words}), "words")
     wanted = vocab.select(F.col("token").alias("_item"), F.col("id").cast("int").alias("_value"))
-    rows = _join_items(tokens, wanted, key, F.lit(unknown_id), hot_rows)
-    # a text without any token is in no joined row
-    empty = F.when(F.col(text).isNotNull(), F.array().cast("array<int>"))
-    encoded = df.join(rows, key, "left").withColumn("input_ids", F.coalesce("_values", empty))
-    return encoded.drop("_values").withColumn("attention_mask", attention_mask(F.col("input_ids")))
-
-
-def _join_items(
-    items: DataFrame, wanted: DataFrame, key: str, default: Column, hot_rows: int
-) -> DataFrame:
-    """Replace exploded items by their vocabulary value and regroup them per row, in order."""
-    rare, frequent = split_hot(items, ["_item"], hot_rows)
-    # at most MAX_HOT_KEYS vocabulary rows
-    hot = wanted.join(F.broadcast(hot_keys(items, ["_item"], hot_rows)), "_item", "left_semi")
-    matched = rare.join(wanted, "_item", "left").unionByName(
-        frequent.join(F.broadcast(hot), "_item", "left")
-    )
+    values = _join_items(rows, "_words", wanted, F.lit(unknown_id))
+    encoded = rows.join(values, "_row", "left")
+    # a text without any token is in no joined row, a null text has no ids
+    empty = F.when(F.col("_words").isNotNull(), F.array().cast("array<int>"))
+    encoded = encoded.withColumn("input_ids", F.coalesce("_values", empty))
+    encoded = encoded.withColumn("attention_mask", attention_mask(F.col("input_ids")))
+    kept = [c for c in df.columns if c not in ("input_ids", "attention_mask")]
+    return encoded.select(*kept, "input_ids", "attention_mask")
+
+
+def _join_items(rows: DataFrame, items: str, wanted: DataFrame, default: Column) -> DataFrame:
+    """(_row, _values): the vocabulary values of each stored row's items, in order."""
+    exploded = rows.select("_row", F.posexplode(items).alias("_pos", "_item"))
+    matched = exploded.join(wanted, "_item", "left")
     place = F.struct("_pos", F.coalesce("_value", default).alias("_value"))
-    rows = matched.groupBy(key).agg(F.array_sort(F.collect_list(place)).alias("_places"))
-    return rows.select(key, F.col("_places._value").alias("_values"))
+    grouped = matched.groupBy("_row").agg(F.array_sort(F.collect_list(place)).alias("_places"))
+    return grouped.select("_row", F.col("_places._value").alias("_values"))
 
 
 def decode(
     df: DataFrame,
     vocab: DataFrame,
     ids: str = "input_ids",
-    key: str | None = None,
     unknown: str = UNKNOWN,
     limit: LookupLimit = LookupLimit(),
 ) -> DataFrame:
     """Add ``text``: the tokens of an id array put together, special tokens kept."""
     if limit.admits(vocab):
-        return df.withColumn("text", lookup_text(vocab, unknown)(F.col(ids)))
-    if key is None:
-        raise ValueError("the vocabulary exceeds the lookup limit: pass a unique key to join on")
-    return decode_by_join(df, vocab, key, ids, unknown)
+        return df.withColumn("text", _lookup_text(vocab, unknown)(F.col(ids)))
+    return decode_by_join(df, vocab, ids, unknown)
 
 
 def decode_by_join(
-    df: DataFrame,
-    vocab: DataFrame,
-    key: str,
-    ids: str = "input_ids",
-    unknown: str = UNKNOWN,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, vocab: DataFrame, ids: str = "input_ids", unknown: str = UNKNOWN
 ) -> DataFrame:
-    """Decode against a vocabulary of any size; hot ids are split off as in encode_by_join."""
-    items = df.select(key, F.posexplode(ids).alias("_pos", "_item"))
+    """Decode against a vocabulary of any size, as encode_by_join encodes."""
+    rows = store(df.withColumn("_row", F.monotonically_increasing_id()), "ids")
     wanted = vocab.select(F.col("id").cast("int").alias("_item"), F.col("token").alias("_value"))
-    rows = _join_items(items, wanted, key, F.lit(unknown), hot_rows)
+    values = _join_items(rows, ids, wanted, F.lit(unknown))
     empty = F.when(F.col(ids).isNotNull(), F.lit(""))
-    text = F.coalesce(F.array_join("_values", ""), empty)
-    return df.join(rows, key, "left").withColumn("text", text).drop("_values")
+    decoded = rows.join(values, "_row", "left").withColumn(
+        "text", F.coalesce(F.array_join("_values", ""), empty)
+    )
+    return decoded.select(*[c for c in df.columns if c != "text"], "text")
 
 
 def encode_with(
     df: DataFrame,
     tokenizer_factory: Callable[[], Callable[[list[str]], Sequence[Sequence[int]]]],
-    max_tokens: int,
+    max_tokens: int | None = None,
     text: str = "text",
 ) -> DataFrame:
-    """Encode with a user-supplied tokenizer.
+    """Encode with a user-supplied tokenizer; it must give one list of ids per text.
 
     The factory runs once per task, typically opening a file shipped with SparkContext.addFile.
     Only the text column goes to Python.
@@ -178,8 +164,12 @@ def encode_with(
         tokenizer = tokenizer_factory()
         for batch in batches:
             texts = batch.to_pylist()
-            present = iter(tokenizer([t for t in texts if t is not None]))
-            rows = [None if t is None else list(next(present))[:max_tokens] for t in texts]
+            present = [t for t in texts if t is not None]
+            found = tokenizer(present)
+            if len(found) != len(present):
+                raise ValueError(f"the tokenizer gave {len(found)} rows for {len(present)} texts")
+            following = iter(found)
+            rows = [None if t is None else list(next(following))[:max_tokens] for t in texts]
             yield pa.array(rows, pa.list_(pa.int32()))
 
     encoded = df.withColumn("input_ids", ids_of(F.col(text)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -74,38 +76,143 @@ def _last_key_wins(record: Column) -> Column:
     return F.when(unique, record).otherwise(F.map_from_entries(last))
 
 
+_REREAD = (
+    f"struct<has_messages: boolean, messages: {MESSAGES}, has_prompt: boolean, prompt: string, "
+    "rest: string>"
+)
+
+
+class _Number(str):
+    """A number as it is written."""
+
+
+def _fields(line: str) -> list[tuple[str, object, int, int]]:
+    """Top-level (key, value, start, end) of a line that is exactly one JSON object.
+
+    NaN, Infinity and numbers of any length are accepted, as Python's reader accepts them.
+    """
+    decoder = json.JSONDecoder(parse_int=_Number, parse_float=_Number, parse_constant=_Number)
+    blank = re.compile(r"[ \t\n\r]*")
+
+    def after(at: int) -> int:
+        return blank.match(line, at).end()
+
+    at, found = after(0), []
+    if line[at : at + 1] != "{":
+        raise ValueError("no object")
+    at = after(at + 1)
+    while line[at : at + 1] != "}":
+        if found:
+            if line[at : at + 1] != ",":
+                raise ValueError("no comma")
+            at = after(at + 1)
+        if line[at : at + 1] != '"':
+            raise ValueError("no key")
+        key, end = json.decoder.scanstring(line, at + 1)
+        end = after(end)
+        if line[end : end + 1] != ":":
+            raise ValueError("no value")
+        value, end = decoder.raw_decode(line, after(end + 1))
+        found.append((key, value, at, end))
+        at = after(end)
+    if after(at + 1) != len(line):
+        raise ValueError("more than one value")
+    return found
+
+
+def _text_of(value: object) -> str | None:
+    if value is None or isinstance(value, str):
+        return None if value is None else str(value)
+    return json.dumps(value, ensure_ascii=False)
+
+
+def _messages_of(value: object) -> list[dict] | None:
+    if not isinstance(value, list) or not all(v is None or isinstance(v, dict) for v in value):
+        return None
+    return [v and {k: _text_of(v.get(k)) for k in ("role", "content")} for v in value]
+
+
+def _reread(line: str | None) -> dict | None:
+    """What render_prompts needs of a line, and its text without a response of its own."""
+    try:
+        fields = _fields(line) if line is not None else None
+    except (ValueError, RecursionError):
+        return None
+    if fields is None:
+        return None
+    record = {key: value for key, value, *_ in fields}
+    kept = [line[start:end] for key, _, start, end in fields if key != "response"]
+    prompt = record.get("prompt")
+    plain = isinstance(prompt, str) and not isinstance(prompt, _Number)
+    return {
+        "has_messages": "messages" in record,
+        "messages": _messages_of(record.get("messages")),
+        "has_prompt": "prompt" in record,
+        "prompt": prompt if plain else None,
+        "rest": "{" + ",".join(kept) + "}" if len(kept) < len(fields) else line,
+    }
+
+
+def _reread_column(line: Column) -> Column:
+    @F.arrow_udf(_REREAD)
+    def run(lines: pa.Array) -> pa.Array:
+        message = pa.struct([("role", pa.string()), ("content", pa.string())])
+        kind = pa.struct(
+            [
+                ("has_messages", pa.bool_()),
+                ("messages", pa.list_(message)),
+                ("has_prompt", pa.bool_()),
+                ("prompt", pa.string()),
+                ("rest", pa.string()),
+            ]
+        )
+        return pa.array([_reread(x) for x in lines.to_pylist()], kind)
+
+    return run(line)
+
+
 def render_prompts(
     lines: DataFrame, template: ChatTemplate = LLAMA3, value: str = "value"
 ) -> DataFrame:
-    """Add ``text`` (the prompt) or, for an unusable line, ``error``; and ``fields``.
+    """Add ``text`` (the prompt) or, for an unusable line, ``error``; and ``rest``.
+
+    A ``messages`` key wins over ``prompt`` even if its value is null. ``rest`` is the line
+    without a response of its own, all other fields as they are written.
 
-    A ``messages`` key wins over ``prompt`` even if its value is null. ``fields`` holds the
-    other fields of a record that brings a response of its own, and is null for the rest.
+    Ordinary lines are parsed in the JVM. Those that it does not take (NaN and Infinity, very
+    long strings, but also broken lines) and those with a response go through Python's reader.
     """
     parsed = parse_records(lines, value)
     record = F.col("record")
-    has_messages = F.map_contains_key(record, F.lit("messages"))
-    has_prompt = F.map_contains_key(record, F.lit("prompt"))
+    hard = record.isNull() | F.map_contains_key(record, F.lit("response"))
+    parsed = parsed.withColumn("_again", _reread_column(F.when(hard, F.col(value))))
+    again = F.col("_again")
+    known = again.isNotNull()
+    has_messages = F.when(known, again["has_messages"]).otherwise(
+        F.map_contains_key(record, F.lit("messages"))
+    )
+    has_prompt = F.when(known, again["has_prompt"]).otherwise(
+        F.map_contains_key(record, F.lit("prompt"))
+    )
     messages = F.try_variant_get(F.element_at(record, "messages"), "$", MESSAGES)
+    messages = F.when(known, again["messages"]).otherwise(messages)
     prompt = F.element_at(record, "prompt")
     plain = F.when(
         F.schema_of_variant(prompt) == "STRING", F.try_variant_get(prompt, "$", "string")
     )
+    plain = F.when(known, again["prompt"]).otherwise(plain)
     parsed = parsed.withColumn("_messages", F.when(has_messages, messages))
     text = F.when(has_messages, render(F.col("_messages"), template, True)).when(has_prompt, plain)
-    fields = F.when(
-        F.map_contains_key(record, F.lit("response")),
-        F.map_filter(record, lambda key, _: key != "response"),
-    )
     problem = (
-        F.when(record.isNull(), "not a JSON object")
+        F.when(record.isNull() & ~known, "not a JSON object")
         .when(~has_messages & ~has_prompt, "neither messages nor prompt")
         .when(has_messages, "unusable messages")
         .otherwise("unusable prompt")
     )
-    rendered = _compute(parsed, text=text, fields=fields, _problem=problem)
+    rest = F.coalesce(again["rest"], F.col(value))
+    rendered = _compute(parsed, text=text, rest=rest, _problem=problem)
     error = F.when(F.col("text").isNull(), F.col("_problem"))
-    return rendered.withColumn("error", error).drop("record", "_messages", "_problem")
+    return rendered.withColumn("error", error).drop("record", "_messages", "_problem", "_again")
 
 
 def fail_on_error(rendered: DataFrame, value: str = "value") -> DataFrame:
@@ -118,7 +225,7 @@ def fail_on_error(rendered: DataFrame, value: str = "value") -> DataFrame:
 def quarantine(rendered: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable lines and unusable lines (with ``error``)."""
     usable = rendered.where(F.col("error").isNull()).drop("error")
-    return usable, rendered.where(F.col("error").isNotNull()).drop("text", "fields")
+    return usable, rendered.where(F.col("error").isNotNull()).drop("text", "rest")
 
 
 def generate(
@@ -126,11 +233,12 @@ def generate(
     factory: PredictorFactory,
     parameters: GenerationParameters = GenerationParameters(),
     text: str = "text",
+    batch_size: int = 256,
 ) -> DataFrame:
     """Add ``response``: one generated text per prompt.
 
-    The factory runs once per task and the predictor sees Arrow batches; only the prompt text
-    goes to Python. Sampling predictors are declared non-deterministic, so that the optimizer
+    The factory runs once per task and the predictor sees at most ``batch_size`` prompts at
+    once; it must give one result for each. Only the prompt text goes to Python. Sampling predictors are declared non-deterministic, so that the optimizer
     never evaluates them twice for one row.
     """
 
@@ -138,36 +246,64 @@ def generate(
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         predictor = factory()
         for batch in batches:
-            yield pa.array(predictor(batch.to_pylist(), parameters), pa.string())
+            yield pa.array(_predicted(predictor, batch, parameters, batch_size), pa.string())
 
     if parameters.do_sample:
         predict = predict.asNondeterministic()
     return prompts.withColumn("response", predict(F.col(text)))
 
 
-def with_response(line: Column, fields: Column, response: Column) -> Column:
-    """The record line with ``response`` set and every other field as it was.
+def _predicted(predictor: Callable, prompts: pa.Array, parameters, batch_size: int) -> list:
+    rows, out = prompts.to_pylist(), []
+    for start in range(0, len(rows), batch_size):
+        part = rows[start : start + batch_size]
+        found = list(predictor(part, parameters))
+        if len(found) != len(part):
+            raise ValueError(f"the predictor gave {len(found)} results for {len(part)} prompts")
+        out.extend(found)
+    return out
+
 
-    A record without a response gets it appended to its own text, which keeps number formats
-    and key order. A record that has one is rebuilt from its other fields.
+def generate_tokens(
+    prompts: DataFrame,
+    factory: Callable[[], Callable],
+    parameters: GenerationParameters = GenerationParameters(),
+    ids: str = "input_ids",
+    batch_size: int = 256,
+) -> DataFrame:
+    """Add ``output_ids``: what a model on token ids gives for each prompt, prompt included.
+
+    As generate, with lists of ids instead of texts.
     """
+
+    @F.arrow_udf("array<int>")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        predictor = factory()
+        for batch in batches:
+            rows = _predicted(predictor, batch, parameters, batch_size)
+            yield pa.array(rows, pa.list_(pa.int32()))
+
+    if parameters.do_sample:
+        predict = predict.asNondeterministic()
+    return prompts.withColumn("output_ids", predict(F.col(ids)))
+
+
+def with_response(rest: Column, response: Column) -> Column:
+    """A record's text, an object with no response of its own, with ``response`` at its end."""
     quoted = F.to_json(F.struct(response.alias("response")), {"ignoreNullFields": "false"})
-    appended = F.concat(
-        F.substring(line, F.lit(1), F.length(line) - 1),
-        F.lit(","),
+    line = strip(rest)
+    opened = F.rtrim(F.substring(line, F.lit(1), F.length(line) - 1))
+    return F.concat(
+        opened,
+        F.when(opened == "{", F.lit("")).otherwise(F.lit(",")),
         F.substring(quoted, F.lit(2), F.length(quoted)),
     )
-    rebuilt = F.to_json(
-        F.map_concat(fields, F.create_map(F.lit("response"), response.cast("variant")))
-    )
-    return F.when(fields.isNull(), appended).otherwise(rebuilt)
 
 
 def prediction_lines(
-    predicted: DataFrame, value: str = "value", response: str = "response"
+    predicted: DataFrame, rest: str = "rest", response: str = "response"
 ) -> DataFrame:
-    line = with_response(F.col(value), F.col("fields"), F.col(response))
-    return predicted.select(line.alias("value"))
+    return predicted.select(with_response(F.col(rest), F.col(response)).alias("value"))
 
 
 def predict_lines(

@@ -8,11 +8,11 @@ from functools import reduce
 from operator import add
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.rewards import REWARDS, completion_text, extract_xml_answer
-from quillspark.operators.skew import HOT_ROWS, hot_keys, same_keys
+from quillspark.session import store
 
 # Completions per prompt and the constant added to the group deviation.
 GENERATIONS = 6
@@ -23,6 +23,8 @@ RewardFunction = Callable[..., Column]
 
 def fan_out(df: DataFrame, generations: int = GENERATIONS) -> DataFrame:
     """One row per prompt and generation number ``gen_id``, from 0."""
+    if generations < 1:
+        raise ValueError("a prompt needs at least one generation")
     return df.withColumn("gen_id", F.explode(F.sequence(F.lit(0), F.lit(generations - 1))))
 
 
@@ -40,6 +42,8 @@ def score(
     """
     rewards = REWARDS if rewards is None else rewards
     weights = weights or {}
+    if unknown := set(weights) - set(rewards):
+        raise ValueError(f"weights for rewards that are not given: {sorted(unknown)}")
     available = {name: F.col(name) for name in df.columns if name not in (prompts, completions)}
     if prompts in df.columns:
         available["prompts"] = F.col(prompts)
@@ -77,7 +81,10 @@ def python_reward(fn: Callable[..., list[float]]) -> RewardFunction:
         @F.arrow_udf("double")
         def run(*arrays: pa.Array) -> pa.Array:
             lists = {name: array.to_pylist() for name, array in zip(names, arrays)}
-            return pa.array(fn(**lists), pa.float64())
+            values = pa.array(fn(**lists), pa.float64())
+            if len(values) != len(arrays[0]):
+                raise ValueError(f"{len(values)} rewards for {len(arrays[0])} completions")
+            return values
 
         return run(*columns.values())
 
@@ -91,31 +98,21 @@ def group_advantage(
     group: str = "prompt_id",
     reward: str = "reward",
     epsilon: float = ADVANTAGE_EPSILON,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``advantage`` = (reward - group mean) / (group sample deviation + epsilon).
 
-    A group of one has no deviation and gets null. Ordinary groups are windows behind one
-    shuffle on the group key. Groups above ``hot_rows`` rows never meet in one task: their
-    statistics are combined on the map side and broadcast back (at most MAX_HOT_KEYS rows).
+    A group of one has no deviation and gets null; null groups are one group. The scored rows
+    are stored first, so sampled rewards are drawn once and the statistics belong to them. Means
+    and deviations are combined on the map side and joined back, so no group meets in one task:
+    a join partition that a large group fills is split at run time.
     """
-    statistics = {"_mean": F.avg(reward), "_deviation": F.stddev_samp(reward)}
-    advantage = (F.col(reward) - F.col("_mean")) / (F.col("_deviation") + epsilon)
-
-    hot = F.broadcast(hot_keys(df, [group], hot_rows).withColumnRenamed(group, f"_hot_{group}"))
-    match = same_keys(df, hot, [group])
-    ordinary = df.join(hot, match, "left_anti")
-    crowded = df.join(hot, match, "left_semi")
-
-    window = Window.partitionBy(group)
-    ordinary = ordinary.withColumns({n: s.over(window) for n, s in statistics.items()})
-    totals = crowded.groupBy(F.col(group).alias(f"_hot_{group}")).agg(
-        *[s.alias(n) for n, s in statistics.items()]
+    rows = store(df, "scored")
+    totals = rows.groupBy(F.col(group).alias("_group")).agg(
+        F.avg(reward).alias("_mean"), F.stddev_samp(reward).alias("_deviation")
     )
-    totals = F.broadcast(totals)
-    crowded = crowded.join(totals, same_keys(crowded, totals, [group])).drop(f"_hot_{group}")
-    result = ordinary.unionByName(crowded).withColumn("advantage", advantage)
-    return result.drop(*statistics)
+    joined = rows.join(totals, F.col(group).eqNullSafe(F.col("_group")))
+    advantage = (F.col(reward) - F.col("_mean")) / (F.col("_deviation") + epsilon)
+    return joined.withColumn("advantage", advantage).select(*df.columns, "advantage")
 
 
 def inspect_batches(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.chat import LLAMA3, ChatTemplate
 from quillspark.functions.tokens import END_OF_TEXT, RIGHT_PAD_TOKEN, words
+from quillspark.session import store
 
 UNKNOWN = "<unk>"
 
@@ -41,12 +42,13 @@ def token_counts(df: DataFrame, text: str = "text", pattern: str | None = None)
 
 def build_vocabulary(
     df: DataFrame,
-    size: int,
+    size: int | None,
     text: str = "text",
     reserved: Sequence[str] | None = None,
     pattern: str | None = None,
 ) -> DataFrame:
-    """Reserved tokens first, then the ``size`` most frequent corpus tokens (ties by token).
+    """Reserved tokens first, then the ``size`` most frequent corpus tokens (ties by token), or
+    all of them if ``size`` is None; then they are numbered file by file, not in one task.
 
     Ranking every distinct token for a top-k would send up to k rows per task to one task. The
     count of the k-th token comes from the histogram of counts instead (N tokens have fewer than
@@ -56,6 +58,9 @@ def build_vocabulary(
     reserved = template_tokens() if reserved is None else list(reserved)
     listed = _listed(df.sparkSession, reserved)
     counts = token_counts(df, text, pattern).where(~F.col("token").isin(reserved))
+    if size is None:
+        ranked = _number_all(counts, len(reserved))
+        return listed.select("token", F.col("pos").alias("id")).unionByName(ranked)
     downwards = Window.orderBy(F.desc("n"))
     histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("tokens"))
     above = F.coalesce(
@@ -71,6 +76,22 @@ def build_vocabulary(
     return listed.select("token", F.col("pos").alias("id")).unionByName(ranked)
 
 
+def _number_all(counts: DataFrame, first: int) -> DataFrame:
+    """(token, id) of all tokens by falling count, then token, from ``first`` on.
+
+    Sorted parts are stored; the sizes of the parts, one row each, give their first ids.
+    """
+    ordered = counts.repartitionByRange(F.desc("n"), "token").sortWithinPartitions(F.desc("n"), "token")
+    parts = store(ordered.withColumn("part", F.spark_partition_id()), "token-counts")
+    sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("base"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("n"), "token"))
+    numbered = parts.withColumn("place", place).join(F.broadcast(bases), "part")
+    number = F.col("base") + F.col("place") + (first - 1)
+    return numbered.select("token", number.cast("int").alias("id"))
+
+
 def add_tokens(vocab: DataFrame, tokens: Sequence[str]) -> DataFrame:
     """Append tokens that are not there yet with ids after the largest; others keep their id."""
     listed = _listed(vocab.sparkSession, list(dict.fromkeys(tokens)))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.chat import LLAMA3, ChatTemplate, message, render
 
+#: Turns put together in one step; it changes no result.
 TURNS_PER_PART = 1024
 
 
@@ -19,18 +20,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a small table over all cores.
-
-    A scan that would leave half of the cores idle is shuffled once before CPU-heavy work (at
-    most cores/2 scan splits of data); any larger table is read in place.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores // 2 else df
-
-
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents"))
+    return table(spark, folder, "documents")
 
 
 def sft_examples(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,21 +97,26 @@ def rollouts(spark: SparkSession, folder: str) -> DataFrame:
 def conversation_texts(
     turns: DataFrame, template: ChatTemplate = LLAMA3, turns_per_part: int = TURNS_PER_PART
 ) -> DataFrame:
-    """Chat text of turn-per-row conversations, in parts of bounded size.
+    """One chat text per conversation of turn-per-row input, whatever its number of turns.
 
-    Parts hold consecutive turn numbers (counted from 0), so that no group grows with the
-    length of a conversation. A conversation's text is its parts in order.
+    Each turn is rendered by itself. Parts of consecutive turn numbers are put together in
+    parallel, and their texts once more; only that last step holds a whole conversation.
     """
-    part = F.floor(F.col("turn") / turns_per_part).cast("int")
-    turn = F.struct("turn", "role", F.col("text").alias("content"))
-    grouped = turns.groupBy("conv_id", part.alias("part")).agg(
-        F.array_sort(F.collect_list(turn)).alias("messages")
-    )
-    later = replace(template, bos="")
-    text = F.when(F.col("part") == 0, render(F.col("messages"), template)).otherwise(
-        render(F.col("messages"), later)
-    )
-    return grouped.select("conv_id", "part", text.alias("text"))
+    piece = render(F.array(message(F.col("role"), F.col("text"))), replace(template, bos=""))
+    part = F.floor(F.col("turn") / turns_per_part)
+    rendered = turns.select("conv_id", part.alias("part"), "turn", "role", piece.alias("piece"))
+
+    def in_order(rows: DataFrame, keys: list[str], *place: str) -> DataFrame:
+        pieces = F.array_sort(F.collect_list(F.struct(*place, "piece")))
+        # array_join would leave a turn without role or text out in silence
+        whole = F.bool_and(F.col("piece").isNotNull())
+        joined = rows.groupBy(*keys).agg(pieces.alias("pieces"), whole.alias("whole"))
+        text = F.when(F.col("whole"), F.array_join("pieces.piece", ""))
+        return joined.select(*keys, text.alias("piece"))
+
+    parts = in_order(rendered, ["conv_id", "part"], "turn", "role")
+    whole = in_order(parts, ["conv_id"], "part")
+    return whole.select("conv_id", F.concat(F.lit(template.bos), "piece").alias("text"))
 
 
 def list_lines(records: DataFrame) -> DataFrame:

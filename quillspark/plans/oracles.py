@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+# What Python strips from a text, the format instruction, the tokens added to a
+# vocabulary, and the limits and batch sizes of the stages.
+from quillspark.functions.chat import FORMAT_INSTRUCTION
 from quillspark.functions.text import WHITESPACE
-from quillspark.functions.tokens import ADDED_TOKENS, word_pattern
-from quillspark.operators.vocabulary import UNKNOWN, template_tokens
-from quillspark.plans.queries import (
-    DOCUMENT_TOKENS,
-    FIXED_LENGTH,
-    SHARDS,
-    VOCABULARY_SIZE,
-)
+from quillspark.functions.tokens import ADDED_TOKENS
+
+VOCABULARY_SIZE = 128_000
+DOCUMENT_TOKENS = 4096
+SFT_TOKENS = 16384
+SHARD_ROWS = 1000
+UNKNOWN = "<unk>"
+RESERVED = [
+    UNKNOWN,
+    "<|begin_of_text|>",
+    "<|start_header_id|>",
+    "<|end_header_id|>",
+    "<|eot_id|>",
+    "<|end_of_text|>",
+    "<|finetune_right_pad_id|>",
+    "\n\n",
+    "system",
+    "user",
+    "assistant",
+]
+SPECIAL = sorted([*RESERVED[1:7], *ADDED_TOKENS], key=len, reverse=True)
 
 ORACLES: dict[str, str] = {}
 
@@ -41,19 +57,15 @@ def turn(role: str, content: str, gap: str = f"{NL} || {NL}", end: str = "<|eot_
 
 def chat(gap: str, end: str) -> str:
     return f"""
-    SELECT conv_id, CAST(floor(turn / 1024) AS INTEGER) AS part,
-      CASE WHEN turn < 1024 THEN '<|begin_of_text|>' ELSE '' END
-        || string_agg({turn('role', 'text', gap, end)}, '' ORDER BY turn) AS text
-    FROM conversations GROUP BY conv_id, floor(turn / 1024), turn < 1024"""
+    SELECT conv_id,
+      '<|begin_of_text|>' || string_agg({turn('role', 'text', gap, end)}, '' ORDER BY turn) AS text
+    FROM conversations GROUP BY conv_id"""
 
 
 ORACLES["chat_render"] = chat(f"{NL} || {NL}", "<|eot_id|>")
 ORACLES["chat_render_draft"] = chat(NL, "<|end_of_text|>")
 
-FORMAT = (
-    f"{NL} || 'Respond in the following format:' || {NL} || '<think>' || {NL} || '...' || {NL}"
-    f" || '</think>' || {NL} || '<answer>' || {NL} || '...' || {NL} || '</answer>' || {NL}"
-)
+FORMAT = quoted(FORMAT_INSTRUCTION)
 ORACLES["chat_render_generation"] = f"""
     SELECT item_id, '<|begin_of_text|>' || {turn("'system'", FORMAT)} || {turn("'user'", "text")}
       || {header("'assistant'", f"{NL} || {NL}")} AS text
@@ -203,15 +215,16 @@ ORACLES["inspect_rollouts"] = f"""
 
 # vocabulary and tokens
 
-PATTERN = quoted(word_pattern())
-RESERVED = template_tokens()
+ESCAPED = "|".join(t.replace("|", r"\|") for t in SPECIAL)
+PATTERN = quoted(r"[^ \n<]+| |\n\n|\n|" + ESCAPED + "|<")
 
 
 def values(tokens: list[str]) -> str:
     return ", ".join(f"({i}, {quoted(t)})" for i, t in enumerate(tokens))
 
 
-VOCAB = f"""
+def vocabulary(limit: str) -> str:
+    return f"""
     reserved(id, token) AS (VALUES {values(RESERVED)}),
     added(place, token) AS (VALUES {values(ADDED_TOKENS)}),
     counts AS (
@@ -220,7 +233,7 @@ VOCAB = f"""
       WHERE token NOT IN (SELECT token FROM reserved) GROUP BY token),
     ranked AS (
       SELECT token, row_number() OVER (ORDER BY n DESC, token) AS place FROM counts
-      ORDER BY place LIMIT {VOCABULARY_SIZE}),
+      ORDER BY place {limit}),
     base AS (
       SELECT id, token FROM reserved
       UNION ALL SELECT place + {len(RESERVED) - 1}, token FROM ranked),
@@ -231,14 +244,18 @@ VOCAB = f"""
       FROM added WHERE token NOT IN (SELECT token FROM base))"""
 
 
-def encoded(source: str, limit: int, first: str = "[]") -> str:
+VOCAB = vocabulary(f"LIMIT {VOCABULARY_SIZE}")
+WHOLE_VOCAB = vocabulary("")
+
+
+def encoded(source: str, limit: int | None, first: str = "[]", vocab: str = VOCAB) -> str:
+    words = f"list_concat({first}, regexp_extract_all(text, {PATTERN}))"
+    if limit is not None:
+        words = f"list_slice({words}, 1, {limit})"
     return f"""
-    {VOCAB},
+    {vocab},
     source AS ({source}),
-    word_lists AS (
-      SELECT doc_id,
-        list_slice(list_concat({first}, regexp_extract_all(text, {PATTERN})), 1, {limit}) AS w
-      FROM source),
+    word_lists AS (SELECT doc_id, {words} AS w FROM source),
     placed AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM word_lists),
     found AS (
       SELECT doc_id, list(coalesce(id, 0) ORDER BY pos) AS ids
@@ -249,6 +266,7 @@ def encoded(source: str, limit: int, first: str = "[]") -> str:
 
 
 DOCUMENTS = encoded("SELECT doc_id, text FROM documents", DOCUMENT_TOKENS)
+WHOLE = encoded("SELECT doc_id, text FROM documents", None)
 
 
 def joined(sql: str) -> str:
@@ -278,23 +296,16 @@ ORACLES["encode_joined"] = ENCODED
 ORACLES["encode_with_bos"] = f"""
     WITH {encoded("SELECT doc_id, text FROM documents", DOCUMENT_TOKENS, "['<|begin_of_text|>']")}
     SELECT doc_id, {TOKENS} FROM encoded"""
-ORACLES["encode_tokenizer_file"] = ENCODED
 ORACLES["token_files"] = ENCODED
-DECODED = f"""
-    WITH {DOCUMENTS},
-    pieces AS (
-      SELECT doc_id, pos, coalesce(v.token, '{UNKNOWN}') AS piece
-      FROM placed LEFT JOIN vocab v USING (token))
-    SELECT d.doc_id, coalesce(string_agg(piece, '' ORDER BY pos), '') AS text
-    FROM documents d LEFT JOIN pieces USING (doc_id) GROUP BY d.doc_id"""
+DECODED = "SELECT doc_id, text FROM documents"
 ORACLES["decode_text"] = DECODED
 ORACLES["decode_joined"] = DECODED
 FIRST_LINE = f"regexp_extract_all(string_split(text, {NL})[1], {PATTERN})"
 ORACLES["completion_slice"] = f"""
-    WITH {DOCUMENTS}
+    WITH {WHOLE}
     SELECT doc_id, {joined(f"list_slice(ids, len({FIRST_LINE}) + 1, len(ids))")} AS ids
     FROM encoded JOIN source USING (doc_id)"""
-ORACLES["tensor_columns"] = f"WITH {DOCUMENTS} SELECT {TOKENS} FROM encoded"
+ORACLES["tensor_columns"] = f"WITH {WHOLE} SELECT {TOKENS} FROM encoded"
 
 # labels, padding, batches
 
@@ -306,7 +317,7 @@ ORACLES["labels_causal"] = f"""
         AS labels_by_id
     FROM encoded, newline"""
 ORACLES["labels_response"] = f"""
-    WITH {encoded(SFT_TEXT, 16384)},
+    WITH {encoded(SFT_TEXT, SFT_TOKENS)},
     marker AS (
       SELECT [(SELECT id FROM vocab WHERE token = '<|start_header_id|>'),
               (SELECT id FROM vocab WHERE token = 'assistant'),
@@ -324,16 +335,14 @@ ORACLES["labels_response"] = f"""
     SELECT doc_id, {joined('labels')} AS labels,
       CAST(len(list_filter(labels, lambda x: x <> -100)) AS INTEGER) AS supervised
     FROM labelled"""
-HASH = "CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT)"
-SHARD = f"CAST({HASH} % {SHARDS} AS INTEGER)"
-
-
-def numbered(source: str, columns: str = "") -> str:
+def numbered(source: str, columns: str = "", key: str = "doc_id", size: int = 2) -> str:
+    digits = f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT)"
+    shards = f"(SELECT greatest(ceil(count(*) / {SHARD_ROWS}), 1) FROM {source})"
     return f"""
-      SELECT doc_id{columns}, shard,
-        CAST(floor((row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1) / 2) AS INTEGER)
+      SELECT {key}{columns}, shard,
+        CAST(floor((row_number() OVER (PARTITION BY shard ORDER BY {key}) - 1) / {size}) AS INTEGER)
           AS batch
-      FROM (SELECT *, {SHARD} AS shard FROM {source})"""
+      FROM (SELECT *, CAST({digits} % CAST({shards} AS BIGINT) AS INTEGER) AS shard FROM {source})"""
 
 
 ORACLES["batch_assign"] = f"""
@@ -353,17 +362,49 @@ ORACLES["batch_pad"] = f"""
 ORACLES["fixed_pad"] = f"""
     WITH {DOCUMENTS},
     pad AS (SELECT id AS pad_id FROM vocab WHERE token = '<|finetune_right_pad_id|>')
-    SELECT doc_id, {joined(padded('ids', 'pad_id', str(FIXED_LENGTH)))} AS ids,
-      {joined(padded(ones('ids'), '0', str(FIXED_LENGTH)))} AS mask
+    SELECT doc_id, {joined(padded('ids', 'pad_id', str(DOCUMENT_TOKENS)))} AS ids,
+      {joined(padded(ones('ids'), '0', str(DOCUMENT_TOKENS)))} AS mask
     FROM encoded, pad"""
 ORACLES["length_budget"] = f"""
-    WITH {DOCUMENTS}
+    WITH {WHOLE}
     SELECT doc_id, {joined('list_slice(ids, greatest(1, len(ids) - 511), len(ids))')} AS prompt,
       {joined('list_slice(ids, 1, 3584)')} AS completion
     FROM encoded"""
 
+ORACLES["sft_batches"] = f"""
+    WITH {encoded(SFT_TEXT, SFT_TOKENS)},
+    marker AS (
+      SELECT [(SELECT id FROM vocab WHERE token = '<|start_header_id|>'),
+              (SELECT id FROM vocab WHERE token = 'assistant'),
+              (SELECT id FROM vocab WHERE token = '<|end_header_id|>'),
+              (SELECT id FROM vocab WHERE token = {NL} || {NL})] AS m),
+    ends AS (
+      SELECT text, ids,
+        coalesce(list_max(list_filter(range(1, greatest(2, len(ids) - 2)),
+                 lambda j: list_slice(ids, j, j + 3) = m)) + 3, len(ids)) AS e
+      FROM encoded JOIN source USING (doc_id), marker),
+    labelled AS (
+      SELECT text, ids,
+        list_transform(ids, lambda x, i: CASE WHEN i <= e THEN -100 ELSE x END) AS labels
+      FROM ends),
+    numbered AS ({numbered('labelled', ', ids, labels', 'text')}),
+    sized AS (
+      SELECT *, CAST(max(len(ids)) OVER (PARTITION BY shard, batch) AS INTEGER) AS length
+      FROM numbered),
+    pad AS (SELECT id AS pad_id FROM vocab WHERE token = '<|finetune_right_pad_id|>')
+    SELECT text, shard, batch, CAST(floor(batch / 4) AS INTEGER) AS step, length,
+      {joined(padded('ids', 'pad_id', 'length'))} AS ids,
+      {joined(padded(ones('ids'), '0', 'length'))} AS mask,
+      {joined(padded('labels', '-100', 'length'))} AS labels
+    FROM sized, pad"""
+
 # callbacks and inference
 
+LAST_WORDS = "list_slice(w, greatest(1, len(w) - 511), len(w))"
+ORACLES["tokens_predict"] = f"""
+    SELECT doc_id, array_to_string(list_slice(list_reverse({LAST_WORDS}), 1, 16), '') AS response
+    FROM (SELECT doc_id, regexp_extract_all(text, {PATTERN}) AS w FROM documents)"""
+
 ORACLES["map_callback"] = """
     SELECT doc_id, len(string_split(text, ' ')) AS n_words, replace(text, 'e', 'E') AS shouted
     FROM documents"""
@@ -394,6 +435,11 @@ ORACLES["prompts_quarantine"] = """
 
 # files
 
+ORACLES["corpus_mixed_files"] = "SELECT text FROM documents"
+# what a record's other fields must read after its response was replaced
+NUMBERS = (
+    '{"n": [1.50, 1e400, -0, NaN, -Infinity, 123456789012345678901234567890123456789012345]'
+)
 ORACLES["corpus_files"] = "SELECT text FROM documents"
 ORACLES["corpus_list_files"] = "SELECT text FROM documents"
 ORACLES["sft_files"] = f"""
@@ -401,3 +447,7 @@ ORACLES["sft_files"] = f"""
 ORACLES["qa_files"] = f"""
     SELECT split, text AS question, {QA_ANSWER} AS answer
     FROM benchmark, (VALUES ('train'), ('test')) s(split)"""
+ORACLES["prompts_with_responses"] = f"""
+    SELECT {quoted(NUMBERS)} AS head,
+      text AS prompt, text || '|1024' AS response
+    FROM conversations WHERE text IS NOT NULL"""

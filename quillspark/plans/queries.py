@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable
 
-from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,10 +17,8 @@ from quillspark.operators.encode import (
     decode_by_join,
     encode,
     encode_by_join,
-    encode_with,
 )
 from quillspark.operators.vocabulary import (
-    UNKNOWN,
     add_tokens,
     build_vocabulary,
     resolve_pad,
@@ -40,10 +34,8 @@ from quillspark.sources.prompts import (
 )
 from quillspark.streaming.prompts import predict_folder
 
-VOCABULARY_SIZE = 2000
-SHARDS = 16
+VOCABULARY_SIZE = 128_000
 DOCUMENT_TOKENS = K.CPT_MAX_TOKENS
-FIXED_LENGTH = 256
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -236,24 +228,40 @@ def inspect_rollouts(spark, folder):
 # vocabulary and tokens
 
 
-def _vocabulary(spark: SparkSession, folder: str) -> DataFrame:
-    """Corpus vocabulary with the added tokens, stored once for its size check and lookups."""
-    documents = inputs.documents(spark, folder)
-    base = store(build_vocabulary(documents, VOCABULARY_SIZE), "vocabulary")
-    return store(add_tokens(base, K.ADDED_TOKENS), "vocabulary")
+_VOCABULARIES: dict[tuple[str, str, int | None], DataFrame] = {}
 
 
-def _encoded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    vocab = _vocabulary(spark, folder)
+def _vocabulary(
+    spark: SparkSession, folder: str, size: int | None = VOCABULARY_SIZE
+) -> DataFrame:
+    """Corpus vocabulary with the added tokens (all tokens for size None), stored once for each
+    application and folder."""
+    key = (spark.sparkContext.applicationId, folder, size)
+    if key not in _VOCABULARIES:
+        base = store(build_vocabulary(inputs.documents(spark, folder), size), "vocabulary")
+        _VOCABULARIES[key] = store(add_tokens(base, K.ADDED_TOKENS), "vocabulary")
+    return _VOCABULARIES[key]
+
+
+def _encoded(
+    spark: SparkSession,
+    folder: str,
+    max_tokens: int | None = DOCUMENT_TOKENS,
+    size: int | None = VOCABULARY_SIZE,
+) -> tuple[DataFrame, DataFrame]:
+    vocab = _vocabulary(spark, folder, size)
     documents = inputs.documents(spark, folder).select("doc_id", "text")
-    return encode(documents, vocab, DOCUMENT_TOKENS, key="doc_id"), vocab
+    return encode(documents, vocab, max_tokens), vocab
 
 
 def _sft_encoded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     vocab = _vocabulary(spark, folder)
-    examples = inputs.spread(inputs.sft_examples(spark, folder))
-    formatted, _ = mapping.format_sft(examples, keep=["doc_id"])
-    return encode(formatted, vocab, K.SFT_MAX_TOKENS, key="doc_id"), vocab
+    formatted, _ = mapping.format_sft(inputs.sft_examples(spark, folder), keep=["doc_id"])
+    return encode(formatted, vocab, K.SFT_MAX_TOKENS), vocab
+
+
+def _response_marker(vocab: DataFrame) -> list[int]:
+    return token_ids(vocab, ["<|start_header_id|>", "assistant", "<|end_header_id|>", "\n\n"])
 
 
 def _pad_id(vocab: DataFrame) -> Column:
@@ -293,7 +301,7 @@ def encode_truncate(spark, folder):
 def encode_with_bos(spark, folder):
     documents = inputs.documents(spark, folder).select("doc_id", "text")
     vocab = _vocabulary(spark, folder)
-    return _tokens(encode(documents, vocab, DOCUMENT_TOKENS, key="doc_id", bos=LLAMA3.bos))
+    return _tokens(encode(documents, vocab, DOCUMENT_TOKENS, bos=LLAMA3.bos))
 
 
 @query
@@ -301,64 +309,26 @@ def encode_joined(spark, folder):
     """The path for vocabularies too large to ship."""
     documents = inputs.documents(spark, folder).select("doc_id", "text")
     vocab = _vocabulary(spark, folder)
-    return _tokens(encode_by_join(documents, vocab, DOCUMENT_TOKENS, "doc_id"))
-
-
-@query
-def encode_tokenizer_file(spark, folder):
-    """The plug-in path: a tokenizer file shipped to the workers."""
-    vocab = _vocabulary(spark, folder)
-    name = _ship_tokenizer_file(vocab)
-
-    def open_tokenizer():
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(SparkFiles.get(name))
-
-        def run(texts: list[str]) -> list[list[int]]:
-            return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-        return run
-
-    documents = inputs.documents(spark, folder).select("doc_id", "text")
-    return _tokens(encode_with(documents, open_tokenizer, DOCUMENT_TOKENS))
-
-
-def _ship_tokenizer_file(vocab: DataFrame) -> str:
-    """Word-level tokenizer file over a vocabulary of bounded size."""
-    from tokenizers import Regex, Tokenizer
-    from tokenizers.models import WordLevel
-    from tokenizers.pre_tokenizers import Split
-
-    ids = {r.token: r.id for r in vocab.collect()}
-    tokenizer = Tokenizer(WordLevel(ids, unk_token=UNKNOWN))
-    tokenizer.pre_tokenizer = Split(Regex(K.word_pattern()), behavior="isolated")
-    name = f"words-{uuid.uuid4().hex}.json"
-    path = os.path.join(tempfile.mkdtemp(prefix="quillspark-"), name)
-    tokenizer.save(path)
-    vocab.sparkSession.sparkContext.addFile(path)
-    return name
+    return _tokens(encode_by_join(documents, vocab, DOCUMENT_TOKENS))
 
 
 @query
 def decode_text(spark, folder):
-    encoded, vocab = _encoded(spark, folder)
+    encoded, vocab = _encoded(spark, folder, None, None)
     return decode(encoded.select("doc_id", "input_ids"), vocab).select("doc_id", "text")
 
 
 @query
 def decode_joined(spark, folder):
-    encoded, vocab = _encoded(spark, folder)
+    encoded, vocab = _encoded(spark, folder, None, None)
     rows = encoded.select("doc_id", "input_ids")
-    return decode_by_join(rows, vocab, "doc_id").select("doc_id", "text")
+    return decode_by_join(rows, vocab).select("doc_id", "text")
 
 
 @query
 def completion_slice(spark, folder):
     """Generated ids after a prompt: here the prompt is a document's first line."""
-    vocab = _vocabulary(spark, folder)
-    documents = inputs.documents(spark, folder).select("doc_id", "text")
-    encoded = encode(documents, vocab, DOCUMENT_TOKENS, key="doc_id")
+    encoded, _ = _encoded(spark, folder, None)
     first_line = K.words(F.substring_index("text", "\n", 1))
     prompt = F.slice(F.col("input_ids"), F.lit(1), F.size(first_line))
     return encoded.select("doc_id", joined(K.after_prompt(F.col("input_ids"), prompt)).alias("ids"))
@@ -366,7 +336,7 @@ def completion_slice(spark, folder):
 
 @query
 def tensor_columns(spark, folder):
-    encoded, _ = _encoded(spark, folder)
+    encoded, _ = _encoded(spark, folder, None)
     tensors = mapping.tensor_columns(encoded)
     return tensors.select(joined("input_ids").alias("ids"), joined("attention_mask").alias("mask"))
 
@@ -388,8 +358,7 @@ def labels_causal(spark, folder):
 @query
 def labels_response(spark, folder):
     encoded, vocab = _sft_encoded(spark, folder)
-    marker = token_ids(vocab, ["<|start_header_id|>", "assistant", "<|end_header_id|>", "\n\n"])
-    labels = K.response_labels(F.col("input_ids"), marker)
+    labels = K.response_labels(F.col("input_ids"), _response_marker(vocab))
     return encoded.select("doc_id", labels.alias("_labels")).select(
         "doc_id",
         joined("_labels").alias("labels"),
@@ -401,7 +370,7 @@ def labels_response(spark, folder):
 def batch_assign(spark, folder):
     documents = inputs.table(spark, folder, "documents").select("doc_id")
     return batching.assign_batches(
-        documents, "doc_id", batching.CPT_BATCH, SHARDS, batching.CPT_ACCUMULATION
+        documents, "doc_id", batching.CPT_BATCH, accumulation=batching.CPT_ACCUMULATION
     )
 
 
@@ -409,7 +378,7 @@ def batch_assign(spark, folder):
 def batch_pad(spark, folder):
     encoded, vocab = _encoded(spark, folder)
     rows = encoded.select("doc_id", "input_ids")
-    batched = batching.assign_batches(rows, "doc_id", batching.CPT_BATCH, SHARDS)
+    batched = batching.assign_batches(rows, "doc_id", batching.CPT_BATCH)
     batched = batched.withColumn("labels", K.causal_labels(F.col("input_ids")))
     padded = batching.pad_batches(batched, _pad_id(vocab), labels="labels")
     return padded.select(
@@ -427,13 +396,13 @@ def batch_pad(spark, folder):
 def fixed_pad(spark, folder):
     encoded, vocab = _encoded(spark, folder)
     rows = encoded.select("doc_id", "input_ids")
-    return _tokens(batching.pad_fixed(rows, _pad_id(vocab), FIXED_LENGTH))
+    return _tokens(batching.pad_fixed(rows, _pad_id(vocab), DOCUMENT_TOKENS))
 
 
 @query
 def length_budget(spark, folder):
     """Documents as prompts (last tokens kept) and as completions (first tokens kept)."""
-    encoded, _ = _encoded(spark, folder)
+    encoded, _ = _encoded(spark, folder, None)
     ids = F.col("input_ids")
     return encoded.select(
         "doc_id",
@@ -442,6 +411,32 @@ def length_budget(spark, folder):
     )
 
 
+@query
+def sft_batches(spark, folder):
+    """Supervised files to padded batches under response-only labels."""
+    path = fresh_path(spark, "sft")
+    inputs.sft_examples(spark, folder).drop("doc_id").write.json(path)
+    vocab = _vocabulary(spark, folder)
+    formatted, _ = mapping.format_sft(read_sft(spark, path))
+    encoded = encode(formatted, vocab, K.SFT_MAX_TOKENS)
+    labels = K.response_labels(F.col("input_ids"), _response_marker(vocab))
+    rows = encoded.withColumn("labels", labels).drop("attention_mask")
+    batched = batching.assign_batches(
+        rows, "text", batching.SFT_BATCH, accumulation=batching.SFT_ACCUMULATION
+    )
+    padded = batching.pad_batches(batched, _pad_id(vocab), labels="labels")
+    return padded.select(
+        "text",
+        "shard",
+        "batch",
+        "step",
+        "length",
+        joined("input_ids").alias("ids"),
+        joined("attention_mask").alias("mask"),
+        joined("labels").alias("labels"),
+    )
+
+
 # callbacks and inference
 
 
@@ -513,6 +508,24 @@ def prompts_predict(spark, folder):
     return _fields(predict.predict_lines(lines, _echo, GREEDY))
 
 
+@query
+def tokens_predict(spark, folder):
+    """Inference on ids: encode, predict, drop the prompt, decode."""
+
+    def open_model():
+        def continue_backwards(prompts: list[list[int]], parameters) -> list[list[int]]:
+            return [ids + ids[::-1][:16] for ids in prompts]
+
+        return continue_backwards
+
+    encoded, vocab = _encoded(spark, folder, None, None)
+    prompts = encoded.select("doc_id", K.prompt_budget(F.col("input_ids")).alias("prompt"))
+    predicted = predict.generate_tokens(prompts, open_model, GREEDY, "prompt")
+    completion = K.after_prompt(F.col("output_ids"), F.col("prompt"))
+    rows = predicted.select("doc_id", completion.alias("input_ids"))
+    return decode(rows, vocab).select("doc_id", F.col("text").alias("response"))
+
+
 # files
 
 
@@ -546,6 +559,34 @@ def corpus_list_files(spark, folder):
     return read_corpus(spark, path)
 
 
+@query
+def corpus_mixed_files(spark, folder):
+    """A folder of line files and list files."""
+    path = fresh_path(spark, "corpus")
+    documents = inputs.documents(spark, folder)
+    is_list = F.col("doc_id") % 2 == 0
+    records = documents.where(is_list).select(F.to_json(F.struct("*")).alias("value"))
+    inputs.list_lines(records).write.text(path)
+    documents.where(~is_list).write.mode("append").json(path)
+    return read_corpus(spark, path)
+
+
+@query
+def prompts_with_responses(spark, folder):
+    """Records that bring a response and numbers of every form; those stay as written."""
+    numbers = '"n": [1.50, 1e400, -0, NaN, -Infinity, 123456789012345678901234567890123456789012345]'
+    turns = inputs.table(spark, folder, "conversations").where("text is not null")
+    prompt = F.to_json(F.struct(F.col("text").alias("prompt")))
+    rest = F.substring(prompt, F.lit(2), F.length(prompt))
+    line = F.concat(F.lit('{"response": "old", ' + numbers + ","), rest)
+    predicted = predict.predict_lines(turns.select(line.alias("value")), _echo, GREEDY)
+    head = F.substring_index("value", ',"prompt"', 1)
+    # the array is no strict JSON, so the two texts are read from what follows it
+    tail = F.concat(F.lit("{"), F.substring("value", F.length(head) + 2, F.length("value")))
+    texts = [F.get_json_object(tail, f"$.{f}").alias(f) for f in ("prompt", "response")]
+    return predicted.select(head.alias("head"), *texts)
+
+
 @query
 def corpus_files(spark, folder):
     path = fresh_path(spark, "corpus")

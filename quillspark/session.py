@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -33,8 +34,20 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a temporary one only if unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """The folder that the driver and all executors share.
+
+    It is the one in spark.checkpoint.dir, or else the one given to setCheckpointDir. A session
+    on one machine (master local) may do without and gets a temporary folder; anywhere else
+    each executor would write to its own disk, so that is an error.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = configured or context.getCheckpointDir()
+    if folder:
+        return folder
+    if re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        return _own_folder()
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

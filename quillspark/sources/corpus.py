@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,25 +18,44 @@ LAYOUTS = ("auto", "lines", "array")
 def read_json(
     spark: SparkSession, path: str | list[str], schema: T.StructType, layout: str = "auto"
 ) -> DataFrame:
-    """Records from newline-delimited JSON or from files holding a top-level list.
+    """Records from newline-delimited JSON and from files holding a top-level list.
 
-    ``auto`` looks at the first non-blank line for the start of a list. Line input is read in
-    splits. Lists have no split points, so their files are read whole, one row per file; line
-    files among them are recognised one by one. Anything that is not a record stops the job, so
-    neither trailing text nor a file of the other layout is ever skipped silently.
+    ``auto`` looks at the first non-blank line of each file for the start of a list. Line files
+    are read in splits, whatever stands beside them. Lists have no split points, so their files
+    are read whole, one row per file, up to the 2 GiB that a value can hold. Anything that is
+    not a record stops the job, so trailing text is never skipped silently.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    if layout == "auto":
-        lines = spark.read.text(path).where(~is_blank(F.col("value")))
-        first = lines.select(strip(F.col("value")).alias("head")).first()
-        layout = "array" if first is not None and first.head.startswith("[") else "lines"
-    if layout == "lines":
-        texts = spark.read.text(path).where(~is_blank(F.col("value")))
-        texts = texts.select(strip(F.col("value")).alias("value"))
-    else:
-        texts = _file_contents(spark, path)
-    return texts.select(F.inline(_records(F.col("value"), schema)))
+    lists: list[str] = []
+    line_files: str | list[str] = path
+    if layout == "array":
+        lists, line_files = ([path] if isinstance(path, str) else path), []
+    elif layout == "auto":
+        lists, others = _layouts(spark, path)
+        if lists:
+            line_files = others
+    texts = []
+    if line_files:
+        lines = spark.read.text(line_files).where(~is_blank(F.col("value")))
+        texts.append(lines.select(strip(F.col("value")).alias("value")))
+    if lists:
+        texts.append(_file_contents(spark, lists))
+    return reduce(DataFrame.unionByName, texts).select(F.inline(_records(F.col("value"), schema)))
+
+
+def _layouts(spark: SparkSession, path: str | list[str]) -> tuple[list[str], list[str]]:
+    """List files and other files, by their first non-blank line.
+
+    One name per file comes to the driver, as in any listing of the files.
+    """
+    lines = spark.read.text(path).where(~is_blank(F.col("value")))
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    opens = F.startswith(strip(F.col("value")), F.lit("["))
+    heads = lines.select(F.col("_metadata.file_path").alias("file"), place.alias("place"), opens.alias("opens"))
+    files = heads.groupBy("file").agg(F.min_by("opens", "place").alias("opens")).collect()
+    named = sorted((unquote(r.file), r.opens) for r in files)
+    return [f for f, is_list in named if is_list], [f for f, is_list in named if not is_list]
 
 
 def _file_contents(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -56,7 +78,7 @@ def _records(text: Column, schema: T.StructType) -> Column:
     """
     record = schema.simpleString()
     enclosed = F.concat(F.lit("["), text, F.lit("]"))
-    strict = {"mode": "FAILFAST"}
+    strict = {"mode": "FAILFAST", "maxStringLen": str(2**31 - 1)}
     single = F.from_json(enclosed, F.lit(f"array<{record}>"), strict)
     nested = F.from_json(enclosed, F.lit(f"array<array<{record}>>"), strict)
     records = F.when(F.startswith(text, F.lit("[")), F.flatten(nested)).otherwise(single)

@@ -35,6 +35,14 @@ def test_batches_are_full_but_the_last_of_a_shard(spark):
     assert sum(map(len, groups.values())) == 500
 
 
+def test_shards_follow_the_rows(spark):
+    def shards(n):
+        return B.assign_batches(spark.range(n), "id", 2).select("shard").distinct().count()
+
+    assert [shards(n) for n in (1, 1000, 1001, 4500)] == [1, 1, 2, 5]
+    assert B.assign_batches(spark.range(0), "id", 2).count() == 0
+
+
 def test_effective_batch_of_pretraining():
     assert B.CPT_BATCH * B.CPT_ACCUMULATION * B.CPT_DEVICES == 128
 

@@ -100,18 +100,22 @@ def test_rl_prompt_is_narrow(spark):
     assert "Exchange" not in plan
 
 
-def test_long_conversation_is_split_into_parts_and_kept_whole(spark):
-    turns = spark.range(2500).select(
+@pytest.mark.parametrize("first", [0, 5])
+def test_long_conversations_are_one_text(spark, first):
+    turns = spark.range(first, first + 3000).select(
         F.lit(1).alias("conv_id"),
         F.col("id").alias("turn"),
         F.lit("user").alias("role"),
         F.concat(F.lit("t"), "id").alias("text"),
     )
-    other = spark.createDataFrame([(2, 0, "user", "x")], "conv_id int, turn long, role string, text string")
-    rows = conversation_texts(turns.unionByName(other), turns_per_part=100).orderBy("part").collect()
-    long = [r for r in rows if r.conv_id == 1]
-    assert [r.part for r in long] == list(range(25))
+    other = spark.createDataFrame(
+        [(2, 0, "user", "x"), (3, 0, "user", None), (3, 1, "user", "y")],
+        "conv_id int, turn long, role string, text string",
+    )
+    got = conversation_texts(turns.unionByName(other), turns_per_part=100)
+    assert got.columns == ["conv_id", "text"]
+    rows = {r.conv_id: r.text for r in got.collect()}
     want = "<|begin_of_text|>" + "".join(
-        f"<|start_header_id|>user<|end_header_id|>\n\nt{i}<|eot_id|>" for i in range(2500)
+        f"<|start_header_id|>user<|end_header_id|>\n\nt{i}<|eot_id|>" for i in range(first, first + 3000)
     )
-    assert "".join(r.text for r in long) == want
+    assert rows[1] == want and rows[3] is None and rows[2].startswith("<|begin_of_text|>")

@@ -1,8 +1,6 @@
-import os
 import random
 
 import pytest
-from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
 from quillspark import schemas
@@ -17,6 +15,7 @@ from quillspark.operators.vocabulary import (
     template_tokens,
     token_ids,
 )
+from quillspark.session import store
 
 
 @pytest.fixture(scope="module")
@@ -84,19 +83,47 @@ def test_pad_resolution(spark, tokens, options, want):
 def test_lookup_and_join_agree(corpus, full_vocab):
     small = full_vocab.where(F.col("id") < 30)
     looked_up = table(E.encode(corpus, small, 15))
-    assert table(E.encode_by_join(corpus, small, 15, "id")) == looked_up
-    # every token that occurs twice is hot here
-    assert table(E.encode_by_join(corpus, small, 15, "id", hot_rows=1)) == looked_up
+    assert table(E.encode_by_join(corpus, small, 15)) == looked_up
     assert looked_up[200] == ([], [])
     assert any(0 in ids for ids, _ in looked_up.values())
     assert all(len(ids) == len(mask) <= 15 for ids, mask in looked_up.values())
+    assert table(E.encode_by_join(corpus, small)) == table(E.encode(corpus, small))
+
+
+ODD_ROWS = [(1, "the w1"), (None, "the w1 w2"), (2, "w2"), (2, "w1 the"), (2, "w1 the"), (3, None), (None, ""), (4, "")]
+
+
+def test_paths_agree_on_null_repeated_and_empty_rows(spark, full_vocab):
+    df = spark.createDataFrame(ODD_ROWS, "id int, text string")
+    none = LookupLimit(rows=0)
+
+    def rows(frame, *columns):
+        return sorted((tuple(r[c] for c in columns) for r in frame.collect()), key=repr)
+
+    columns = ("id", "text", "input_ids", "attention_mask")
+    looked_up, by_join = E.encode(df, full_vocab), E.encode(df, full_vocab, limit=none)
+    assert rows(looked_up, *columns) == rows(by_join, *columns) and by_join.columns == looked_up.columns
+    ids = looked_up.select("id", "input_ids")
+    want = sorted(ODD_ROWS, key=repr)
+    assert rows(E.decode(ids, full_vocab), "id", "text") == want
+    assert rows(E.decode(ids, full_vocab, limit=none), "id", "text") == want
+
+
+def test_a_text_is_split_once(spark, corpus, full_vocab):
+    vocab = store(full_vocab, "vocabulary")
+    plan = E.encode_by_join(corpus, vocab)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan  # done before the rows were stored
+
+
+def test_whole_vocabulary_is_numbered_like_a_cut_one(corpus):
+    assert build_vocabulary(corpus, None).orderBy("id").collect() == build_vocabulary(corpus, 10**6).orderBy("id").collect()
 
 
 def test_beginning_token(corpus, full_vocab):
     plain = table(E.encode(corpus, full_vocab, 14))
     for begun in (
         E.encode(corpus, full_vocab, 15, bos="<|begin_of_text|>"),
-        E.encode_by_join(corpus, full_vocab, 15, "id", bos="<|begin_of_text|>"),
+        E.encode_by_join(corpus, full_vocab, 15, bos="<|begin_of_text|>"),
     ):
         assert {k: v[0] for k, v in table(begun).items()} == {k: [1, *v[0]] for k, v in plain.items()}
 
@@ -110,8 +137,7 @@ def test_decode_restores_the_text(corpus, full_vocab):
     encoded = E.encode(corpus, full_vocab, 10**6).select("id", "input_ids", F.col("text").alias("want"))
     for decoded in (
         E.decode(encoded, full_vocab),
-        E.decode_by_join(encoded, full_vocab, "id"),
-        E.decode_by_join(encoded, full_vocab, "id", hot_rows=1),
+        E.decode_by_join(encoded, full_vocab),
     ):
         rows = decoded.collect()
         assert len(rows) == 203 and all(r.text == r.want for r in rows)
@@ -121,21 +147,15 @@ def test_unknown_ids_and_null_rows(spark, full_vocab):
     df = spark.createDataFrame([(1, [99999, 1]), (2, None), (3, [])], "id int, input_ids array<int>")
     want = {1: UNKNOWN + template_tokens()[1], 2: None, 3: ""}
     assert {r.id: r.text for r in E.decode(df, full_vocab).collect()} == want
-    assert {r.id: r.text for r in E.decode_by_join(df, full_vocab, "id").collect()} == want
+    assert {r.id: r.text for r in E.decode_by_join(df, full_vocab).collect()} == want
     texts = spark.createDataFrame([(1, None), (2, "the")], "id int, text string")
     assert table(E.encode(texts, full_vocab, 5))[1] == (None, None)
-    assert table(E.encode_by_join(texts, full_vocab, 5, "id"))[1] == (None, None)
+    assert table(E.encode_by_join(texts, full_vocab, 5))[1] == (None, None)
 
 
-def test_size_check_decides_the_path(corpus, full_vocab):
-    tiny = LookupLimit(rows=5)
-    with pytest.raises(ValueError):
-        E.encode(corpus, full_vocab, 15, limit=tiny)
-    with pytest.raises(ValueError):
-        E.decode(corpus, full_vocab, limit=tiny)
-    joined = E.encode(corpus, full_vocab, 15, key="id", limit=tiny)
-    assert table(joined) == table(E.encode(corpus, full_vocab, 15))
-    assert not LookupLimit(chars=5).admits(full_vocab)
+def test_size_check(full_vocab):
+    assert LookupLimit().admits(full_vocab)
+    assert not LookupLimit(chars=5).admits(full_vocab) and not LookupLimit(rows=5).admits(full_vocab)
 
 
 def test_lookup_path_has_no_shuffle(corpus, full_vocab):
@@ -147,29 +167,20 @@ def test_token_ids(full_vocab):
     assert token_ids(full_vocab, ["<|eot_id|>", "no such word"]) == [4, 0]
 
 
-def test_tokenizer_file_plugin(spark, corpus, tmp_path):
-    from tokenizers import Tokenizer
-    from tokenizers.models import WordLevel
-    from tokenizers.pre_tokenizers import WhitespaceSplit
-
-    path = tmp_path / "plugin.json"
-    tokenizer = Tokenizer(WordLevel({"[UNK]": 0, "the": 1, "w1": 2}, unk_token="[UNK]"))
-    tokenizer.pre_tokenizer = WhitespaceSplit()
-    tokenizer.save(str(path))
-    spark.sparkContext.addFile(str(path))
+def test_plugin(spark, corpus):
     opened = spark.sparkContext.accumulator(0)
 
     def factory():
         opened.add(1)
-        loaded = Tokenizer.from_file(SparkFiles.get(os.path.basename(path)))
-        return lambda texts: [e.ids for e in loaded.encode_batch(texts)]
+        return lambda texts: [[len(w) for w in t.split()] for t in texts]
 
     data = corpus.coalesce(2)
     cut = table(E.encode_with(data, factory, 5))
     assert 0 < opened.value <= 2
-    whole = table(E.encode_with(data, factory, 10**6))
-    assert table(E.encode_with(data, factory, 5)) == cut
+    whole = table(E.encode_with(data, factory))
     assert all(cut[k][0] == whole[k][0][:5] for k in whole)
-    assert cut[201][0] == [1, 1] and cut[200][0] == []
+    assert cut[201][0] == [3, 3] and cut[200][0] == []
     nulls = spark.createDataFrame([(1, None), (2, "the")], "id int, text string")
-    assert table(E.encode_with(nulls, factory, 5)) == {1: (None, None), 2: ([1], [1])}
+    assert table(E.encode_with(nulls, factory, 5)) == {1: (None, None), 2: ([3], [1])}
+    with pytest.raises(Exception, match="rows for"):
+        E.encode_with(data, lambda: lambda texts: [[1]] * (len(texts) + 1)).collect()

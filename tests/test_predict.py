@@ -77,13 +77,54 @@ def test_number_formats_and_key_order_survive(spark):
 
 def test_null_response_is_written(spark):
     df = lines(spark, '{"prompt":"p"}').select(
-        P.with_response(
-            F.col("value"), F.lit(None).cast(P.RECORD), F.lit(None).cast("string")
-        ).alias("value")
+        P.with_response(F.col("value"), F.lit(None).cast("string")).alias("value")
     )
     assert json.loads(df.first().value) == {"prompt": "p", "response": None}
 
 
+NUMBERS = '{"n":[1.50,1e400,-0,123456789012345678901234567890123456789012345],"prompt":"p"'
+
+
+@pytest.mark.parametrize("old", ["", ',"response":"old"', ',"response":{"a":[1,"}"]}'])
+@pytest.mark.parametrize("constant", ["", ',"c":[NaN,-Infinity,Infinity]'])
+def test_numbers_stay_as_written(spark, old, constant):
+    line = NUMBERS + old + constant + "}"
+    (row,) = P.predict_lines(lines(spark, line), echo, GREEDY).collect()
+    assert row.value == NUMBERS + constant + ',"response":"[p]"}'
+
+
+def test_lines_need_not_be_stripped(spark):
+    rendered = P.render_prompts(lines(spark, '{"prompt":"q"}  ', ' {"prompt":"r" } '))
+    got = P.prediction_lines(P.generate(P.fail_on_error(rendered), echo, GREEDY)).collect()
+    assert [json.loads(r.value)["response"] for r in got] == ["[q]", "[r]"]
+
+
+def test_very_long_lines(spark):
+    df = spark.range(1).select(
+        F.concat(F.lit('{"x":"'), F.repeat(F.lit("ab\\n "), F.lit(26_000_000)), F.lit('","prompt":"p"}')).alias("value")
+    )
+    predicted_rows = P.predict_lines(df, echo, GREEDY)
+    row = predicted_rows.select(F.length("value").alias("n"), F.right("value", F.lit(20)).alias("end")).first()
+    assert row.n > 130_000_000 and row.end == '"p","response":"[p]"}'[-20:]
+
+
+def test_results_are_counted(spark):
+    with pytest.raises(Exception, match="results for"):
+        P.predict_lines(lines(spark, '{"prompt":"a"}'), lambda: lambda texts, p: [], GREEDY).collect()
+    prompts = spark.createDataFrame([(1, [1, 2]), (2, [])], "id int, input_ids array<int>")
+    sizes = spark.sparkContext.accumulator(0)
+
+    def open_model():
+        def run(rows, parameters):
+            sizes.add(len(rows) > 1)
+            return [r + [9] for r in rows]
+
+        return run
+
+    got = P.generate_tokens(prompts, open_model, GREEDY, batch_size=1).collect()
+    assert {r.id: r.output_ids for r in got} == {1: [1, 2, 9], 2: [9]} and sizes.value == 0
+
+
 @pytest.mark.parametrize("line", BAD)
 def test_unusable_lines_stop_the_job(spark, line):
     with pytest.raises(Exception, match="prompt line"):
@@ -137,6 +178,22 @@ def test_files_in_and_out(spark, tmp_path):
     assert "é" in text
 
 
+def test_folder_inference_sets_unusable_lines_aside(spark, tmp_path):
+    prompts, output, rejected = (tmp_path / n for n in ("prompts", "predictions", "rejected"))
+    prompts.mkdir()
+    (prompts / "1.jsonl").write_text('{"prompt":"a"}\nbroken\n{"k":1}\n')
+    for _ in range(2):
+        predict_folder(
+            spark, str(prompts), str(output), str(tmp_path / "state"), echo, GREEDY, rejected=str(rejected)
+        ).awaitTermination()
+    assert [json.loads(r.value)["response"] for r in spark.read.text(str(output)).collect()] == ["[a]"]
+    bad = spark.read.schema("value string, error string").json(str(rejected)).collect()
+    assert {(r.value, r.error) for r in bad} == {
+        ("broken", "not a JSON object"),
+        ('{"k":1}', "neither messages nor prompt"),
+    }
+
+
 def test_folder_inference_resumes(spark, tmp_path):
     prompts, output = tmp_path / "prompts", tmp_path / "predictions"
     prompts.mkdir()

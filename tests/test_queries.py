@@ -1,8 +1,10 @@
 import pytest
 from conftest import TABLES
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
 from check_oracles import compare, connect
+from quillspark.plans.oracles import ORACLES
+from quillspark.plans.queries import QUERIES
 from quillspark.session import shared_folder
 
 
@@ -12,23 +14,42 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_its_sql(spark, connection, name):
     assert compare(spark, connection, TABLES, name) is None
 
 
+def test_decoded_text_is_the_text(spark):
+    decoded = QUERIES["decode_joined"](spark, TABLES)
+    documents = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text")
+    assert decoded.exceptAll(documents).count() == documents.exceptAll(decoded).count() == 0
+
+
 def test_entry(spark):
     df = entry(spark)
     assert df.count() == spark.read.parquet(f"{TABLES}/conversations.parquet").count()
     assert df.columns == entry(spark).columns
 
 
-def test_shared_folder_is_the_configured_one(spark):
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_folder(spark) == (configured or shared_folder(spark))
+class Session:
+    """As much of a session as shared_folder looks at."""
+
+    def __init__(self, master, configured=None, checkpoint=None):
+        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
+        self.sparkContext = self
+        self.master, self.getCheckpointDir = master, lambda: checkpoint
+
+
+def test_shared_folder():
+    assert shared_folder(Session("yarn", "hdfs:/a", "hdfs:/b")) == "hdfs:/a"
+    assert shared_folder(Session("yarn", None, "hdfs:/b")) == "hdfs:/b"
+    assert shared_folder(Session("local[8]")) == shared_folder(Session("local"))
+    for master in ("yarn", "spark://h:1", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Session(master))
 
 
 NARROW = [
@@ -51,7 +72,7 @@ NARROW = [
 
 
 def plan_of(spark, name):
-    return queries()[name](spark, TABLES)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, TABLES)._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("name", NARROW)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import rewards as R
 from quillspark.operators import rollouts as O
-from quillspark.operators.skew import hot_keys, split_hot
 
 ROLLOUT = "prompt_id int, gen_id int, completion array<struct<role string, content string>>, answer string"
 
@@ -23,16 +22,15 @@ def advantages(df):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 1, 0])
-def test_group_advantage(spark, hot_rows):
+def test_group_advantage(spark):
     df = rewards(spark, [(1, 1.0), (1, 3.0), (2, 5.0), (2, 5.0), (3, 4.0)])
-    got = advantages(O.group_advantage(df, hot_rows=hot_rows))
+    got = advantages(O.group_advantage(df))
     assert got == sorted([(1, -0.707057), (1, 0.707057), (2, 0.0), (2, 0.0), (3, None)], key=repr)
 
 
 def test_group_advantage_with_a_group_of_a_third_of_all_rows(spark):
     rows = [(None if i % 3 == 0 else i % 50, float(i * i % 17)) for i in range(3000)]
-    got = O.group_advantage(rewards(spark, rows), hot_rows=500)
+    got = O.group_advantage(rewards(spark, rows))
     groups = defaultdict(list)
     for key, value in rows:
         groups[key].append(value)
@@ -43,21 +41,18 @@ def test_group_advantage_with_a_group_of_a_third_of_all_rows(spark):
     assert advantages(got) == sorted([(k, round(v, 6)) for k, v in want], key=repr)
 
 
-def test_hot_keys_are_the_largest_groups(spark):
-    df = spark.createDataFrame([("a",)] * 9 + [("b",)] * 5 + [("c",)] + [(None,)] * 7, "k string")
-    assert {r.k for r in hot_keys(df, ["k"], 4).collect()} == {"a", "b", None}
-    ordinary, hot = split_hot(df, ["k"], 4)
-    assert ordinary.columns == hot.columns == ["k"]
-    assert [r.k for r in ordinary.collect()] == ["c"] and hot.count() == 21
+def test_sampled_rewards_are_drawn_once(spark):
+    df = spark.range(40).select((F.col("id") % 2).cast("int").alias("prompt_id"), F.rand().alias("reward"))
+    means = O.group_advantage(df).groupBy("prompt_id").agg(F.avg("advantage").alias("m")).collect()
+    assert len(means) == 2 and all(abs(r.m) < 1e-6 for r in means)
 
 
-def test_ordinary_groups_cost_one_shuffle_of_the_rows(spark):
-    df = spark.range(1000).select((F.col("id") % 100).alias("prompt_id"), F.rand(1).alias("reward"))
-    result = O.group_advantage(df)
-    result.collect()
-    final = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    # without hot groups only the window and its exchange are left
-    assert final.count("Exchange") == 1 and "Join" not in final and "Union" not in final
+def test_misspelt_weights_and_no_generations_are_refused(spark):
+    df = spark.createDataFrame([(1, 0, [("assistant", "4")], "4")], ROLLOUT)
+    with pytest.raises(ValueError, match="numerik"):
+        O.score(df, weights={"numerik": 2.0})
+    with pytest.raises(ValueError):
+        O.fan_out(spark.range(3), 0)
 
 
 def test_fan_out(spark):

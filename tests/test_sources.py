@@ -35,6 +35,34 @@ def test_mixed_folder(spark, folder):
     assert sorted(r.text for r in rows) == ["a"] * 3 + ["b\n"] * 3
 
 
+@pytest.mark.parametrize("order", [("pretty", "lines"), ("lines", "pretty"), ("one_line", "lines")])
+def test_each_file_has_its_own_layout(spark, tmp_path, order):
+    for i, name in enumerate(order):
+        more = '{"text":"c"}\n' * 500 if name == "lines" else ""
+        (tmp_path / f"{i} a.json").write_text(LAYOUTS[name] + more)
+    rows = sorted(r.text for r in read_corpus(spark, str(tmp_path)).collect())
+    assert rows == sorted(["a", "b\n"] * 2 + ["c"] * 500)
+
+
+def test_line_files_beside_lists_are_still_split(spark, tmp_path):
+    (tmp_path / "0.json").write_text(LAYOUTS["pretty"])
+    (tmp_path / "1.json").write_text('{"text":"c"}\n' * 200_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        df = read_corpus(spark, str(tmp_path))
+        parts = df.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert df.count() == 200_002 and parts > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("content", ['{"text":"%s"}', '[\n{"text":"%s"}\n]'])
+def test_long_texts(spark, tmp_path, content):
+    (tmp_path / "data.json").write_text(content % ("x" * 21_000_000))
+    assert read_corpus(spark, str(tmp_path)).select(F.length("text")).first()[0] == 21_000_000
+
+
 @pytest.mark.parametrize(
     "content",
     [
