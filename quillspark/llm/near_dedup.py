@@ -93,8 +93,9 @@ def registers(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def compress(least: np.ndarray) -> np.ndarray:
     """Leading zeros << MANTISSA | mantissa of 64-bit values."""
-    exponent = np.frexp(least.astype(np.float64))[1]  # bit length; may round up to the next
-    over = (exponent > 0) & ((least >> np.clip(exponent - 1, 0, 63).astype(np.uint64)) == 0)
+    # bit lengths; a value just under a power of two may round up to it
+    exponent = np.minimum(np.frexp(least.astype(np.float64))[1], 64)
+    over = (exponent > 0) & ((least >> np.maximum(exponent - 1, 0).astype(np.uint64)) == 0)
     exponent = exponent - over
     zeros = np.minimum(64 - exponent, 63).astype(np.uint64)
     shifted = least << np.minimum(zeros + np.uint64(1), np.uint64(63))
@@ -192,8 +193,26 @@ def set_rows(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id bigint, items array<bigint>")
 
 
-def similar(common: Column, left: Column, right: Column, percent: int) -> Column:
-    return common * 100 >= (left + right - common) * percent
+def plausible(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose estimated similarity lies at most MARGIN deviations under the threshold."""
+    limit = percent / 100
+    limit -= MARGIN * math.sqrt(limit * (1 - limit) / REGISTERS)
+
+    @F.arrow_udf("double")
+    def estimated(left: pa.Array, right: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
+        if not len(left):
+            return pa.array([], pa.float64())
+        tables = [
+            np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            for x in (left, right)
+        ]
+        same = (tables[0] == tables[1]).sum(axis=1)
+        return pa.array(estimate(same, n.to_numpy(), m.to_numpy()))
+
+    left = signed.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
+    right = signed.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
+    joined = pairs.join(right, "b").join(left, "a")
+    return joined.where(estimated("r_a", "r_b", "n_a", "n_b") >= limit).select("a", "b")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -202,67 +221,157 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("right"))
     joined = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("left", "right"))
-    rows = joined.select(
-        "a", "b", common.alias("c"), F.size("left").alias("n"), F.size("right").alias("m")
-    )
-    return rows.where(similar(F.col("c"), F.col("n"), F.col("m"), percent)).select("a", "b")
-
-
-def _cross_pairs(threshold: float):
-    """Pairs of one block that lie in different components and may be similar by estimate."""
+    rows = joined.select("a", "b", common.alias("c"), (F.size("left") + F.size("right")).alias("n"))
+    return rows.where(F.col("c") * 100 >= (F.col("n") - F.col("c")) * percent).select("a", "b")
+
+
+class SetIndex:
+    """Sets under their members, to count what each has in common with another set."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        items = np.concatenate(sets)
+        order = np.argsort(items, kind="stable")
+        self.items = items[order]
+        self.owners = np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def similar(self, items: np.ndarray, percent: int) -> np.ndarray:
+        """Places of the sets that are similar enough to ``items``."""
+        first = np.searchsorted(self.items, items, "left")
+        counts = np.searchsorted(self.items, items, "right") - first
+        ends = np.cumsum(counts)
+        at = np.repeat(first - (ends - counts), counts) + np.arange(ends[-1])
+        common = np.bincount(self.owners[at], minlength=len(self.sizes))
+        return np.flatnonzero(common * 100 >= (self.sizes + len(items) - common) * percent)
+
+
+def _links_of_block(percent: int):
+    """One link for each outsider of a block that is similar to one of its members, or, in a
+    block of outsiders alone, the links that join what is similar."""
+
+    def links(rows: pd.DataFrame) -> Iterator[tuple[int, int]]:
+        ids, sets = rows["id"].to_numpy(), list(rows["items"])
+        outside = rows["outside"].to_numpy()
+        among = bool(outside.all())
+        inside = np.arange(len(ids)) if among else np.flatnonzero(~outside)
+        index = SetIndex([sets[i] for i in inside])
+        for y in np.flatnonzero(outside):
+            found = inside[index.similar(sets[y], percent)]
+            found = found[found < y] if among else found[:1]
+            yield from ((ids[y], ids[x]) for x in found)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, parts = rows["id"].to_numpy(), rows["component"].to_numpy()
-        sizes, rest = rows["n"].to_numpy(), rows["rest"].to_numpy()
-        first_block = bool((rows["block"] == 0).all())
-        table = np.frombuffer(b"".join(rows["registers"]), np.uint16).reshape(len(rows), REGISTERS)
-        found_a, found_b = [], []
-        main = np.flatnonzero(~rest)
-        others = np.flatnonzero(rest)
-        for i, y in enumerate(others):
-            against = np.concatenate([main, others[:i]]) if first_block else main
-            against = against[parts[against] != parts[y]]
-            if not len(against):
-                continue
-            same = (table[against] == table[y]).sum(axis=1)
-            j = estimate(same, sizes[against], np.full(len(against), sizes[y]))
-            near = against[j >= threshold]
-            found_a.append(np.minimum(ids[near], ids[y]))
-            found_b.append(np.maximum(ids[near], ids[y]))
-        none = np.empty(0, np.int64)
-        return pd.DataFrame(
-            {"a": np.concatenate([none, *found_a]), "b": np.concatenate([none, *found_b])}
-        )
+        return pd.DataFrame(_spanning(links(rows)), columns=["a", "b"], dtype="int64")
 
     return run
 
 
+def _spanning(links: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Links that join as much as all of them, no more than one per id."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    kept = []
+    for a, b in links:
+        x, y = find(int(a)), find(int(b))
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            kept.append((min(int(a), int(b)), max(int(a), int(b))))
+    return kept
+
+
+def _parts(count: str) -> Column:
+    return F.ceil(F.col(count) / BLOCK_ROWS).cast("bigint")
+
+
+def _deal(key: str, parts: Column) -> Column:
+    return F.pmod(F.xxhash64(key), parts)
+
+
+def _all(parts: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
+
+
+def late_links(rows: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links over the borders of components, from full sets.
+
+    ``rows``: (band, id, component, main, rest) of buckets that hold several components;
+    ``members``: (id, component) of all documents in buckets. Outsiders of a bucket's main
+    component meet all its members, in blocks of at most about BLOCK_ROWS of either; outsiders
+    of one bucket meet each other likewise. Tasks give at most a link per document.
+    """
+    attached = rows.where("rest").select("id", F.col("main").alias("component")).distinct()
+    outside = attached.groupBy("component").agg(F.count(F.lit(1)).alias("outsiders"))
+    inside = members.join(outside, "component")
+    sizes = inside.groupBy("component").agg(
+        F.count(F.lit(1)).alias("insiders"), F.first("outsiders").alias("outsiders")
+    )
+    sizes = store(sizes, "open-components")
+    blocks, chunks = _parts("insiders"), _parts("outsiders")
+    shape = ["component", "block", "chunk", "id", "outside"]
+    within = members.join(sizes, "component").withColumns(
+        {"block": _deal("id", blocks), "outside": F.lit(False)}
+    )
+    within = within.withColumn("chunk", _all(chunks)).select(shape)
+    without = attached.join(sizes, "component").withColumns(
+        {"chunk": _deal("id", chunks), "outside": F.lit(True)}
+    )
+    without = without.withColumn("block", _all(blocks)).select(shape)
+    dealt = within.unionByName(without).join(sets, "id")
+    schema, run = "a bigint, b bigint", _links_of_block(percent)
+    to_main = dealt.groupBy("component", "block", "chunk").applyInPandas(run, schema)
+
+    rest = rows.where("rest").select("band", "id", "component")
+    several = rest.groupBy("band").agg(
+        F.count(F.lit(1)).alias("outsiders"),
+        F.min("component").alias("least"),
+        F.max("component").alias("most"),
+    )
+    crowded = rest.join(several.where("least <> most"), "band").withColumn("own", _deal("id", chunks))
+    crowded = crowded.withColumn("other", _all(chunks))
+    crowded = crowded.select(
+        "band",
+        F.least("own", "other").alias("block"),
+        F.greatest("own", "other").alias("chunk"),
+        "id",
+        F.lit(True).alias("outside"),
+    )
+    among = crowded.join(sets, "id").groupBy("band", "block", "chunk").applyInPandas(run, schema)
+    return to_main.unionByName(among).distinct()
+
+
 def near_duplicate_links(signed: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) that connect every class of ``signed``: (id, n, registers).
 
     A bucket holds the sets that share a band. First every member is paired with the bucket's
     smallest id. While a bucket still holds several components, members outside its most common
-    one are paired with members inside it, chosen anew by hash; and what is still apart after
-    that is compared in full by register estimates, in blocks, and confirmed. So no pair that
-    shares a band is left out, but pairs within a component are never formed.
+    one are paired with members inside it, chosen anew by hash. These pairs are confirmed if
+    their registers make them plausible. What is still apart after that is compared in full (see
+    late_links). So no pair that shares a band is left out, but pairs within a component are
+    never formed.
     """
     everything = bands(signed)
     buckets = everything.groupBy("band").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size"))
-    shared = store(
-        everything.join(buckets.where("size > 1"), "band"), "buckets"
-    )
-    wanted = shared.select("id").distinct()
+    shared = store(everything.join(buckets.where("size > 1"), "band"), "buckets")
+    wanted = store(shared.select("id").distinct(), "bucket-ids")
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
     # the sets of documents that share a band with another one only
     sets = store(set_rows(texts, width), "sets")
+    few = store(signed.join(wanted, "id", "left_semi"), "bucket-registers")
     pairs = shared.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    links = store(confirm(pairs, sets, percent), "links")
+    links = store(confirm(plausible(pairs, few, percent), sets, percent), "links")
 
-    def labelled() -> DataFrame:
-        """Members of buckets of three or more that hold more than one component."""
+    def labelled() -> tuple[DataFrame, DataFrame]:
+        """Members of buckets of three or more that hold several components; and all members."""
         parts = connected_components(links)
-        crowd = shared.where("size > 2").join(parts, "id", "left")
-        crowd = crowd.withColumn("component", F.coalesce("component", "id"))
+        members = wanted.join(parts, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+        members = store(members, "members")
+        crowd = shared.where("size > 2").select("band", "id").join(members, "id")
         mixed = crowd.groupBy("band").agg(
             F.min("component").alias("least"), F.max("component").alias("most")
         )
@@ -270,10 +379,11 @@ def near_duplicate_links(signed: DataFrame, docs: DataFrame, width: int, percent
         open_rows = store(crowd.join(mixed, "band", "left_semi"), "open-buckets")
         votes = open_rows.groupBy("band", "component").agg(F.count(F.lit(1)).alias("members"))
         main = votes.groupBy("band").agg(F.max_by("component", F.struct("members", "component")).alias("main"))
-        return open_rows.join(main, "band").withColumn("rest", F.col("component") != F.col("main"))
+        rows = open_rows.join(main, "band").withColumn("rest", F.col("component") != F.col("main"))
+        return store(rows, "labelled"), members
 
     for turn in range(ROUNDS):
-        rows = store(labelled(), "labelled")
+        rows, _ = labelled()
         inside = rows.where(~F.col("rest")).groupBy("band").agg(
             F.min_by("id", F.xxhash64("id", "band", F.lit(turn))).alias("a")
         )
@@ -282,22 +392,13 @@ def near_duplicate_links(signed: DataFrame, docs: DataFrame, width: int, percent
         pairs = store(pairs, "pairs")
         if pairs.isEmpty():
             return links
-        links = store(links.unionByName(confirm(pairs, sets, percent)), "links")
-
-    rows = labelled()
-    blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
-    own = F.array(F.pmod(F.xxhash64("id"), blocks.cast("bigint")).cast("int"))
-    every = F.sequence(F.lit(0), blocks - 1)
-    dealt = rows.withColumn("block", F.explode(F.when(F.col("rest"), every).otherwise(own)))
-    dealt = dealt.join(signed, "id")
-    threshold = percent / 100
-    threshold -= MARGIN * math.sqrt(threshold * (1 - threshold) / REGISTERS)
-    late = dealt.select("band", "block", "id", "component", "rest", "n", "registers")
-    late = late.groupBy("band", "block").applyInPandas(_cross_pairs(threshold), "a bigint, b bigint")
-    late = store(late.distinct(), "late-pairs")
-    if late.isEmpty():
+        found = confirm(plausible(pairs, few, percent), sets, percent)
+        links = store(links.unionByName(found), "links")
+
+    rows, members = labelled()
+    if rows.isEmpty():
         return links
-    return store(links.unionByName(confirm(late, sets, percent)), "links")
+    return store(links.unionByName(late_links(rows, members, sets, percent)), "links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -1,0 +1,80 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quillspark.llm.exact_dedup import PatriciaTrie, drop_duplicates, duplicate_classes, owners
+
+
+def brute(rows):
+    def norm(t):
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(norm(t), []).append(i)
+    out = []
+    for i, t in rows:
+        ids = groups[norm(t)]
+        keep = max((x for x in ids if x is not None), default=None)
+        out.append((i, keep, len(ids), i == keep, hashlib.sha256(norm(t).encode()).hexdigest()))
+    return out
+
+
+ROWS = [
+    (1, "Same"),
+    (2, "sAME"),
+    (3, "same "),
+    (4, None),
+    (5, ""),
+    (6, "ÄB"),
+    (7, "äb"),
+    (8, "x" * 100_000),
+    (9, "X" * 100_000),
+    (10, "x" * 99_999 + "y"),
+    (None, "same"),
+    (None, "alone"),
+    (11, "twice"),
+    (11, "twice"),
+]
+
+
+def test_classes_equal_brute_force(documents):
+    docs = documents(*ROWS).withColumn("length", F.lit("clash")).repartition(4)
+    got = duplicate_classes(docs, largest=True).collect()
+    key = repr
+    assert sorted(map(tuple, got), key=key) == sorted(brute(ROWS), key=key)
+
+
+def test_smallest_stays_by_default(documents):
+    kept = drop_duplicates(documents(*[r for r in ROWS if r[0] not in (None, 11)]))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 6, 7, 8, 10]
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_no_documents(documents):
+    assert duplicate_classes(documents()).count() == 0
+    assert drop_duplicates(documents()).count() == 0
+
+
+@pytest.mark.parametrize("limit", [1, 5_000, 1 << 30])
+def test_tries_own_texts_under_any_memory(limit):
+    rng = random.Random(limit)
+    texts = ["".join(rng.choices("ab", k=rng.randrange(12))).encode() for _ in range(2000)]
+    rows = [(t, hashlib.sha256(t).digest(), rng.choice([None, i]), 1) for i, t in enumerate(texts)]
+    got = {t: (o, n) for t, _, o, n in owners(iter(rows), False, limit)}
+    want = {}
+    for t, _, o, _ in rows:
+        before, n = want.get(t, (None, 0))
+        want[t] = (min((x for x in (before, o) if x is not None), default=None), n + 1)
+    assert got == want
+
+
+def test_trie_compresses_shared_beginnings():
+    trie = PatriciaTrie()
+    for i, t in enumerate([b"romane", b"romanus", b"romulus", b"rom"]):
+        trie.insert(t, b"", i)
+    assert list(trie.root.children) == [ord("r")]
+    assert trie.root.children[ord("r")].label == b"rom"
+    assert {t for t, _ in trie.entries()} == {b"romane", b"romanus", b"romulus", b"rom"}

@@ -1,0 +1,86 @@
+import pytest
+from pyspark.sql import functions as F
+
+from quillspark.llm.queries import LLM_QUERIES
+from quillspark.llm.toxicity import Lexicon, fold, learn_lexicon, matches, score_toxicity, weigh
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize(
+    "text, folded",
+    [
+        ("You 1d10t!", " you idiot "),
+        ("іdіоt st00pid", " idiot stoopid "),
+        ("$cum, 2024 4 you", " scum 2024 4 you "),
+        ("ＩＤＩＯＴ", " idiot "),
+        ("i​diot", " idiot "),
+        ("costs 50$", " costs 50 "),
+        ("", "  "),
+    ],
+)
+def test_folding(text, folded):
+    assert fold(text) == folded
+
+
+def test_matches_by_brute_force():
+    lexicon = Lexicon({"idio": 3.0, "scum": 2.0})
+    text = fold("An idiotic idiot, videoidiot and Scumbag scu")
+    want = sorted((i, 3.0 if text.startswith(" idio", i) else 2.0) for i in range(len(text)) if text.startswith((" idio", " scum"), i))
+    assert sorted((s - 1, w) for s, _, w in matches(text, lexicon.automaton())) == want
+
+
+def test_exception_phrases():
+    lexicon = Lexicon({"idio": 3.0, "scum": 2.0}, ["pond scum"])
+    terms, exceptions = lexicon.automaton(), lexicon.exception_automaton()
+    assert weigh(fold("pond scum"), terms, exceptions) == 0
+    assert weigh(fold("pond scum, scum and idiots"), terms, exceptions) == 5.0
+    assert weigh(fold("fine"), terms, exceptions) == 0
+
+
+def labelled(spark):
+    rows = []
+    for i in range(400):
+        toxic = i % 5 == 0
+        word = "gr0blin" if i % 2 else "GROBLING"
+        text = f"some plain words {i} " + (f"you {word} now" if toxic else "you there now")
+        if i % 7 == 1:
+            text += " pond slime"
+        rows.append((text, int(toxic)))
+    rows += [("the river slime", 0)] * 3 + [("a vile slime", 1)] * 60
+    return spark.createDataFrame(rows, "text string, label int")
+
+
+def test_lexicon_from_labels(spark):
+    lexicon = learn_lexicon(labelled(spark), precision=0.4)
+    assert any("groblin".startswith(t) for t in lexicon.weights)
+    assert not any(t.startswith(("plain", "words")) for t in lexicon.weights)
+    assert "pond slime" in lexicon.exceptions
+    docs = spark.createDataFrame(
+        [(1, "you gr0bl1ns"), (2, "plain words"), (3, None), (4, ""), (5, "plain " * 100_000)],
+        "doc_id bigint, text string",
+    )
+    got = {r.doc_id: r for r in score_toxicity(docs.withColumn("predicted", F.lit("x")), lexicon).collect()}
+    assert got[1].predicted == 1 and all(got[i].predicted == 0 for i in (2, 3, 4, 5))
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_no_labels_of_one_kind(spark):
+    rows = spark.createDataFrame([("a", 0), (None, None)], "text string, label int")
+    lexicon = learn_lexicon(rows)
+    assert lexicon.weights == {}
+    docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    assert score_toxicity(docs, lexicon).first().predicted == 0
+    assert score_toxicity(docs.limit(0), lexicon).count() == 0
+
+
+def test_held_out_accuracy(spark):
+    scored = LLM_QUERIES["op9_toxicity"](spark, FOLDER).join(
+        spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id"
+    )
+    out = {
+        (r.toxic, r.predicted): r["count"]
+        for r in scored.where("held_out").groupBy("toxic", "predicted").count().collect()
+    }
+    assert out.get((1, 1), 0) >= 0.9 * (out.get((1, 1), 0) + out.get((1, 0), 0))
+    assert out.get((0, 1), 0) <= 0.02 * (out.get((0, 1), 0) + out.get((0, 0), 0))
