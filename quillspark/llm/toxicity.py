@@ -170,8 +170,8 @@ def learn_lexicon(
     ``min_documents``), the ``max_terms`` most frequent ones at most; that bounds what is sent to
     the workers. A candidate becomes a term if ``precision`` of the documents that hold it are
     toxic and no shorter term begins it; its weight is the smoothed log ratio of its shares.
-    Phrases of a term's word and a neighbour become exceptions if clear documents hold them and
-    hardly any toxic one does. The two calibration slopes are fitted on the
+    Phrases of a term's word and a neighbour become exceptions if three clear documents hold them
+    and no larger share of those that do is toxic than of all rows (or a tenth). The two calibration slopes are fitted on the
     ``calibration_rows`` rows with the smallest hashes. Without labels of both kinds the lexicon
     is empty.
     """
@@ -200,12 +200,12 @@ def learn_lexicon(
         if gain > 0:
             weights[term] = float(gain)
     lexicon = Lexicon(weights)
-    lexicon.exceptions = _exceptions(rows, lexicon, max_terms)
+    lexicon.exceptions = _exceptions(rows, lexicon, toxic / (toxic + clear), max_terms)
     _calibrate(rows, lexicon, calibration_rows)
     return lexicon
 
 
-def _exceptions(rows: DataFrame, lexicon: Lexicon, most: int) -> list[str]:
+def _exceptions(rows: DataFrame, lexicon: Lexicon, share: float, most: int) -> list[str]:
     def phrases(folded: str) -> set[str]:
         found = set()
         for start, _, _ in matches(folded, terms()):
@@ -228,7 +228,8 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon, most: int) -> list[str]:
         F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clear"),
         F.sum("n").alias("n"),
     )
-    mostly = counts.where((F.col("clear") >= 3) & (F.col("clear") >= 0.9 * F.col("n")))
+    toxic = F.col("n") - F.col("clear")
+    mostly = counts.where((F.col("clear") >= 3) & (toxic <= max(share, 0.1) * F.col("n")))
     return [r.term for r in mostly.orderBy(F.desc("clear"), "term").limit(most).collect()]
 
 

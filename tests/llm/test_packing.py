@@ -86,13 +86,17 @@ def test_documents_are_packed_whole(documents, spark):
     assert len(sequences) <= least + 2
 
 
-def test_shards_follow_the_number_of_pieces(spark):
+def test_shards_follow_the_number_of_pieces_and_never_lose_to_best_fit(spark):
     rows = [(i, 0, 0, 1 + i * 37 % 2048, i) for i in range(3000)]
     pieces = spark.createDataFrame(rows, packing.PIECE)
-    got = pack_pieces(pieces, shard_pieces=500)
-    shards = got.select((F.col("sequence_id") / 2**32).cast("int").alias("s")).distinct().count()
-    fills = got.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.count("n"), F.max("n"), F.sum("n")).first()
-    assert shards == 6 and fills[1] <= 2048 and fills[0] <= -(-fills[2] // 2048) + 2 * shards
+    shards = {}
+    for r in pack_pieces(pieces, shard_pieces=500).collect():
+        shards.setdefault(r.sequence_id >> 32, {}).setdefault(r.sequence_id, []).append(r.length)
+    assert len(shards) == 6
+    for sequences in shards.values():
+        lengths = sorted((n for s in sequences.values() for n in s), reverse=True)
+        assert max(map(sum, sequences.values())) <= 2048
+        assert len(sequences) <= len(best_fit_all(range(len(lengths)), lengths, 2048))
 
 
 def test_no_documents(documents):

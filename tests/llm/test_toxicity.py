@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from quillspark.llm.queries import LLM_QUERIES
 from quillspark.llm.toxicity import Lexicon, fold, learn_lexicon, matches, score_toxicity, weigh
 
-FOLDER = "/root/testdata/sf0.01"
+#: Large enough that its labels show every language's words.
+FOLDER = "/root/testdata/sf0.1"
 
 
 @pytest.mark.parametrize(
