@@ -35,9 +35,13 @@ def map_batches(
     fn: Callable[[dict[str, list]], Mapping[str, list]],
     schema: T.StructType,
     remove_columns: Iterable[str] = (),
+    arrow: bool = False,
 ) -> DataFrame:
     """Apply a callback on column lists; kept input columns come first, then ``schema``.
 
+    With ``arrow`` the callback gets and may return Arrow arrays, and no value becomes a Python
+    object.
+
     Returned columns replace inputs of the same name. Input columns are handed over by Arrow
     batch, so select the needed ones first.
     """
@@ -50,14 +54,19 @@ def map_batches(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = fn(batch.to_pydict())
+            columns = dict(zip(batch.schema.names, batch.columns))
+            made = fn(columns if arrow else batch.to_pydict())
             arrays = [batch.column(n).cast(arrow_schema.field(n).type) for n in kept_names]
-            arrays += [pa.array(made[n], arrow_schema.field(n).type) for n in new_names]
+            arrays += [_array(made[n], arrow_schema.field(n).type) for n in new_names]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
 
     return df.mapInArrow(run, out)
 
 
+def _array(values: object, kind: pa.DataType) -> pa.Array:
+    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
+
+
 def format_sft(
     df: DataFrame,
     template: ChatTemplate = LLAMA3,

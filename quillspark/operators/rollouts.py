@@ -69,8 +69,8 @@ def _bind(fn: RewardFunction, available: Mapping[str, Column]) -> Column:
     return fn(**arguments)
 
 
-def python_reward(fn: Callable[..., list[float]]) -> RewardFunction:
-    """Make an opaque scorer on Python lists usable as a reward column.
+def python_reward(fn: Callable[..., list[float]], arrow: bool = False) -> RewardFunction:
+    """Make an opaque scorer on Python lists (``arrow``: on Arrow arrays) usable as a reward column.
 
     Only the columns the scorer names travel to Python (all of them if it takes ``**columns``).
     """
@@ -80,8 +80,9 @@ def python_reward(fn: Callable[..., list[float]]) -> RewardFunction:
 
         @F.arrow_udf("double")
         def run(*arrays: pa.Array) -> pa.Array:
-            lists = {name: array.to_pylist() for name, array in zip(names, arrays)}
-            values = pa.array(fn(**lists), pa.float64())
+            given = arrays if arrow else [a.to_pylist() for a in arrays]
+            made = fn(**dict(zip(names, given)))
+            values = made if isinstance(made, pa.Array) else pa.array(made, pa.float64())
             if len(values) != len(arrays[0]):
                 raise ValueError(f"{len(values)} rewards for {len(arrays[0])} completions")
             return values

@@ -130,3 +130,14 @@ def test_inspect_shows_the_first_generation(spark):
 def test_advantage_never_infinite(spark):
     got = O.group_advantage(rewards(spark, [(1, 2.0)] * 6)).collect()
     assert all(r.advantage == 0.0 and math.isfinite(r.advantage) for r in got)
+
+
+def test_scorers_on_arrow_arrays(spark):
+    import pyarrow.compute as pc
+
+    df = spark.createDataFrame([(1, 0, [("assistant", "4")], "4"), (1, 1, [], "abc")], ROLLOUT)
+    rewards_ = {"long": O.python_reward(lambda answer: pc.cast(pc.utf8_length(answer), "double"), arrow=True)}
+    assert sorted(r.reward for r in O.score(df, rewards_).collect()) == [1.0, 3.0]
+    short = {"short": O.python_reward(lambda answer: [])}
+    with pytest.raises(Exception, match="rewards for"):
+        O.score(df, short).collect()

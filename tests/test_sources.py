@@ -153,3 +153,12 @@ def test_read_json_takes_any_schema(spark, folder):
     schema = T.StructType([T.StructField("x", T.ArrayType(T.LongType()))])
     rows = read_json(spark, str(folder / "lines"), schema).collect()
     assert [r.x for r in rows] == [[1, 2], None]
+
+
+def test_map_on_arrow_arrays(spark):
+    import pyarrow.compute as pc
+
+    df = spark.createDataFrame([("ab", 1), (None, 2)], "text string, n int")
+    schema = T.StructType([T.StructField("size", T.LongType())])
+    got = map_batches(df, lambda c: {"size": pc.utf8_length(c["text"])}, schema, ["text"], arrow=True)
+    assert sorted(map(tuple, got.collect())) == [(1, 2), (2, None)]
