@@ -2,12 +2,78 @@
 
 from __future__ import annotations
 
+LOWER = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+# the control strings that a formatted text escapes
+CONTROL = r"</?s>|\[/?INST\]|\[/?SYS\]|\[/?ROLE\]"
+
+
+def escaped_length(text: str) -> str:
+    """Characters of a text with its backslashes doubled and one more in each control string."""
+    marks = f"len(regexp_extract_all({text}, '{CONTROL}'))"
+    return f"(length({text}) + length({text}) - length(replace({text}, chr(92), '')) + {marks})"
+
+
 LLM_ORACLES = {
-    "op5_exact_dedup": """
+    "op2_chat_spans": f"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ),
+        sized AS (
+            SELECT *, {escaped_length('text')} + CASE role
+                WHEN 'user' THEN length('<s>[INST]  [/INST]')
+                WHEN 'assistant' THEN length('  </s>')
+                WHEN 'system' THEN length('[SYS]  [/SYS]')
+                ELSE length('[ROLE][/ROLE]  </s>') + {escaped_length('role')} END AS size
+            FROM turns
+        )
+        SELECT conv_id,
+               count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+                   AS turns_sha256,
+               CAST(sum(CASE role WHEN 'assistant' THEN length(text) ELSE 0 END) AS BIGINT)
+                   AS loss_chars,
+               sha256(string_agg(CASE role WHEN 'assistant' THEN text ELSE '' END, ''
+                                 ORDER BY turn, role, text)) AS loss_sha256,
+               CAST(sum(size) AS BIGINT) AS formatted_chars,
+               CAST(0 AS BIGINT) AS rewritten
+        FROM sized
+        GROUP BY conv_id
+    """,
+    "op7_near_dedup": f"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+        ),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(
+                list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+            FROM words
+        ),
+        items AS (SELECT doc_id, unnest(s) AS item, len(s) AS n FROM sets),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n + b.n) AS n
+            FROM items a JOIN items b ON a.item = b.item AND a.doc_id < b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+        ),
+        links AS (SELECT a, b FROM common WHERE 100 * c >= 80 * (n - c)),
+        either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM sets
+            UNION
+            SELECT e.b, r.other FROM reached r JOIN either e ON e.a = r.doc_id
+        ),
+        components AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id,
+               doc_id = component_id AS kept
+        FROM sets JOIN components USING (doc_id)
+    """,
+    "op5_exact_dedup": f"""
         WITH texts AS (
-            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                     'abcdefghijklmnopqrstuvwxyz') AS text
-            FROM documents
+            SELECT doc_id, {LOWER} AS text FROM documents
         )
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
