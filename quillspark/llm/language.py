@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.llm.sampling import bounded_sample
 from quillspark.llm.words import plain_texts, slices
 from quillspark.session import store
 
@@ -295,7 +296,8 @@ def _scores(df: DataFrame, model: LanguageModel):
 def calibrate(model: LanguageModel, rows: DataFrame, most: int = CALIBRATION_ROWS) -> None:
     """Fit the chance of being right to the margin, by penalised Newton steps on at most ``most``
     rows (text, lang) that the model hasn't learnt from, those with the smallest hashes."""
-    known = rows.where(F.col("lang").isNotNull()).orderBy(F.xxhash64("text", "lang")).limit(most)
+    known = rows.where(F.col("lang").isNotNull()).select("text", "lang")
+    known = bounded_sample(known, most, "text", "lang")
     scored = known.select("lang", _scores(rows, model)(F.col("text")).alias("s")).where("s.best >= 0")
     data = scored.select("lang", "s.best", "s.margin", "s.symbols").collect()
     x = np.array([(1.0, r.margin, r.margin * np.log1p(r.symbols)) for r in data]).reshape(-1, 3)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.llm.sampling import bounded_sample
 from quillspark.llm.words import plain_texts, slices
 from quillspark.session import store
 
@@ -235,7 +236,7 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon, share: float, most: int) -> l
 
 def _calibrate(rows: DataFrame, lexicon: Lexicon, most: int) -> None:
     """Two slopes and a bias by penalised Newton steps on a bounded sample."""
-    sample = rows.orderBy(F.xxhash64("text"), "label").limit(most)
+    sample = bounded_sample(rows, most, "text", "label")
     scored = sample.withColumn("_e", _evidence_column(rows, lexicon)("text"))
     data = scored.select("label", "_e.x", "_e.y").collect()
     x = np.array([(1.0, r.x, r.y) for r in data]).reshape(len(data), 3)

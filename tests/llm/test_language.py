@@ -13,6 +13,7 @@ from quillspark.llm.language import (
     symbols,
 )
 from quillspark.llm.queries import LLM_QUERIES
+from quillspark.llm.sampling import bounded_sample
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -117,6 +118,14 @@ def test_count_cutoff_bounds_the_model(documents):
     assert len(learn_languages(docs, max_ngrams=9).orders[-1].keys) <= 9
 
 
+def test_samples_are_bounded_and_repeatable(spark):
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("text"))
+    first = bounded_sample(rows, 300, "text").collect()
+    assert len(first) == 300 == len(set(first))
+    assert sorted(first) == sorted(bounded_sample(rows.repartition(7), 300, "text").collect())
+    assert bounded_sample(rows, 9000, "text").count() == 5000
+
+
 def test_held_out_accuracy(spark):
     rows = LLM_QUERIES["op6_language"](spark, FOLDER).join(
         spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang"), "doc_id"
