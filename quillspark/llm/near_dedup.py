@@ -14,7 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.components import connected_components
-from quillspark.llm.words import mix, plain_texts, slices, split_words, word_hashes
+from quillspark.llm.words import (
+    SMALL_SLICE,
+    mix,
+    plain_texts,
+    slices,
+    split_words,
+    word_hashes,
+)
 from quillspark.session import store
 
 #: Two sets of similarity s share a band with probability 1 - (1 - s ** ROWS) ** BANDS: at 0.8
@@ -136,7 +143,7 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in slices(batch.column(1)):
+            for start, stop in slices(batch.column(1), SMALL_SLICE):
                 texts = batch.column(1).slice(start, stop - start)
                 sets = distinct_sets(*shingle_hashes(texts, width))
                 sizes = np.array([len(s) for s in sets], np.int64)
@@ -180,7 +187,7 @@ def set_rows(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in slices(batch.column(1)):
+            for start, stop in slices(batch.column(1), SMALL_SLICE):
                 texts = batch.column(1).slice(start, stop - start)
                 sets = distinct_sets(*shingle_hashes(texts, width))
                 offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])

@@ -14,6 +14,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Text handled at once inside a task; one longer text is handled alone.
 SLICE_BYTES = 4 << 20
+#: The same where several arrays of 64-bit numbers are made of each word.
+SMALL_SLICE = 1 << 20
 
 
 def plain_texts(texts: pa.Array) -> pa.Array:
