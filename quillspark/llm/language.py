@@ -2,17 +2,19 @@
 
 One model per language counts n-grams of folded characters. All models share sorted arrays of
 packed n-grams, each with a row of log probabilities (a column per language), so a text is
-scored by binary searches alone. The language of lowest cross-entropy per character wins.
+scored by binary searches alone. A model of too many n-grams for that stays in tables, built in
+Spark, and texts are scored by joins with them; no n-gram is left out either way. The language
+of lowest cross-entropy per character wins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.sampling import bounded_sample
@@ -23,7 +25,7 @@ ORDER = 4
 BLANK = 0x20
 #: Letters beyond the basic plane share one symbol.
 FAR = 0xFFFF
-#: Most n-grams that a model keeps; with the languages it bounds what is sent to the workers.
+#: Most n-grams of a model that is sent to the workers; a larger one is joined.
 MAX_NGRAMS = 1_000_000
 #: Most rows that calibration is fitted on.
 CALIBRATION_ROWS = 20_000
@@ -118,15 +120,6 @@ def count_ngrams(rows: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
-def _most_frequent(counts: DataFrame, size: int) -> DataFrame:
-    """All n-grams, or those whose count lies above the first cutoff that leaves ``size``."""
-    histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("ngrams"))
-    downwards = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
-    fitting = histogram.withColumn("sum", F.sum("ngrams").over(downwards)).where(F.col("sum") <= size)
-    cutoff = fitting.agg(F.coalesce(F.min("n"), F.lit(0))).first()[0]
-    return counts.where(F.col("n") >= cutoff)
-
-
 @dataclass
 class Order:
     """n-grams of one order, sorted, with a row of log probabilities each; and their contexts
@@ -138,6 +131,16 @@ class Order:
     backoff: np.ndarray
 
 
+@dataclass
+class JoinedModel:
+    """A model as tables, from order 1 to ORDER, a row per n-gram: (key, logs: a map from the
+    number of each language that has it to its log probability), and per context (context,
+    backoff: such a map of log weights; none at order 1)."""
+
+    logs: list[DataFrame] = field(default_factory=list)
+    backoff: list[DataFrame | None] = field(default_factory=list)
+
+
 @dataclass
 class LanguageModel:
     langs: list[str]
@@ -145,6 +148,7 @@ class LanguageModel:
     unseen: np.ndarray  # log probability of a symbol no text has had, per language
     bias: float = 0.0
     slopes: tuple[float, float] = (10.0, 0.0)
+    tables: JoinedModel | None = None  # all n-grams, if they are joined; ``orders`` is empty then
 
     def log_probabilities(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
         """Rows of log probabilities of the last symbol of each packed n-gram."""
@@ -224,19 +228,80 @@ def build_model(grams: list[tuple[str, int, int]] | tuple, langs: list[str]) ->
     return model
 
 
+def _last(key: str, order: int) -> Column:
+    """The last ``order`` symbols of a packed n-gram."""
+    return F.col(key) if order == ORDER else F.col(key).bitwiseAND((1 << (16 * order)) - 1)
+
+
+def _by_language(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """(key, map from language to value)."""
+    entries = F.map_from_entries(F.collect_list(F.struct("lang", value)))
+    return store(rows.groupBy(key).agg(entries.alias(name)), name)
+
+
+def build_tables(counts: DataFrame, langs: list[str]) -> LanguageModel:
+    """The model of ``build_model`` from a table (language number, key, n), in Spark throughout;
+    to the driver come one row per order and language."""
+    spark = counts.sparkSession
+    levels = {ORDER: counts}
+    for n in range(ORDER - 1, 0, -1):
+        shorter = levels[n + 1].select("lang", _last("key", n).alias("key"))
+        levels[n] = store(shorter.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n")), "ngrams")
+    alphabet = levels[1].select("key").distinct().count() + 1
+    unseen = np.zeros(len(langs))
+    tables = JoinedModel()
+    lower = None
+    for n in range(1, ORDER + 1):
+        once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+        least = F.when((once > 0) & (twice > 0), once / (once + 2 * twice)).otherwise(0.5)
+        discounts = levels[n].groupBy("lang").agg(least.alias("d")).collect()
+        discounts = spark.createDataFrame([tuple(r) for r in discounts], "lang int, d double")
+        grams = levels[n].withColumn("context", F.shiftrightunsigned("key", 16))
+        contexts = grams.groupBy("lang", "context").agg(
+            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
+        )
+        contexts = contexts.join(F.broadcast(discounts), "lang")
+        contexts = contexts.withColumn("weight", F.col("d") * F.col("kinds") / F.col("total"))
+        contexts = store(contexts, "contexts")
+        grams = grams.join(contexts, ["lang", "context"])
+        if n == 1:
+            for r in contexts.collect():  # the empty context, once per language
+                unseen[r.lang] = np.log(r.weight / alphabet)
+            below = F.lit(1.0 / alphabet)
+        else:
+            grams = grams.withColumn("shorter", _last("key", n - 1)).join(lower, ["lang", "shorter"])
+            below = F.col("below")
+        seen = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")
+        grams = grams.select("lang", "key", (seen + F.col("weight") * below).alias("p"))
+        grams = store(grams, "probabilities")
+        lower = grams.select("lang", F.col("key").alias("shorter"), F.col("p").alias("below"))
+        logs = grams.select("lang", "key", F.log("p").alias("log"))
+        tables.logs.append(_by_language(logs, "key", "log", "logs"))
+        weights = contexts.select("lang", "context", F.log("weight").alias("log"))
+        tables.backoff.append(_by_language(weights, "context", "log", "backoff") if n > 1 else None)
+    keys, logs = np.empty(0, np.uint64), np.empty((0, len(langs)), np.float32)
+    none = Order(keys, logs, keys, logs)
+    return LanguageModel(langs, [none] * ORDER, unseen, tables=tables)
+
+
 def learn_languages(rows: DataFrame, max_ngrams: int = MAX_NGRAMS) -> LanguageModel | None:
     """Model from all rows (text, lang) whose language is known; None if there are none.
 
-    n-grams are counted in the tasks and added up by a shuffle. The ``max_ngrams`` most frequent
-    ones at most (a count cutoff) come to the driver and, as the model, to the workers.
+    n-grams are counted in the tasks and added up by a shuffle, and all of them make the model.
+    Up to ``max_ngrams`` of them come to the driver and, as the model, to the workers; more stay
+    in tables. Both give the same probabilities.
     """
     known = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = store(count_ngrams(known), "ngrams")
-    table = _most_frequent(counts, max_ngrams).toArrow()
-    if not table.num_rows:
+    langs = sorted((r.lang for r in counts.select("lang").distinct().collect()), key=str.encode)
+    if not langs:
         return None
-    langs = sorted(set(table["lang"].to_pylist()), key=str.encode)
     number = {x: i for i, x in enumerate(langs)}
+    if counts.count() > max_ngrams:
+        numbers = rows.sparkSession.createDataFrame(list(number.items()), "name string, number int")
+        named = counts.join(F.broadcast(numbers), F.col("lang") == F.col("name"))
+        return build_tables(named.select(F.col("number").alias("lang"), "key", "n"), langs)
+    table = counts.toArrow()
     coded = table["lang"].combine_chunks().dictionary_encode()
     names = np.array([number[x] for x in coded.dictionary.to_pylist()])
     return build_model(
@@ -264,6 +329,65 @@ def entropies(model: LanguageModel, texts: list[str]) -> tuple[np.ndarray, np.nd
 _SCORED = "struct<best: int, margin: double, symbols: bigint>"
 
 
+def _joined_scores(rows: DataFrame, tables: JoinedModel, unseen: np.ndarray) -> DataFrame:
+    """(_row, _s) of rows (_row, text) that have a letter, by joins with all n-grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, stop in slices(batch.column(1), 1 << 20):
+                texts = plain_texts(batch.column(1).slice(start, stop - start)).to_pylist()
+                flat, offsets, _ = symbols(texts)
+                keys, counts = ngram_keys(flat, offsets), np.diff(offsets)
+                owner = np.repeat(batch.column(0).slice(start, stop - start).to_numpy(), counts)
+                order = np.lexsort((keys, owner))
+                owner, keys = owner[order], keys[order]
+                first = np.ones(len(keys), bool)
+                first[1:] = (owner[1:] != owner[:-1]) | (keys[1:] != keys[:-1])
+                heads = np.flatnonzero(first)
+                times = np.diff(np.append(heads, len(keys)))
+                columns = [pa.array(owner[heads]), pa.array(keys[heads].view(np.int64)), pa.array(times)]
+                yield pa.RecordBatch.from_arrays(columns, ["_row", "key", "n"])
+
+    used = store(rows.select("_row", "text").mapInArrow(run, "_row bigint, key bigint, n bigint"), "used")
+    keys = used.select("key").distinct()
+    for n in range(1, ORDER + 1):
+        keys = keys.withColumn("_at", _last("key", n)).withColumn("_c", F.shiftrightunsigned("_at", 16))
+        logs = tables.logs[n - 1].select(F.col("key").alias("_at"), F.col("logs").alias(f"_l{n}"))
+        keys = keys.join(logs, "_at", "left")
+        if n > 1:
+            weights = tables.backoff[n - 1]
+            weights = weights.select(F.col("context").alias("_c"), F.col("backoff").alias(f"_w{n}"))
+            keys = keys.join(weights, "_c", "left")
+    value = F.get(F.lit(unseen.tolist()), F.col("lang"))
+    for n in range(1, ORDER + 1):
+        if n > 1:
+            value += F.coalesce(F.try_element_at(F.col(f"_w{n}"), F.col("lang")), F.lit(0.0))
+        value = F.coalesce(F.try_element_at(F.col(f"_l{n}"), F.col("lang")), value)
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(len(unseen) - 1))).alias("lang")
+    keys = keys.select("*", numbers).select("key", "lang", value.alias("log"))
+    sums = used.join(keys, "key").groupBy("_row", "lang").agg(
+        F.sum(F.col("n") * F.col("log")).alias("log"), F.sum("n").alias("symbols")
+    )
+    pair = F.struct((-F.col("log") / F.col("symbols")).alias("h"), "lang")
+    best = sums.groupBy("_row").agg(F.array_sort(F.collect_list(pair)).alias("h"), F.max("symbols").alias("symbols"))
+    first, second = F.get("h", F.lit(0)), F.get("h", F.lit(1))
+    margin = F.coalesce(second["h"] - first["h"], F.lit(1.0))
+    scored = F.struct(first["lang"].alias("best"), margin.alias("margin"), "symbols")
+    return best.select("_row", scored.cast(_SCORED).alias("_s"))
+
+
+def _with_scores(rows: DataFrame, model: LanguageModel) -> DataFrame:
+    """Add ``_s``: best language, margin and symbols of ``text``."""
+    if model.tables is None:
+        return rows.withColumn("_s", _scores(rows, model)(F.col("text")))
+    # generated row numbers are fixed by storing them
+    rows = store(rows.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    scored = _joined_scores(rows, model.tables, model.unseen)
+    none = F.struct(F.lit(-1).alias("best"), F.lit(0.0).alias("margin"), F.lit(0).alias("symbols"))
+    rows = rows.join(scored, "_row", "left").drop("_row")
+    return rows.withColumn("_s", F.coalesce("_s", none.cast(_SCORED)))
+
+
 def _scores(df: DataFrame, model: LanguageModel):
     shared = df.sparkSession.sparkContext.broadcast(model)
 
@@ -298,8 +422,8 @@ def calibrate(model: LanguageModel, rows: DataFrame, most: int = CALIBRATION_ROW
     rows (text, lang) that the model hasn't learnt from, those with the smallest hashes."""
     known = rows.where(F.col("lang").isNotNull()).select("text", "lang")
     known = bounded_sample(known, most, "text", "lang")
-    scored = known.select("lang", _scores(rows, model)(F.col("text")).alias("s")).where("s.best >= 0")
-    data = scored.select("lang", "s.best", "s.margin", "s.symbols").collect()
+    scored = _with_scores(known, model).where("_s.best >= 0")
+    data = scored.select("lang", "_s.best", "_s.margin", "_s.symbols").collect()
     x = np.array([(1.0, r.margin, r.margin * np.log1p(r.symbols)) for r in data]).reshape(-1, 3)
     y = np.array([model.langs[r.best] == r.lang for r in data], float)
     b = start = np.array([0.0, 1.0, 1.0])
@@ -320,7 +444,8 @@ def identify(docs: DataFrame, model: LanguageModel | None, reject: float = 0.5)
     A null text, and one without a letter, is ``und`` with score 0; so is every text if the
     model is None. ``rejected`` marks texts whose score, the calibrated chance that the
     prediction is right, is under ``reject``. Equal entropies go to the language first in order.
-    Whole texts are scored; columns of these names are replaced; no shuffle.
+    Whole texts are scored; columns of these names are replaced. No shuffle, but for a model
+    that is joined: then the rows are stored once with a number of their own.
     """
     rows = docs.drop("lang_pred", "score", "rejected")
     if model is None:
@@ -328,7 +453,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, reject: float = 0.5)
             {"lang_pred": F.lit("und"), "score": F.lit(0.0), "rejected": F.lit(True)}
         )
     names = F.array(*[F.lit(x) for x in model.langs])
-    rows = rows.withColumn("_s", _scores(docs, model)(F.col("text")))
+    rows = _with_scores(rows, model)
     margin, length = F.col("_s.margin"), F.col("_s.symbols")
     a, b = model.slopes
     odds = F.lit(model.bias) + margin * a + margin * F.log1p(length.cast("double")) * b

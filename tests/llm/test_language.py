@@ -138,3 +138,40 @@ def test_lowest_entropy_wins():
     model = model_of(("de", "der die das und ist nicht " * 9), ("en", "the and that is not of " * 9))
     h, n = entropies(model, ["und das ist", "and that is", ""])
     assert h.argmin(axis=1).tolist()[:2] == [0, 1] and n.tolist()[2] == 0
+
+
+def rare_language(documents):
+    """Two large languages whose n-grams are frequent and one of a single short text."""
+    return documents(
+        *((i, f"the and that is not of {chr(97 + i % 26)}the hello", "en") for i in range(60)),
+        *((100 + i, f"der die das und ist nicht {chr(97 + i % 26)}wer guten tag", "de") for i in range(60)),
+        (900, "kia ora koutou katoa", "mi"),
+    )
+
+
+def test_a_rare_language_stays_in_a_large_model(documents):
+    docs = rare_language(documents)
+    model = learn_languages(docs, max_ngrams=50)
+    assert model.langs == ["de", "en", "mi"]
+    calibrate(model, docs)
+    texts = documents((1, "ora koutou"), (1, "ora koutou"), (2, "hello that"), (3, "12"), (4, None), (5, "nicht"))
+    got = sorted((r.doc_id, r.lang_pred) for r in identify(texts, model).collect())
+    assert got == [(1, "mi"), (1, "mi"), (2, "en"), (3, "und"), (4, "und"), (5, "de")]
+
+
+def test_joined_and_shipped_models_agree(documents):
+    docs = rare_language(documents)
+    shipped, joined = learn_languages(docs), learn_languages(docs, max_ngrams=50)
+    assert shipped.tables is None and joined.tables is not None
+    assert joined.unseen == pytest.approx(shipped.unseen, rel=1e-4)
+    for n, level in enumerate(shipped.orders, 1):
+        rows = joined.tables.logs[n - 1].collect()
+        assert sorted(np.uint64(r.key & (2**64 - 1)) for r in rows) == level.keys.tolist()
+        for r in rows:
+            at = np.searchsorted(level.keys, np.uint64(r.key & (2**64 - 1)))
+            for lang, log in r.logs.items():
+                assert log == pytest.approx(level.logs[at, lang], abs=1e-4)
+    texts = documents((1, "the ora tagx"), (2, "zq 漢字 \U00010400"), (3, "und hello katoa " * 500), (4, "!"))
+    a, b = ({r.doc_id: r for r in identify(texts, m).collect()} for m in (shipped, joined))
+    for i in a:
+        assert a[i].lang_pred == b[i].lang_pred and a[i].score == pytest.approx(b[i].score, abs=1e-3)
