@@ -159,18 +159,16 @@ def _count_documents(rows: DataFrame, choose) -> DataFrame:
 
 def learn_lexicon(
     rows: DataFrame,
-    min_share: float = 0.004,
     min_documents: int = 4,
     precision: float = 0.9,
-    max_terms: int = 20_000,
     calibration_rows: int = 20_000,
 ) -> Lexicon:
     """A lexicon from rows (text, label 0 or 1), all of which are counted.
 
-    Candidates are the beginnings of words in at least ``min_share`` of the toxic documents (and
-    ``min_documents``), the ``max_terms`` most frequent ones at most; that bounds what is sent to
-    the workers. A candidate becomes a term if ``precision`` of the documents that hold it are
-    toxic and no shorter term begins it; its weight is the smoothed log ratio of its shares.
+    Candidates are all beginnings of words, counted in Spark under both labels. One becomes a
+    term if ``min_documents`` toxic documents hold it, ``precision`` of the documents that hold it
+    are toxic and no shorter term begins it; only terms come to the driver and the workers. The
+    weight is the smoothed log ratio of the shares.
     Phrases of a term's word and a neighbour become exceptions if three clear documents hold them
     and no larger share of those that do is toxic than of all rows (or a tenth). The two calibration slopes are fitted on the
     ``calibration_rows`` rows with the smallest hashes. Without labels of both kinds the lexicon
@@ -181,32 +179,26 @@ def learn_lexicon(
     toxic, clear = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clear:
         return Lexicon({})
-    least = max(min_documents, int(min_share * toxic))
-    frequent = _count_documents(rows.where("label = 1"), lambda t: beginnings(set(t.split())))
-    frequent = frequent.where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(max_terms)
-    candidates = frozenset(r.term for r in frequent.select("term").collect())
-    shared = rows.sparkSession.sparkContext.broadcast(candidates)
-    counted = _count_documents(rows, lambda t: beginnings(set(t.split())) & shared.value)
-    table: dict[str, list[int]] = {}
-    for r in counted.collect():  # at most two rows per candidate
-        table.setdefault(r.term, [0, 0])[r.label] = r.n
-    weights: dict[str, float] = {}
-    for term in sorted(table, key=lambda t: (len(t), t)):
-        other, hits = table[term]
-        if hits < precision * (hits + other) or hits < least:
-            continue
-        if any(term[:n] in weights for n in range(SHORTEST, len(term))):
-            continue
-        gain = np.log((hits + 0.5) / (toxic + 1)) - np.log((other + 0.5) / (clear + 1))
-        if gain > 0:
-            weights[term] = float(gain)
+    counts = _count_documents(rows, lambda t: beginnings(set(t.split()))).groupBy("term").agg(
+        F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("hits"), F.sum("n").alias("n")
+    )
+    hits, other = F.col("hits"), F.col("n") - F.col("hits")
+    gain = F.log((hits + 0.5) / (toxic + 1)) - F.log((other + 0.5) / (clear + 1))
+    precise = (hits >= min_documents) & (hits >= precision * F.col("n"))
+    terms = store(counts.where(precise).select("term", gain.alias("gain")).where("gain > 0"), "terms")
+    sizes = F.sequence(F.lit(SHORTEST), F.length("term") - 1)
+    starts = F.explode(F.transform(sizes, lambda n: F.substring(F.col("term"), F.lit(1), n)))
+    begun = terms.where(F.length("term") > SHORTEST).select("term", starts.alias("start"))
+    begun = begun.join(terms.select(F.col("term").alias("start")), "start").select("term").distinct()
+    terms = terms.join(begun, "term", "left_anti")
+    weights = {r.term: r.gain for r in terms.orderBy(F.length("term"), "term").collect()}
     lexicon = Lexicon(weights)
-    lexicon.exceptions = _exceptions(rows, lexicon, toxic / (toxic + clear), max_terms)
+    lexicon.exceptions = _exceptions(rows, lexicon, toxic / (toxic + clear))
     _calibrate(rows, lexicon, calibration_rows)
     return lexicon
 
 
-def _exceptions(rows: DataFrame, lexicon: Lexicon, share: float, most: int) -> list[str]:
+def _exceptions(rows: DataFrame, lexicon: Lexicon, share: float) -> list[str]:
     def phrases(folded: str) -> set[str]:
         found = set()
         for start, _, _ in matches(folded, terms()):
@@ -231,7 +223,7 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon, share: float, most: int) -> l
     )
     toxic = F.col("n") - F.col("clear")
     mostly = counts.where((F.col("clear") >= 3) & (toxic <= max(share, 0.1) * F.col("n")))
-    return [r.term for r in mostly.orderBy(F.desc("clear"), "term").limit(most).collect()]
+    return [r.term for r in mostly.orderBy(F.desc("clear"), "term").collect()]
 
 
 def _calibrate(rows: DataFrame, lexicon: Lexicon, most: int) -> None:

@@ -66,6 +66,16 @@ def test_lexicon_from_labels(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_rare_terms_of_a_large_table(spark):
+    """Four of 2,000 toxic documents are enough for a precise term; no longer beginning is one."""
+    rows = [("plain words here grobling", 1)] * 1996 + [("plain words here zarkians", 1)] * 4
+    rows += [("plain words here", 0)] * 2000 + [("plain grobble here mixedly", i % 2) for i in range(40)]
+    lexicon = learn_lexicon(spark.createDataFrame(rows, "text string, label int"))
+    assert set(lexicon.weights) == {"grob", "zark"}
+    docs = spark.createDataFrame([(1, "you zarkian")], "doc_id bigint, text string")
+    assert score_toxicity(docs, lexicon).first().predicted == 1
+
+
 def test_no_labels_of_one_kind(spark):
     rows = spark.createDataFrame([("a", 0), (None, None)], "text string, label int")
     lexicon = learn_lexicon(rows)
