@@ -66,8 +66,9 @@ def fold(text: str) -> str:
 
 
 def beginnings(words: set[str]) -> set[str]:
-    """Whole words with ``*`` for what may follow: beginnings of SHORTEST to LONGEST letters."""
-    return {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+    """Beginnings of SHORTEST to LONGEST letters; shorter words whole, with a closing blank."""
+    found = {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+    return found | {w + " " for w in words if len(w) < SHORTEST}
 
 
 @dataclass
@@ -165,7 +166,8 @@ def learn_lexicon(
 ) -> Lexicon:
     """A lexicon from rows (text, label 0 or 1), all of which are counted.
 
-    Candidates are all beginnings of words, counted in Spark under both labels. One becomes a
+    Candidates are all beginnings of words, and short words whole, counted in Spark under both
+    labels. One becomes a
     term if ``min_documents`` toxic documents hold it, ``precision`` of the documents that hold it
     are toxic and no shorter term begins it; only terms come to the driver and the workers. The
     weight is the smoothed log ratio of the shares.

@@ -76,6 +76,15 @@ def test_rare_terms_of_a_large_table(spark):
     assert score_toxicity(docs, lexicon).first().predicted == 1
 
 
+def test_short_words_are_whole_terms(spark):
+    rows = [(f"plain words zog {i}", 1) for i in range(10)] + [(f"plain words zogal {i}", 0) for i in range(30)]
+    lexicon = learn_lexicon(spark.createDataFrame(rows, "text string, label int"))
+    assert set(lexicon.weights) == {"zog "}
+    terms = lexicon.automaton()
+    assert [(s, e) for s, e, _ in matches(fold("zog, a ZOG zog"), terms)] == [(1, 5), (7, 11), (11, 15)]
+    assert matches(fold("zogal zo azog"), terms) == []
+
+
 def test_no_labels_of_one_kind(spark):
     rows = spark.createDataFrame([("a", 0), (None, None)], "text string, label int")
     lexicon = learn_lexicon(rows)
