@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from quillspark.llm.secret_scan import BASE_RULES, RULES, Rule
+
 LOWER = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 )
@@ -15,6 +17,40 @@ def escaped_length(text: str) -> str:
     return f"(length({text}) + length({text}) - length(replace({text}, chr(92), '')) + {marks})"
 
 
+TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def rule_spans(number: int, rule: Rule) -> str:
+    """Spans of one rule: every match is put between two marks, the pieces give the offsets."""
+    pattern = quoted(rule.pattern)
+    return f"""
+        SELECT doc_id, {number} AS number, {quoted(rule.kind)} AS kind, start, start + size AS stop
+        FROM (
+            SELECT doc_id, i, strpos(piece, chr(2)) - 1 AS size, split_part(piece, chr(2), 1) AS hit,
+                   sum(length(replace(piece, chr(2), ''))) OVER (PARTITION BY doc_id ORDER BY i)
+                       - length(replace(piece, chr(2), '')) AS start
+            FROM (
+                SELECT doc_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS i
+                FROM (
+                    SELECT doc_id, string_split(regexp_replace(
+                        text, {pattern}, chr(1) || '\\0' || chr(2), 'g'), chr(1)) AS pieces
+                    FROM texts WHERE regexp_matches(text, {pattern})
+                )
+            )
+        )
+        WHERE i > 1 AND length(regexp_extract(hit, {pattern}, {rule.group})) >= {rule.least}
+    """
+
+
+def listed(condition: str) -> str:
+    return f"""coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, number)
+        FILTER ({condition}), '')"""
+
+
 LLM_ORACLES = {
     "op2_chat_spans": f"""
         WITH turns AS (
@@ -83,4 +119,93 @@ LLM_ORACLES = {
         FROM texts
         WINDOW same AS (PARTITION BY text)
     """,
+    "op11_ranked_search": f"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all({LOWER}, '{TERMS}')) AS term FROM documents
+        ),
+        postings AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+        totals AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM sizes),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals
+        ),
+        items AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWER}, '{TERMS}')) AS term FROM benchmark
+        ),
+        scored AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) //
+                (1000 * tf + 20 * (100 - 50 + (50 * n * big_n) // big_l)))) AS BIGINT) AS score
+            FROM items JOIN postings USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+            GROUP BY item_id, doc_id
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+        FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+            FROM scored WHERE score > 0
+        )
+        WHERE rank <= 50
+    """,
+    "op12_collocations": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array({LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents
+        ),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+        grams AS (
+            {" UNION ALL ".join(
+                f"""SELECT lang, {m} AS m, unnest(list_transform(range(1, len(w) - {m - 2}),
+                    lambda i: array_to_string(list_slice(w, i, i + {m - 1}), ' '))) AS phrase FROM words"""
+                for m in (1, 2, 3, 4)
+            )}
+        ),
+        counts AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL),
+        sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE m = 1 GROUP BY lang),
+        frequent AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE f >= 30),
+        cuts AS (
+            SELECT lang, m, phrase, f, k, array_to_string(list_slice(w, 1, k), ' ') AS first,
+                   array_to_string(list_slice(w, k + 1, m), ' ') AS rest
+            FROM frequent, (VALUES (1), (2), (3)) AS c(k) WHERE k < m
+        ),
+        scored AS (
+            SELECT c.lang, c.m, c.phrase, c.f AS a, c.k, x.f AS l, y.f AS r,
+                   CAST((2000000::HUGEINT * c.f) // (x.f + y.f) AS BIGINT) AS score
+            FROM cuts c
+            JOIN counts x ON x.lang = c.lang AND x.phrase = c.first
+            JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest
+        ),
+        lowest AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored
+        ),
+        inner_phrases AS (
+            SELECT lang, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase, max(f) AS longer
+            FROM frequent, (VALUES (2), (3)) AS s(size), (VALUES (1), (2), (3)) AS p(i)
+            WHERE size < m AND i + size - 1 <= m
+            GROUP BY ALL
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score
+        FROM (
+            SELECT o.*, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, encode(o.phrase)) AS rank
+            FROM lowest o LEFT JOIN inner_phrases i ON i.lang = o.lang AND i.phrase = o.phrase
+            WHERE place = 1 AND (longer IS NULL OR 100 * longer < 80 * a)
+        )
+        JOIN sizes USING (lang)
+        WHERE rank <= 2000
+    """,
+    "op13_secret_scan": f"""
+        WITH texts AS (
+            SELECT doc_id, translate(coalesce(text, ''), chr(1) || chr(2), chr(3) || chr(3)) AS text
+            FROM documents
+        ),
+        spans AS ({" UNION ALL ".join(rule_spans(i, rule) for i, rule in enumerate(RULES))})
+        SELECT doc_id,
+               {", ".join(
+                   f"count(*) FILTER (kind = '{rule.kind}') AS n_{rule.kind}" for rule in BASE_RULES
+               )},
+               sha256({listed(f"number < {len(BASE_RULES)}")}) AS base_sha256,
+               {listed("true")} AS spans
+        FROM texts LEFT JOIN spans USING (doc_id)
+        GROUP BY doc_id
+    """,
 }

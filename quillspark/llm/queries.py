@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from quillspark.llm import (
     chat_spans,
+    collocations,
     exact_dedup,
     language,
     mixing,
     near_dedup,
     packing,
     quality,
+    ranked_search,
+    secret_scan,
     token_counts,
     token_files,
     toxicity,
@@ -142,3 +145,19 @@ def op9_toxicity(spark, folder):
     lexicon = toxicity.learn_lexicon(training)
     scored = toxicity.score_toxicity(documents, lexicon)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op11_ranked_search(spark, folder):
+    documents = table(spark, folder, "documents")
+    return ranked_search.ranked_search(documents, table(spark, folder, "benchmark"), k=50)
+
+
+@query
+def op12_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"), least=30, most=2000)
+
+
+@query
+def op13_secret_scan(spark, folder):
+    return secret_scan.find_secrets(table(spark, folder, "documents"))

@@ -68,3 +68,51 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def list_array(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+
+
+#: A-Z to a-z, byte by byte; no byte of a longer UTF-8 character is among them.
+_LOWERED = np.arange(256, dtype=np.uint8)
+_LOWERED[65:91] += 32
+
+
+def byte_kinds(separators: bytes, breaks: bytes = b"") -> np.ndarray:
+    """Kind of every byte for cut_words: 0 in words, 1 between them, 2 also between pieces."""
+    kinds = np.zeros(256, np.uint8)
+    kinds[np.frombuffer(separators, np.uint8)] = 1
+    kinds[np.frombuffer(breaks, np.uint8)] = 2
+    return kinds
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of the texts one after the other and, for n texts, their n + 1 offsets."""
+    texts = plain_texts(texts)
+    offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset)
+    held = texts.buffers()[2]
+    data = np.empty(0, np.uint8) if held is None else np.frombuffer(held, np.uint8)
+    return data[offsets[0] : offsets[-1]], (offsets - offsets[0]).astype(np.int64)
+
+
+def cut_words(texts: pa.Array, kinds: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words of the texts with A-Z lower-cased, cut at ASCII bytes by their kind.
+
+    Gives the words, for n texts n + 1 offsets into them, and whether each word continues the
+    piece of the word before it.
+    """
+    data, offsets = text_bytes(texts)
+    if not len(data):
+        return pa.array([], pa.string()), np.zeros(len(offsets), np.int64), np.zeros(0, bool)
+    kind = kinds[data]
+    inside = kind == 0
+    edge = np.zeros(len(data) + 1, bool)  # between two texts
+    edge[offsets] = True
+    before, after = np.roll(inside, 1), np.roll(inside, -1)
+    starts = np.flatnonzero(inside & (~before | edge[:-1]))
+    ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
+    places = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    letters = _LOWERED[data[inside]]
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(letters))
+    firsts = np.searchsorted(starts, offsets)
+    pieces = np.searchsorted(np.flatnonzero(kind == 2), starts)
+    continues = np.concatenate([[False], pieces[1:] == pieces[:-1]])[: len(starts)]
+    continues[firsts[:-1][firsts[:-1] < len(starts)]] = False
+    return words, firsts, continues

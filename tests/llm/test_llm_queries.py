@@ -14,7 +14,7 @@ TABLES = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(LLM_ORACLES))
