@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -110,6 +113,39 @@ def response_labels(ids: Column, marker: Sequence[int]) -> Column:
     return F.concat(F.array_repeat(F.lit(IGNORED_LABEL), end), F.slice(ids, end + 1, F.size(ids)))
 
 
+def assistant_labels(ids: Column, marker: Sequence[int], end_id: int) -> Column:
+    """Labels of all assistant turns: what follows a response marker, up to and including the next
+    end-of-turn id or, where a row was cut before it, the end of the row. All else is ignored.
+
+    Markers and ends are paired in one scan over a batch of rows, whatever the number of turns.
+    """
+    if not marker:
+        raise ValueError("the response marker has no tokens")
+    marker = list(marker)
+
+    @F.arrow_udf("array<int>")
+    def labels(rows: pa.Array) -> pa.Array:
+        flat = rows.flatten().to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+        bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+        found = np.ones(max(0, len(flat) - len(marker) + 1), bool)
+        for place, token in enumerate(marker):
+            found &= flat[place : place + len(found)] == token
+        first = np.flatnonzero(found) + len(marker)
+        row_end = bounds[np.searchsorted(bounds, first - len(marker), side="right")]
+        first, row_end = first[first <= row_end], row_end[first <= row_end]
+        ends = np.append(np.flatnonzero(flat == end_id) + 1, len(flat))
+        stop = np.minimum(ends[np.searchsorted(ends, first, side="right").clip(max=len(ends) - 1)], row_end)
+        change = np.zeros(len(flat) + 1, np.int64)
+        np.add.at(change, first, 1)
+        np.add.at(change, stop, -1)
+        kept = np.where(np.cumsum(change)[:-1] > 0, flat, IGNORED_LABEL).astype(np.int32)
+        mask = rows.is_null() if rows.null_count else None
+        return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(kept), mask=mask)
+
+    return labels(ids)
+
+
 def _matches(ids: Column, at: Column, marker: Sequence[int]) -> Column:
     found = F.get(ids, at - 1) == marker[0]
     for offset, token in enumerate(marker[1:]):

@@ -11,8 +11,16 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.tokens import attention_mask, model_tokens
-from quillspark.operators.vocabulary import UNKNOWN, LookupLimit, token_ids
+from quillspark.functions.tokens import SPECIAL_TOKENS, attention_mask, model_tokens, words
+from quillspark.operators.scanner import split_registered
+from quillspark.operators.vocabulary import (
+    UNKNOWN,
+    LookupLimit,
+    byte_ids,
+    byte_tokens,
+    registered_tokens,
+    token_ids,
+)
 from quillspark.session import store
 
 
@@ -32,37 +40,109 @@ def encode(
     are split and truncated in the JVM. A vocabulary within ``limit`` is then looked up in
     place, with no shuffle; a larger one is joined (see encode_by_join). Both give the same
     rows. The check runs on ``vocab``, so pass a stored or checkpointed table.
+
+    Tokens registered in the vocabulary (add_tokens) are found wherever they stand, the longest
+    of those that begin first. With byte tokens (add_byte_tokens) words outside the vocabulary
+    become their UTF-8 bytes instead of ``unknown``; a byte counts as a token of ``max_tokens``.
     """
     if not limit.admits(vocab):
         return encode_by_join(df, vocab, max_tokens, text, pattern, unknown, bos)
-    ids = _lookup_ids(vocab, unknown)(model_tokens(F.col(text), max_tokens, pattern, bos))
+    tokens = text_tokens(vocab, F.col(text), max_tokens, pattern, bos)
+    ids = _lookup_ids(vocab, unknown, max_tokens)(tokens)
     encoded = df.withColumn("input_ids", ids)
     return encoded.withColumn("attention_mask", attention_mask(F.col("input_ids")))
 
 
-def _lookup_ids(vocab: DataFrame, unknown: str = UNKNOWN) -> Callable[[Column], Column]:
+def text_tokens(
+    vocab: DataFrame,
+    text: Column,
+    max_tokens: int | None = None,
+    pattern: str | None = None,
+    bos: str | None = None,
+) -> Column:
+    """Tokens of a text: the registered ones of the vocabulary, and words between them.
+
+    The tokens of the chat formats are part of the default pattern. Only where others are
+    registered does the text go through the scanner.
+    """
+    fixed = SPECIAL_TOKENS if pattern is None else []
+    registered = registered_tokens(vocab)
+    if set(registered) <= set(fixed):
+        return model_tokens(text, max_tokens, pattern, bos)
+    segments = split_registered(vocab.sparkSession, [*registered, *fixed])(text)
+    found = F.flatten(
+        F.transform(
+            segments,
+            lambda s: F.when(s["token"], F.array(s["text"])).otherwise(words(s["text"], pattern)),
+        )
+    )
+    found = found if bos is None else F.concat(F.array(F.lit(bos)), found)
+    return found if max_tokens is None else F.slice(found, 1, max_tokens)
+
+
+def _lookup_ids(
+    vocab: DataFrame, unknown: str = UNKNOWN, max_tokens: int | None = None
+) -> Callable[[Column], Column]:
     """Expression mapping token arrays to id arrays; the vocabulary must be of checked size."""
-    (unknown_id,) = token_ids(vocab, [unknown], unknown)
+    in_bytes = byte_ids(vocab)
+    (unknown_id,) = token_ids(vocab, [unknown], unknown) if in_bytes is None else (None,)
     shared = _broadcast(vocab)
 
     @F.arrow_udf("array<int>")
     def ids_of(tokens: pa.Array) -> pa.Array:
         known, ids = shared.value
         place = pc.index_in(tokens.flatten(), value_set=known)
-        return _relist(tokens, pc.fill_null(ids.take(place), unknown_id))
+        if in_bytes is None:
+            return _relist(tokens, pc.fill_null(ids.take(place), unknown_id))
+        return _with_bytes(tokens, ids.take(place), np.array(in_bytes, np.int32), max_tokens)
 
     return ids_of
 
 
+def _with_bytes(
+    tokens: pa.Array, found: pa.Array, in_bytes: np.ndarray, max_tokens: int | None
+) -> pa.Array:
+    """Id arrays of token arrays, with the bytes of tokens that were not found, then cut."""
+    flat = tokens.flatten()
+    missing = found.is_null().to_numpy(zero_copy_only=False)
+    sizes = np.where(missing, pc.binary_length(flat).to_numpy(zero_copy_only=False), 1).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    ids = np.empty(ends[-1], np.int32)
+    ids[ends[:-1][~missing]] = found.drop_null().to_numpy()
+    spelled = np.frombuffer(b"".join(flat.filter(pa.array(missing)).cast(pa.binary()).to_pylist()), np.uint8)
+    inside = np.ones(ends[-1], bool)
+    inside[ends[:-1][~missing]] = False
+    ids[inside] = in_bytes[spelled]
+    lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+    bounds = ends[np.concatenate([[0], np.cumsum(lengths)])]
+    if max_tokens is not None:
+        rows = np.diff(bounds)
+        ids = ids[np.arange(ends[-1]) - np.repeat(bounds[:-1], rows) < max_tokens]
+        bounds = np.concatenate([[0], np.cumsum(np.minimum(rows, max_tokens))])
+    mask = tokens.is_null() if tokens.null_count else None
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids), mask=mask)
+
+
 def _lookup_text(vocab: DataFrame, unknown: str = UNKNOWN) -> Callable[[Column], Column]:
     """Expression mapping id arrays to the concatenation of their tokens."""
+    in_bytes = byte_ids(vocab)
     shared = _broadcast(vocab)
 
     @F.arrow_udf("string")
     def text_of(ids: pa.Array) -> pa.Array:
         tokens, known = shared.value
         place = pc.index_in(ids.flatten(), value_set=known)
-        return pc.binary_join(_relist(ids, pc.fill_null(tokens.take(place), unknown)), "")
+        if in_bytes is None:
+            return pc.binary_join(_relist(ids, pc.fill_null(tokens.take(place), unknown)), "")
+        spelled = pa.array([bytes([b]) for b in range(256)])
+        byte = pc.index_in(ids.flatten(), value_set=pa.array(in_bytes, pa.int32()))
+        parts = pc.coalesce(spelled.take(byte), tokens.cast(pa.binary()).take(place), unknown.encode())
+        joined = pc.binary_join(_relist(ids, parts), b"")
+        try:
+            return joined.cast(pa.string())
+        except pa.ArrowInvalid:  # bytes that are no whole characters, as truncation leaves them
+            texts = [None if b is None else b.decode("utf-8", "replace") for b in joined.to_pylist()]
+            return pa.array(texts, pa.string())
 
     return text_of
 
@@ -97,11 +177,19 @@ def encode_by_join(
     once and rows need no key. A frequent token's join partition is split at run time. A row
     regroups its own tokens only.
     """
-    (unknown_id,) = token_ids(vocab, [unknown], unknown)
-    words = model_tokens(F.col(text), max_tokens, pattern, bos)
-    rows = store(df.withColumns({"_row": F.monotonically_increasing_id(), "_words": words}), "words")
+    in_bytes = byte_ids(vocab)
+    tokens = text_tokens(vocab, F.col(text), max_tokens, pattern, bos)
+    rows = store(df.withColumns({"_row": F.monotonically_increasing_id(), "_words": tokens}), "words")
     wanted = vocab.select(F.col("token").alias("_item"), F.col("id").cast("int").alias("_value"))
-    values = _join_items(rows, "_words", wanted, F.lit(unknown_id))
+    if in_bytes is None:
+        (unknown_id,) = token_ids(vocab, [unknown], unknown)
+        values = _join_items(rows, "_words", wanted, F.lit(unknown_id))
+    else:
+        wanted = wanted.withColumn("_value", F.array("_value"))
+        values = _join_items(rows, "_words", wanted, _spelled(F.col("_item"), in_bytes))
+        values = values.withColumn("_values", F.flatten("_values"))
+        if max_tokens is not None:
+            values = values.withColumn("_values", F.slice("_values", 1, max_tokens))
     encoded = rows.join(values, "_row", "left")
     # a text without any token is in no joined row, a null text has no ids
     empty = F.when(F.col("_words").isNotNull(), F.array().cast("array<int>"))
@@ -111,6 +199,18 @@ def encode_by_join(
     return encoded.select(*kept, "input_ids", "attention_mask")
 
 
+def _spelled(token: Column, in_bytes: list[int]) -> Column:
+    """Ids of the UTF-8 bytes of a token."""
+    table = F.array(*[F.lit(i) for i in in_bytes])
+    digits = F.hex(token)
+
+    def id_at(place: Column) -> Column:
+        byte = F.conv(F.substring(digits, 2 * place - 1, F.lit(2)), 16, 10).cast("int")
+        return F.element_at(table, byte + 1)
+
+    return F.transform(F.sequence(F.lit(1), F.octet_length(token)), id_at)
+
+
 def _join_items(rows: DataFrame, items: str, wanted: DataFrame, default: Column) -> DataFrame:
     """(_row, _values): the vocabulary values of each stored row's items, in order."""
     exploded = rows.select("_row", F.posexplode(items).alias("_pos", "_item"))
@@ -137,13 +237,18 @@ def decode_by_join(
     df: DataFrame, vocab: DataFrame, ids: str = "input_ids", unknown: str = UNKNOWN
 ) -> DataFrame:
     """Decode against a vocabulary of any size, as encode_by_join encodes."""
+    in_bytes = byte_ids(vocab)
     rows = store(df.withColumn("_row", F.monotonically_increasing_id()), "ids")
-    wanted = vocab.select(F.col("id").cast("int").alias("_item"), F.col("token").alias("_value"))
+    token, text = F.col("token"), F.array_join("_values", "")
+    if in_bytes is not None:  # all tokens by the digits of their bytes
+        is_byte = token.isin(byte_tokens())
+        token = F.when(is_byte, F.substring(token, 4, 2)).otherwise(F.hex(token))
+        text = F.make_valid_utf8(F.unhex(text).cast("string"))
+        unknown = unknown.encode().hex()
+    wanted = vocab.select(F.col("id").cast("int").alias("_item"), token.alias("_value"))
     values = _join_items(rows, ids, wanted, F.lit(unknown))
     empty = F.when(F.col(ids).isNotNull(), F.lit(""))
-    decoded = rows.join(values, "_row", "left").withColumn(
-        "text", F.coalesce(F.array_join("_values", ""), empty)
-    )
+    decoded = rows.join(values, "_row", "left").withColumn("text", F.coalesce(text, empty))
     return decoded.select(*[c for c in df.columns if c != "text"], "text")
 
 

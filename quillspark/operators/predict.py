@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +16,8 @@ from pyspark.sql import functions as F
 from quillspark.functions.chat import LLAMA3, ChatTemplate, render
 from quillspark.functions.text import is_blank, strip
 
-Predictor = Callable[[list[str], "GenerationParameters"], list[str]]
+#: Called with prompts and parameters, and with the prompts' random generators if rows have keys.
+Predictor = Callable[..., list[str]]
 PredictorFactory = Callable[[], Predictor]
 
 RECORD = "map<string,variant>"
@@ -234,34 +237,22 @@ def generate(
     parameters: GenerationParameters = GenerationParameters(),
     text: str = "text",
     batch_size: int = 256,
+    key: str | Sequence[str] | None = None,
+    seed: int = 0,
 ) -> DataFrame:
     """Add ``response``: one generated text per prompt.
 
     The factory runs once per task and the predictor sees at most ``batch_size`` prompts at
-    once; it must give one result for each. Only the prompt text goes to Python. Sampling predictors are declared non-deterministic, so that the optimizer
-    never evaluates them twice for one row.
-    """
-
-    @F.arrow_udf("string")
-    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        predictor = factory()
-        for batch in batches:
-            yield pa.array(_predicted(predictor, batch, parameters, batch_size), pa.string())
-
-    if parameters.do_sample:
-        predict = predict.asNondeterministic()
-    return prompts.withColumn("response", predict(F.col(text)))
+    once; it must give one result for each. Only the prompt text goes to Python. Sampling
+    predictors are declared non-deterministic, so that the optimizer never evaluates them twice
+    for one row.
 
-
-def _predicted(predictor: Callable, prompts: pa.Array, parameters, batch_size: int) -> list:
-    rows, out = prompts.to_pylist(), []
-    for start in range(0, len(rows), batch_size):
-        part = rows[start : start + batch_size]
-        found = list(predictor(part, parameters))
-        if len(found) != len(part):
-            raise ValueError(f"the predictor gave {len(found)} results for {len(part)} prompts")
-        out.extend(found)
-    return out
+    With ``key``, columns that tell the rows apart, the predictor gets a third argument: a random
+    generator for each prompt that depends on ``seed`` and the key alone. What it draws from them
+    is the same in any partitioning and in a task that is run again. Rows of one key draw the same.
+    """
+    response = _prediction(factory, parameters, text, batch_size, key, seed, pa.string(), "string")
+    return prompts.withColumn("response", response)
 
 
 def generate_tokens(
@@ -270,22 +261,64 @@ def generate_tokens(
     parameters: GenerationParameters = GenerationParameters(),
     ids: str = "input_ids",
     batch_size: int = 256,
+    key: str | Sequence[str] | None = None,
+    seed: int = 0,
 ) -> DataFrame:
     """Add ``output_ids``: what a model on token ids gives for each prompt, prompt included.
 
     As generate, with lists of ids instead of texts.
     """
+    kind = pa.list_(pa.int32())
+    output = _prediction(factory, parameters, ids, batch_size, key, seed, kind, "array<int>")
+    return prompts.withColumn("output_ids", output)
+
+
+def _prediction(factory, parameters, column, batch_size, key, seed, kind, name) -> Column:
+    if key is None:
+
+        @F.arrow_udf(name)
+        def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            predictor = factory()
+            for batch in batches:
+                yield pa.array(_predicted(predictor, batch, parameters, batch_size), kind)
 
-    @F.arrow_udf("array<int>")
-    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        if parameters.do_sample:
+            predict = predict.asNondeterministic()
+        return predict(F.col(column))
+
+    @F.arrow_udf(name)
+    def predict_keyed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         predictor = factory()
-        for batch in batches:
-            rows = _predicted(predictor, batch, parameters, batch_size)
-            yield pa.array(rows, pa.list_(pa.int32()))
+        for batch, keys in batches:
+            streams = [row_stream(seed, k) for k in keys.to_pylist()]
+            yield pa.array(_predicted(predictor, batch, parameters, batch_size, streams), kind)
+
+    return predict_keyed(F.col(column), row_key(*([key] if isinstance(key, str) else key)))
+
+
+def row_key(*columns: str) -> Column:
+    """The key columns as one text that tells null from empty and one column from the next."""
+    return F.to_json(F.array(*[F.col(c).cast("string") for c in columns]))
 
-    if parameters.do_sample:
-        predict = predict.asNondeterministic()
-    return prompts.withColumn("output_ids", predict(F.col(ids)))
+
+def row_stream(seed: int, key: str) -> np.random.Generator:
+    """The random generator of a row: a counter-based one, keyed by a hash of seed and key."""
+    digest = hashlib.blake2b(f"{seed}:{key}".encode(), digest_size=16).digest()
+    return np.random.Generator(np.random.Philox(key=int.from_bytes(digest, "little")))
+
+
+def _predicted(
+    predictor: Callable, prompts: pa.Array, parameters, batch_size: int, streams: list | None = None
+) -> list:
+    rows, out = prompts.to_pylist(), []
+    for start in range(0, len(rows), batch_size):
+        part = rows[start : start + batch_size]
+        drawn = [] if streams is None else [streams[start : start + batch_size]]
+        found = list(predictor(part, parameters, *drawn))
+        if len(found) != len(part):
+            raise ValueError(f"the predictor gave {len(found)} results for {len(part)} prompts")
+        out.extend(found)
+    return out
 
 
 def with_response(rest: Column, response: Column) -> Column:
@@ -301,9 +334,9 @@ def with_response(rest: Column, response: Column) -> Column:
 
 
 def prediction_lines(
-    predicted: DataFrame, rest: str = "rest", response: str = "response"
+    predicted: DataFrame, rest: str = "rest", response: str = "response", keep: Sequence[str] = ()
 ) -> DataFrame:
-    return predicted.select(with_response(F.col(rest), F.col(response)).alias("value"))
+    return predicted.select(*keep, with_response(F.col(rest), F.col(response)).alias("value"))
 
 
 def predict_lines(
@@ -311,7 +344,13 @@ def predict_lines(
     factory: PredictorFactory,
     parameters: GenerationParameters = GenerationParameters(),
     template: ChatTemplate = LLAMA3,
+    keep: Sequence[str] = (),
+    key: str | Sequence[str] | None = None,
+    seed: int = 0,
 ) -> DataFrame:
-    """Prompt lines to prediction lines, failing on unusable ones; narrow from end to end."""
-    rendered = render_prompts(drop_blank_lines(lines), template)
-    return prediction_lines(generate(fail_on_error(rendered), factory, parameters))
+    """Prompt lines to prediction lines, failing on unusable ones; narrow from end to end.
+
+    ``keep`` names columns of ``lines`` to carry along, such as the place of the line.
+    """
+    rendered = fail_on_error(render_prompts(drop_blank_lines(lines), template))
+    return prediction_lines(generate(rendered, factory, parameters, key=key, seed=seed), keep=keep)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.chat import LLAMA3, ChatTemplate
 from quillspark.functions.tokens import END_OF_TEXT, RIGHT_PAD_TOKEN, words
-from quillspark.session import store
+from quillspark.operators.numbering import number_rows
 
 UNKNOWN = "<unk>"
 
@@ -31,8 +32,8 @@ def template_tokens(template: ChatTemplate = LLAMA3) -> list[str]:
 
 def _listed(spark: SparkSession, tokens: Sequence[str]) -> DataFrame:
     """The tokens as rows (pos, token), produced by the JVM without a Python worker."""
-    listed = F.posexplode(F.array(*[F.lit(t) for t in tokens])).alias("pos", "token")
-    return spark.range(1).select(listed)
+    items = F.from_json(F.lit(json.dumps(list(tokens))), "array<string>")
+    return spark.range(1).select(F.posexplode(items).alias("pos", "token"))
 
 
 def token_counts(df: DataFrame, text: str = "text", pattern: str | None = None) -> DataFrame:
@@ -48,7 +49,7 @@ def build_vocabulary(
     pattern: str | None = None,
 ) -> DataFrame:
     """Reserved tokens first, then the ``size`` most frequent corpus tokens (ties by token), or
-    all of them if ``size`` is None; then they are numbered file by file, not in one task.
+    all of them if ``size`` is None; then they are numbered part by part, not in one task.
 
     Ranking every distinct token for a top-k would send up to k rows per task to one task. The
     count of the k-th token comes from the histogram of counts instead (N tokens have fewer than
@@ -77,32 +78,73 @@ def build_vocabulary(
 
 
 def _number_all(counts: DataFrame, first: int) -> DataFrame:
-    """(token, id) of all tokens by falling count, then token, from ``first`` on.
+    """(token, id) of all tokens by falling count, then token, from ``first`` on."""
+    numbered = number_rows(counts, -F.col("n"), F.col("token"))
+    return numbered.select("token", (F.col("number") + first).cast("int").alias("id"))
 
-    Sorted parts are stored; the sizes of the parts, one row each, give their first ids.
+
+def add_tokens(vocab: DataFrame, tokens: Sequence[str]) -> DataFrame:
+    """Append tokens that are not there yet with ids after the largest; others keep their id.
+
+    All of them are marked in a column ``special``: encoding finds a marked token wherever it
+    stands in a text, also inside what would else be a word, and never splits it.
     """
-    ordered = counts.repartitionByRange(F.desc("n"), "token").sortWithinPartitions(F.desc("n"), "token")
-    parts = store(ordered.withColumn("part", F.spark_partition_id()), "token-counts")
-    sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("base"))
-    place = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("n"), "token"))
-    numbered = parts.withColumn("place", place).join(F.broadcast(bases), "part")
-    number = F.col("base") + F.col("place") + (first - 1)
-    return numbered.select("token", number.cast("int").alias("id"))
+    if any(not t for t in tokens):
+        raise ValueError("an empty token cannot be found in a text")
+    listed = _listed(vocab.sparkSession, list(dict.fromkeys(tokens))) if tokens else None
+    vocab = vocab.withColumn("special", _marked(vocab))
+    if listed is None:
+        return vocab
+    given = listed.select("token", F.lit(True).alias("_given"))
+    known = vocab.join(F.broadcast(given), "token", "left")
+    marked = known.select("token", "id", (F.col("special") | F.col("_given").isNotNull()).alias("special"))
+    missing = listed.join(vocab.select("token"), "token", "left_anti")
+    next_id = F.coalesce(vocab.agg(F.max("id")).scalar(), F.lit(-1))
+    place = F.row_number().over(Window.orderBy("pos"))
+    new = missing.select("token", place.alias("place")).select(
+        "token", (next_id + F.col("place")).cast("int").alias("id"), F.lit(True).alias("special")
+    )
+    return marked.unionByName(new)
 
 
-def add_tokens(vocab: DataFrame, tokens: Sequence[str]) -> DataFrame:
-    """Append tokens that are not there yet with ids after the largest; others keep their id."""
-    listed = _listed(vocab.sparkSession, list(dict.fromkeys(tokens)))
-    present = vocab.where(F.col("token").isin(list(tokens))).select("token")
-    missing = listed.join(present, "token", "left_anti")
+def _marked(vocab: DataFrame) -> Column:
+    return F.coalesce("special", F.lit(False)) if "special" in vocab.columns else F.lit(False)
+
+
+def registered_tokens(vocab: DataFrame) -> list[str]:
+    """The marked tokens; they were once given as a list on the driver and come back as one."""
+    if "special" not in vocab.columns:
+        return []
+    return sorted(r.token for r in vocab.where("special").select("token").collect())
+
+
+def byte_tokens() -> list[str]:
+    """The names of the 256 bytes, in order."""
+    return [f"<0x{b:02X}>" for b in range(256)]
+
+
+def add_byte_tokens(vocab: DataFrame) -> DataFrame:
+    """Append a token for each byte that has none, unmarked: texts never hold them as words.
+
+    With all of them there encoding turns a word outside the vocabulary into its UTF-8 bytes, and
+    decoding turns runs of bytes back into text, so that nothing is lost at any vocabulary size.
+    """
+    vocab = vocab.withColumn("special", _marked(vocab))
+    listed = _listed(vocab.sparkSession, byte_tokens())
+    missing = listed.join(vocab.select("token"), "token", "left_anti")
     next_id = F.coalesce(vocab.agg(F.max("id")).scalar(), F.lit(-1))
     place = F.row_number().over(Window.orderBy("pos"))
     new = missing.select("token", place.alias("place")).select(
-        "token", (next_id + F.col("place")).cast("int").alias("id")
+        "token", (next_id + F.col("place")).cast("int").alias("id"), F.lit(False).alias("special")
     )
-    return vocab.unionByName(new)
+    return vocab.select("token", "id", "special").unionByName(new)
+
+
+def byte_ids(vocab: DataFrame) -> list[int] | None:
+    """Ids of the 256 byte tokens in order; None unless all are there."""
+    names = byte_tokens()
+    found = {r.token: r.id for r in vocab.where(F.col("token").isin(names)).collect()}
+    return [found[n] for n in names] if len(found) == 256 else None
 
 
 def resolve_pad(

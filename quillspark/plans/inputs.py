@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import replace
 
 import pyarrow as pa
@@ -99,12 +99,14 @@ def conversation_texts(
 ) -> DataFrame:
     """One chat text per conversation of turn-per-row input, whatever its number of turns.
 
-    Each turn is rendered by itself. Parts of consecutive turn numbers are put together in
-    parallel, and their texts once more; only that last step holds a whole conversation.
+    Each turn is rendered by itself. Parts of consecutive turn numbers are put together, and
+    their texts once more, so that no step sorts more than a part or holds more than the text.
+    The turns are shuffled once, by conversation, which serves both steps.
     """
     piece = render(F.array(message(F.col("role"), F.col("text"))), replace(template, bos=""))
     part = F.floor(F.col("turn") / turns_per_part)
-    rendered = turns.select("conv_id", part.alias("part"), "turn", "role", piece.alias("piece"))
+    dealt = turns.select("conv_id", "turn", "role", "text").repartition("conv_id")
+    rendered = dealt.select("conv_id", part.alias("part"), "turn", "role", piece.alias("piece"))
 
     def in_order(rows: DataFrame, keys: list[str], *place: str) -> DataFrame:
         pieces = F.array_sort(F.collect_list(F.struct(*place, "piece")))
@@ -139,7 +141,7 @@ def list_lines(records: DataFrame) -> DataFrame:
     return records.mapInArrow(run, "value string")
 
 
-def prompt_lines(spark: SparkSession, folder: str) -> DataFrame:
+def prompt_lines(spark: SparkSession, folder: str, keep: Sequence[str] = ()) -> DataFrame:
     """JSON lines of every kind of prompt record, one per turn, from all conversations."""
     lines = {
         "user": F.struct(F.col("text").alias("prompt"), "conv_id", "turn"),
@@ -160,4 +162,4 @@ def prompt_lines(spark: SparkSession, folder: str) -> DataFrame:
         *[F.when(F.col("role") == role, F.to_json(line)) for role, line in lines.items()],
         F.to_json(with_messages),
     )
-    return table(spark, folder, "conversations").select(value.alias("value"))
+    return table(spark, folder, "conversations").select(*keep, value.alias("value"))

@@ -223,10 +223,10 @@ def values(tokens: list[str]) -> str:
     return ", ".join(f"({i}, {quoted(t)})" for i, t in enumerate(tokens))
 
 
-def vocabulary(limit: str) -> str:
+def vocabulary(limit: str, added: list[str] = ADDED_TOKENS) -> str:
     return f"""
     reserved(id, token) AS (VALUES {values(RESERVED)}),
-    added(place, token) AS (VALUES {values(ADDED_TOKENS)}),
+    added(place, token) AS (VALUES {values(added)}),
     counts AS (
       SELECT token, count(*) AS n
       FROM (SELECT unnest(regexp_extract_all(text, {PATTERN})) AS token FROM documents)
@@ -248,8 +248,14 @@ VOCAB = vocabulary(f"LIMIT {VOCABULARY_SIZE}")
 WHOLE_VOCAB = vocabulary("")
 
 
-def encoded(source: str, limit: int | None, first: str = "[]", vocab: str = VOCAB) -> str:
-    words = f"list_concat({first}, regexp_extract_all(text, {PATTERN}))"
+def encoded(
+    source: str,
+    limit: int | None,
+    first: str = "[]",
+    vocab: str = VOCAB,
+    words: str = f"regexp_extract_all(text, {PATTERN})",
+) -> str:
+    words = f"list_concat({first}, {words})"
     if limit is not None:
         words = f"list_slice({words}, 1, {limit})"
     return f"""
@@ -260,7 +266,7 @@ def encoded(source: str, limit: int | None, first: str = "[]", vocab: str = VOCA
     found AS (
       SELECT doc_id, list(coalesce(id, 0) ORDER BY pos) AS ids
       FROM placed LEFT JOIN vocab USING (token) GROUP BY doc_id),
-    encoded AS (
+    encoded AS MATERIALIZED (
       SELECT doc_id, coalesce(ids, CAST([] AS INTEGER[])) AS ids
       FROM source LEFT JOIN found USING (doc_id))"""
 
@@ -297,6 +303,33 @@ ORACLES["encode_with_bos"] = f"""
     WITH {encoded("SELECT doc_id, text FROM documents", DOCUMENT_TOKENS, "['<|begin_of_text|>']")}
     SELECT doc_id, {TOKENS} FROM encoded"""
 ORACLES["token_files"] = ENCODED
+REGISTERED = sorted(["the", "tion", "on the", "ing th", "e", "und d", "ñ"], key=len, reverse=True)
+# what stands between registered tokens is split as before; every second piece is a token
+MARKED = f"regexp_replace(text, '({'|'.join(REGISTERED)})', chr(1) || '\\1' || chr(1), 'g')"
+SPLIT = f"""flatten(list_transform(string_split({MARKED}, chr(1)),
+    lambda p, i: CASE WHEN i % 2 = 0 THEN [p] ELSE regexp_extract_all(p, {PATTERN}) END))"""
+NEW = ["the", "tion", "on the", "ing th", "e", "und d", "ñ"]
+ORACLES["encode_registered"] = f"""
+    WITH {encoded("SELECT doc_id, text FROM documents", DOCUMENT_TOKENS,
+                  vocab=vocabulary(f"LIMIT {VOCABULARY_SIZE}", ADDED_TOKENS + NEW), words=SPLIT)}
+    SELECT doc_id, {TOKENS} FROM encoded"""
+ORACLES["encode_bytes"] = f"""
+    WITH {vocabulary("LIMIT 500")},
+    first_byte AS (SELECT max(id) + 1 AS b FROM vocab),
+    placed AS (
+      SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos
+      FROM (SELECT doc_id, regexp_extract_all(text, {PATTERN}) AS w FROM documents)),
+    spelled AS (
+      SELECT doc_id, pos, CASE WHEN id IS NOT NULL THEN [id] ELSE list_transform(
+        range(strlen(token)),
+        lambda i: CAST(b + CAST('0x' || substr(hex(token), 2 * i + 1, 2) AS INTEGER) AS INTEGER)) END AS part
+      FROM placed LEFT JOIN vocab USING (token), first_byte),
+    encoded AS MATERIALIZED (
+      SELECT doc_id, list_slice(flatten(list(part ORDER BY pos)), 1, {DOCUMENT_TOKENS}) AS ids
+      FROM spelled GROUP BY doc_id)
+    SELECT doc_id, coalesce({joined('ids')}, '') AS ids, coalesce({joined(ones('ids'))}, '') AS mask
+    FROM documents LEFT JOIN encoded USING (doc_id)"""
+ORACLES["decode_bytes"] = "SELECT doc_id, text FROM documents"
 DECODED = "SELECT doc_id, text FROM documents"
 ORACLES["decode_text"] = DECODED
 ORACLES["decode_joined"] = DECODED
@@ -335,9 +368,105 @@ ORACLES["labels_response"] = f"""
     SELECT doc_id, {joined('labels')} AS labels,
       CAST(len(list_filter(labels, lambda x: x <> -100)) AS INTEGER) AS supervised
     FROM labelled"""
-def numbered(source: str, columns: str = "", key: str = "doc_id", size: int = 2) -> str:
+
+
+CHAT_IDS = f"""
+    {VOCAB},
+    source AS ({ORACLES["chat_render"]}),
+    placed AS (
+      SELECT conv_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos
+      FROM (SELECT conv_id, regexp_extract_all(text, {PATTERN}) AS w FROM source)),
+    encoded AS MATERIALIZED (
+      SELECT conv_id, list(coalesce(id, 0) ORDER BY pos) AS ids
+      FROM placed LEFT JOIN vocab USING (token) GROUP BY conv_id),
+    marker AS (
+      SELECT [(SELECT id FROM vocab WHERE token = '<|start_header_id|>'),
+              (SELECT id FROM vocab WHERE token = 'assistant'),
+              (SELECT id FROM vocab WHERE token = '<|end_header_id|>'),
+              (SELECT id FROM vocab WHERE token = {NL} || {NL})] AS m,
+             (SELECT id FROM vocab WHERE token = '<|eot_id|>') AS eot),
+    places AS MATERIALIZED (
+      SELECT conv_id, ids,
+        list_filter(range(1, greatest(2, len(ids) - 2)), lambda j: list_slice(ids, j, j + 3) = m) AS heads,
+        list_filter(range(1, len(ids) + 1), lambda j: ids[j] = eot) AS ends
+      FROM encoded, marker),
+    spans AS MATERIALIZED (
+      SELECT conv_id, ids, list_transform(heads, lambda h: [h + 4,
+        coalesce(list_min(list_filter(ends, lambda e: e >= h + 4)), len(ids))]) AS spans,
+        coalesce(list_max(heads) + 3, len(ids)) AS last_end
+      FROM places),
+    labels AS MATERIALIZED (
+      SELECT conv_id,
+        list_transform(ids, lambda x, i: CASE WHEN len(list_filter(spans, lambda s: i >= s[1] AND i <= s[2])) > 0
+          THEN x ELSE -100 END) AS turns,
+        list_transform(ids, lambda x, i: CASE WHEN i <= last_end THEN -100 ELSE x END) AS last
+      FROM spans)"""
+ORACLES["labels_all_turns"] = f"""
+    WITH {CHAT_IDS}
+    SELECT conv_id, {joined('turns')} AS labels,
+      CAST(len(list_filter(turns, lambda x: x <> -100)) AS INTEGER) AS supervised
+    FROM labels"""
+ORACLES["supervision"] = f"""
+    WITH {CHAT_IDS}
+    SELECT rule, count(*) AS rows, count(*) FILTER (n = 0) AS unsupervised, CAST(sum(n) AS BIGINT) AS tokens
+    FROM (SELECT 'last' AS rule, len(list_filter(last, lambda x: x <> -100)) AS n FROM labels
+          UNION ALL SELECT 'turns', len(list_filter(turns, lambda x: x <> -100)) FROM labels)
+    GROUP BY rule"""
+
+
+def permuted(source: str, seed: int, epoch: int, rounds: int = 8, prime: int = 2**31 - 1) -> str:
+    """Numbers of ``source`` (number, value) under eight Feistel rounds over the grid ``cells``."""
+
+    def mixed(x: str, r: int) -> str:
+        digest = f"md5('{seed}:{epoch}:{r}')"
+        a, b = (f"CAST('0x' || substr({digest}, {at}, 7) AS BIGINT)" for at in (1, 8))
+        base = f"(({x} + {a}) % {prime})"
+        return f"(((({base} * {base} + {b}) % {prime}) * {base}) % {prime})"
+
+    rows = f"SELECT number, value % wide AS x, value // wide AS y, wide, high FROM {source}, cells"
+    for r in range(rounds):
+        x, y = ("x", f"(y + {mixed('x', r)}) % high") if r % 2 else (f"(x + {mixed('y', r)}) % wide", "y")
+        rows = f"SELECT number, {x} AS x, {y} AS y, wide, high FROM ({rows})"
+    return f"SELECT number, y * wide + x AS value FROM ({rows})"
+
+
+ORACLES["epoch_deal"] = f"""
+    WITH RECURSIVE cells AS (
+      SELECT n, wide, CAST(ceil(n / wide) AS BIGINT) AS high
+      FROM (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS wide FROM documents)),
+    numbers AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS number FROM documents),
+    walk AS (
+      {permuted('(SELECT number, number AS value FROM numbers)', 11, 2)}
+      UNION ALL
+      {permuted('(SELECT number, value FROM walk WHERE value >= (SELECT n FROM cells))', 11, 2)})
+    SELECT doc_id, value AS position, CAST(floor(value / 2) % 8 AS INTEGER) AS device,
+      CAST(floor(value / 16) AS INTEGER) AS batch, CAST(floor(value / 128) AS INTEGER) AS step
+    FROM numbers JOIN walk USING (number) WHERE value < (SELECT n FROM cells)"""
+ORACLES["length_batches"] = f"""
+    WITH {DOCUMENTS},
+    lengths AS (SELECT doc_id, len(ids) AS tokens FROM encoded),
+    sorted AS (SELECT list(tokens ORDER BY tokens) AS l FROM lengths),
+    bounds AS (
+      SELECT list_distinct(list_transform(range(1, 64),
+        lambda i: l[CAST(greatest(1, ceil(i * len(l) / 64)) AS BIGINT)])) AS limits FROM sorted),
+    bucketed AS (
+      SELECT doc_id, tokens,
+        CAST(len(list_filter(limits, lambda b: b < tokens)) AS INTEGER) AS bucket,
+        md5('11' || chr(31) || '0' || chr(31) || doc_id) AS place
+      FROM lengths, bounds),
+    dealt AS (
+      SELECT *, CAST(floor((row_number() OVER (ORDER BY bucket, place, doc_id) - 1) / 16) AS BIGINT) AS batch
+      FROM bucketed)
+    SELECT doc_id, bucket, batch, CAST(tokens AS INTEGER) AS tokens,
+      CAST(max(tokens) OVER (PARTITION BY batch) AS INTEGER) AS length
+    FROM dealt"""
+
+
+def numbered(
+    source: str, columns: str = "", key: str = "doc_id", size: int = 2, counted: str | None = None
+) -> str:
     digits = f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT)"
-    shards = f"(SELECT greatest(ceil(count(*) / {SHARD_ROWS}), 1) FROM {source})"
+    shards = f"(SELECT greatest(ceil(count(*) / {SHARD_ROWS}), 1) FROM {counted or source})"
     return f"""
       SELECT {key}{columns}, shard,
         CAST(floor((row_number() OVER (PARTITION BY shard ORDER BY {key}) - 1) / {size}) AS INTEGER)
@@ -378,16 +507,16 @@ ORACLES["sft_batches"] = f"""
               (SELECT id FROM vocab WHERE token = 'assistant'),
               (SELECT id FROM vocab WHERE token = '<|end_header_id|>'),
               (SELECT id FROM vocab WHERE token = {NL} || {NL})] AS m),
-    ends AS (
+    ends AS MATERIALIZED (
       SELECT text, ids,
         coalesce(list_max(list_filter(range(1, greatest(2, len(ids) - 2)),
                  lambda j: list_slice(ids, j, j + 3) = m)) + 3, len(ids)) AS e
       FROM encoded JOIN source USING (doc_id), marker),
-    labelled AS (
+    labelled AS MATERIALIZED (
       SELECT text, ids,
         list_transform(ids, lambda x, i: CASE WHEN i <= e THEN -100 ELSE x END) AS labels
       FROM ends),
-    numbered AS ({numbered('labelled', ', ids, labels', 'text')}),
+    numbered AS ({numbered('labelled', ', ids, labels', 'text', counted='source')}),
     sized AS (
       SELECT *, CAST(max(len(ids)) OVER (PARTITION BY shard, batch) AS INTEGER) AS length
       FROM numbered),
@@ -426,6 +555,11 @@ PREDICTED = f"""
 ORACLES["prompts_predict"] = PREDICTED
 ORACLES["prompt_files"] = PREDICTED
 ORACLES["prompt_folder"] = PREDICTED
+ORACLES["prompts_ordered"] = f"""
+    SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS number, CAST(conv_id AS VARCHAR) AS conv_id,
+      CAST(turn AS VARCHAR) AS turn, {PROMPT} || '|1024' AS response
+    FROM conversations"""
+ORACLES["advantage_stream"] = f"SELECT *, true AS complete FROM ({ORACLES['group_advantage']})"
 ORACLES["prompts_quarantine"] = """
     SELECT conv_id, turn,
       CASE WHEN role = 'system' THEN 'not a JSON object'
@@ -441,6 +575,7 @@ NUMBERS = (
     '{"n": [1.50, 1e400, -0, NaN, -Infinity, 123456789012345678901234567890123456789012345]'
 )
 ORACLES["corpus_files"] = "SELECT text FROM documents"
+ORACLES["corpus_line_lists"] = "SELECT text FROM documents"
 ORACLES["corpus_list_files"] = "SELECT text FROM documents"
 ORACLES["sft_files"] = f"""
     SELECT system_prompt, instruction, reference, modified_reasoning, formatted_label FROM ({SFT})"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ from quillspark.operators.encode import (
     encode_by_join,
 )
 from quillspark.operators.vocabulary import (
+    add_byte_tokens,
     add_tokens,
     build_vocabulary,
     resolve_pad,
@@ -28,10 +29,14 @@ from quillspark.plans import inputs
 from quillspark.session import fresh_path, ship_package, store
 from quillspark.sources.corpus import read_corpus, read_qa, read_sft
 from quillspark.sources.prompts import (
+    PLACE,
+    read_ordered_lines,
     read_prompt_lines,
+    write_ordered_lines,
     write_prediction_lines,
     write_tokens,
 )
+from quillspark.streaming.advantage import stream_advantage
 from quillspark.streaming.prompts import predict_folder
 
 VOCABULARY_SIZE = 128_000
@@ -276,7 +281,7 @@ def _tokens(encoded: DataFrame) -> DataFrame:
 
 @query
 def vocabulary(spark, folder):
-    return _vocabulary(spark, folder)
+    return _vocabulary(spark, folder).select("token", "id")
 
 
 @query
@@ -304,6 +309,41 @@ def encode_with_bos(spark, folder):
     return _tokens(encode(documents, vocab, DOCUMENT_TOKENS, bos=LLAMA3.bos))
 
 
+#: Tokens that stand inside and across the words of the documents.
+REGISTERED = ["the", "tion", "on the", "ing th", "e", "und d", "ñ"]
+
+
+@query
+def encode_registered(spark, folder):
+    """Tokens registered in the vocabulary, wherever they stand."""
+    documents = inputs.documents(spark, folder).select("doc_id", "text")
+    vocab = store(add_tokens(_vocabulary(spark, folder), REGISTERED), "vocabulary")
+    return _tokens(encode(documents, vocab, DOCUMENT_TOKENS))
+
+
+#: Few enough that most words of the documents are outside.
+SMALL_VOCABULARY = 500
+
+
+def _byte_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    return store(add_byte_tokens(_vocabulary(spark, folder, SMALL_VOCABULARY)), "vocabulary")
+
+
+@query
+def encode_bytes(spark, folder):
+    """Words outside a small vocabulary as their bytes."""
+    documents = inputs.documents(spark, folder).select("doc_id", "text")
+    return _tokens(encode(documents, _byte_vocabulary(spark, folder), DOCUMENT_TOKENS))
+
+
+@query
+def decode_bytes(spark, folder):
+    """Whole texts through a small vocabulary and back."""
+    documents = inputs.documents(spark, folder).select("doc_id", "text")
+    vocab = _byte_vocabulary(spark, folder)
+    return decode(encode(documents, vocab).select("doc_id", "input_ids"), vocab).select("doc_id", "text")
+
+
 @query
 def encode_joined(spark, folder):
     """The path for vocabularies too large to ship."""
@@ -366,6 +406,62 @@ def labels_response(spark, folder):
     )
 
 
+def _chat_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of whole conversations, their labels by the last header and by all assistant turns."""
+    vocab = _vocabulary(spark, folder)
+    texts = inputs.conversation_texts(inputs.table(spark, folder, "conversations"))
+    encoded = encode(texts, vocab)
+    marker = _response_marker(vocab)
+    (end_id,) = token_ids(vocab, [LLAMA3.end_of_turn])
+    ids = F.col("input_ids")
+    return encoded.select(
+        "conv_id",
+        K.response_labels(ids, marker).alias("last"),
+        K.assistant_labels(ids, marker, end_id).alias("turns"),
+    )
+
+
+@query
+def labels_all_turns(spark, folder):
+    """Every assistant turn of a conversation supervised."""
+    return _chat_labels(spark, folder).select(
+        "conv_id", joined("turns").alias("labels"), K.supervised_tokens(F.col("turns")).alias("supervised")
+    )
+
+
+@query
+def supervision(spark, folder):
+    """Rows, rows without any supervised token and supervised tokens under both rules."""
+    labels = _chat_labels(spark, folder)
+    rules = [F.struct(F.lit(r).alias("rule"), K.supervised_tokens(F.col(r)).alias("n")) for r in ("last", "turns")]
+    counted = labels.select(F.inline(F.array(*rules)))
+    return counted.groupBy("rule").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("n") == 0).alias("unsupervised"),
+        F.sum("n").alias("tokens"),
+    )
+
+
+EPOCH, EPOCH_SEED = 2, 11
+
+
+@query
+def epoch_deal(spark, folder):
+    """Third epoch of the documents, dealt to eight devices."""
+    documents = inputs.table(spark, folder, "documents").select("doc_id")
+    return batching.deal_epoch(documents, "doc_id", EPOCH, EPOCH_SEED)
+
+
+@query
+def length_batches(spark, folder):
+    """Batches of similar lengths, and what they are padded to."""
+    encoded, _ = _encoded(spark, folder)
+    rows = encoded.select("doc_id", "input_ids")
+    batched = batching.assign_length_batches(rows, "doc_id", 16, seed=EPOCH_SEED)
+    longest = F.max(F.size("input_ids")).over(Window.partitionBy("batch"))
+    return batched.select("doc_id", "bucket", "batch", F.size("input_ids").alias("tokens"), longest.alias("length"))
+
+
 @query
 def batch_assign(spark, folder):
     documents = inputs.table(spark, folder, "documents").select("doc_id")
@@ -508,6 +604,52 @@ def prompts_predict(spark, folder):
     return _fields(predict.predict_lines(lines, _echo, GREEDY))
 
 
+@query
+def prompts_sampled(spark, folder):
+    """Predictions that draw from a random stream of their own row."""
+
+    def open_model():
+        def shuffle_words(texts, parameters, streams):
+            words = [t.split(" ") for t in texts]
+            return [" ".join(w[i] for i in s.permutation(len(w))[:8]) for w, s in zip(words, streams)]
+
+        return shuffle_words
+
+    turns = inputs.table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    return predict.generate(turns, open_model, key=["conv_id", "turn"], seed=5).drop("text")
+
+
+@query
+def prompts_ordered(spark, folder):
+    """Predictions in the order of the input lines over all files."""
+    prompts, predictions = fresh_path(spark, "prompts"), fresh_path(spark, "predictions")
+    lines = inputs.prompt_lines(spark, folder, ["conv_id", "turn"])
+    lines.orderBy("conv_id", "turn").select("value").write.text(prompts)
+    lines = read_prompt_lines(spark, prompts, places=True)
+    write_ordered_lines(predict.predict_lines(lines, _echo, GREEDY, keep=PLACE), predictions)
+    ordered = read_ordered_lines(spark, predictions)
+    fields = [F.get_json_object("value", f"$.{f}").alias(f) for f in ("conv_id", "turn", "response")]
+    return ordered.select("number", *fields)
+
+
+@query
+def advantage_stream(spark, folder):
+    """Advantages of a stream of scored rollouts, each group when all of it is in."""
+    source, target, state = (fresh_path(spark, name) for name in ("scored", "advantages", "state"))
+    scored = rollouts.score(inputs.rollouts(spark, folder)).select("prompt_id", "gen_id", "reward")
+    sizes = scored.groupBy("prompt_id").agg(F.count(F.lit(1)).alias("n"))
+    time = F.timestamp_seconds(F.lit(1_600_000_000) + F.col("gen_id")).alias("time")
+    arriving = scored.join(sizes, "prompt_id").select("prompt_id", "gen_id", "reward", "n", time)
+    arriving.repartition(4, "gen_id").write.parquet(source)
+    stream = spark.readStream.schema("prompt_id bigint, gen_id bigint, reward double, n bigint, time timestamp")
+    stream = stream.option("maxFilesPerTrigger", 2).parquet(source)
+    advantages = stream_advantage(stream, "time", generations="n")
+    writer = advantages.writeStream.format("parquet").option("checkpointLocation", state)
+    writer.trigger(availableNow=True).start(target).awaitTermination()
+    values = [rounded(n).alias(n) for n in ("reward", "advantage")]
+    return spark.read.parquet(target).select("prompt_id", "gen_id", *values, "complete")
+
+
 @query
 def tokens_predict(spark, folder):
     """Inference on ids: encode, predict, drop the prompt, decode."""
@@ -559,6 +701,15 @@ def corpus_list_files(spark, folder):
     return read_corpus(spark, path)
 
 
+@query
+def corpus_line_lists(spark, folder):
+    """Files that each hold one list on one line."""
+    path = fresh_path(spark, "corpus")
+    records = inputs.documents(spark, folder).select(F.to_json(F.struct("*")).alias("value"))
+    inputs.list_lines(records).write.option("lineSep", " ").text(path)
+    return read_corpus(spark, path)
+
+
 @query
 def corpus_mixed_files(spark, folder):
     """A folder of line files and list files."""

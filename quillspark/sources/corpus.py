@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from quillspark import schemas
 from quillspark.functions.text import is_blank, strip
+from quillspark.sources.json_lists import pieces, read_lists
 
 LAYOUTS = ("auto", "lines", "array")
 
@@ -20,56 +21,37 @@ def read_json(
 ) -> DataFrame:
     """Records from newline-delimited JSON and from files holding a top-level list.
 
-    ``auto`` looks at the first non-blank line of each file for the start of a list. Line files
-    are read in splits, whatever stands beside them. Lists have no split points, so their files
-    are read whole, one row per file, up to the 2 GiB that a value can hold. Anything that is
-    not a record stops the job, so trailing text is never skipped silently.
+    ``auto`` and ``array`` look at the first character of each file for the start of a list;
+    ``lines`` takes every file as lines. Line files are read in splits, and so are lists, whatever
+    their size and however their lines are laid out (see json_lists). Anything that is not a record
+    stops the job, so trailing text is never skipped silently.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    lists: list[str] = []
-    line_files: str | list[str] = path
-    if layout == "array":
-        lists, line_files = ([path] if isinstance(path, str) else path), []
-    elif layout == "auto":
-        lists, others = _layouts(spark, path)
-        if lists:
-            line_files = others
-    texts = []
-    if line_files:
-        lines = spark.read.text(line_files).where(~is_blank(F.col("value")))
-        texts.append(lines.select(strip(F.col("value")).alias("value")))
+    lists, others = ([], path) if layout == "lines" else _layouts(spark, path)
+    frames = []
+    if others or not lists:
+        lines = spark.read.text(others or path).where(~is_blank(F.col("value")))
+        frames.append(lines.select(F.inline(_records(strip(F.col("value")), schema))))
     if lists:
-        texts.append(_file_contents(spark, lists))
-    return reduce(DataFrame.unionByName, texts).select(F.inline(_records(F.col("value"), schema)))
+        frames.append(read_lists(spark, lists, schema))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _layouts(spark: SparkSession, path: str | list[str]) -> tuple[list[str], list[str]]:
-    """List files and other files, by their first non-blank line.
+    """List files and other files, by their first character that is no white space.
 
     One name per file comes to the driver, as in any listing of the files.
     """
-    lines = spark.read.text(path).where(~is_blank(F.col("value")))
-    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    texts = pieces(spark, path).where(~is_blank(F.col("value")))
+    place = F.struct("start", F.monotonically_increasing_id())
     opens = F.startswith(strip(F.col("value")), F.lit("["))
-    heads = lines.select(F.col("_metadata.file_path").alias("file"), place.alias("place"), opens.alias("opens"))
+    heads = texts.select("file", place.alias("place"), opens.alias("opens"))
     files = heads.groupBy("file").agg(F.min_by("opens", "place").alias("opens")).collect()
     named = sorted((unquote(r.file), r.opens) for r in files)
     return [f for f, is_list in named if is_list], [f for f, is_list in named if not is_list]
 
 
-def _file_contents(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Whole lists, and the single lines of files that hold no list."""
-    files = spark.read.text(path, wholetext=True).where(~is_blank(F.col("value")))
-    content = strip(F.col("value"))
-    lines = F.transform(F.split(content, r"\r\n|\n|\r"), strip)
-    lines = F.filter(lines, lambda line: ~is_blank(line))
-    is_list = F.startswith(content, F.lit("["))
-    return files.select(
-        F.explode(F.when(is_list, F.array(content)).otherwise(lines)).alias("value")
-    )
-
-
 def _records(text: Column, schema: T.StructType) -> Column:
     """Records of a text that is one JSON object or one list of objects, as an array.
 

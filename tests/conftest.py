@@ -8,9 +8,6 @@ sys.path.insert(0, str(ROOT))
 
 from quillspark.session import local_session, ship_package  # noqa: E402
 
-TABLES = "/root/testdata/sf0.001"
-
-
 # column expressions at module level need a running session while tests are collected
 SESSION = local_session(8, memory="8g")
 SESSION.sparkContext.setLogLevel("OFF")

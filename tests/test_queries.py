@@ -1,5 +1,4 @@
 import pytest
-from conftest import TABLES
 
 from __spark_entry__ import entry, queries
 from check_oracles import compare, connect
@@ -7,6 +6,8 @@ from quillspark.plans.oracles import ORACLES
 from quillspark.plans.queries import QUERIES
 from quillspark.session import shared_folder
 
+TABLES = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def connection():
@@ -14,10 +15,11 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) - set(ORACLES) == {"prompts_sampled"}  # see test_sampling
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", ORACLES)
 def test_query_matches_its_sql(spark, connection, name):
     assert compare(spark, connection, TABLES, name) is None
 

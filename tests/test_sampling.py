@@ -1,0 +1,177 @@
+import pytest
+from pyspark import TaskContext
+from pyspark.sql import functions as F
+
+from quillspark.operators.predict import generate, generate_tokens, predict_lines, row_key, row_stream
+from quillspark.plans.queries import QUERIES
+from quillspark.sources.prompts import PLACE, read_ordered_lines, read_prompt_lines, write_ordered_lines
+from quillspark.streaming.advantage import stream_advantage
+from quillspark.operators.rollouts import group_advantage
+
+
+def drawing():
+    """A factory that workers get by value, for they cannot import this module."""
+
+    def draws():
+        def run(texts, parameters, streams):
+            return [f"{t} {s.integers(10**9)} {s.random():.9f}" for t, s in zip(texts, streams)]
+
+        return run
+
+    return draws
+
+
+def responses(df, **options):
+    return {r.id: r.response for r in generate(df, drawing(), key="id", **options).collect()}
+
+
+@pytest.fixture
+def prompts(spark):
+    return spark.range(200).select("id", F.concat(F.lit("p"), "id").alias("text"))
+
+
+def test_draws_do_not_depend_on_partitions_or_batches(prompts):
+    one = responses(prompts.repartition(1))
+    assert one == responses(prompts.repartition(7)) == responses(prompts, batch_size=3)
+    assert len(set(one.values())) == 200
+    assert one != responses(prompts, seed=1)
+    stream = row_stream(0, '["17"]')
+    assert one[17] == f"p17 {stream.integers(10**9)} {stream.random():.9f}"
+
+
+def test_a_task_that_is_run_again_draws_the_same(spark, prompts, tmp_path):
+    mark = str(tmp_path / "failed")
+
+    draws = drawing()
+
+    def failing():
+        import os
+
+        def run(texts, parameters, streams):
+            found = draws()(texts, parameters, streams)
+            if TaskContext.get().partitionId() == 0 and not os.path.exists(mark):
+                open(mark, "w").close()
+                raise RuntimeError("lost")
+            return found
+
+        return run
+
+    before = responses(prompts)
+    got = generate(prompts, failing, key="id")
+    with pytest.raises(Exception, match="lost"):  # one machine doesn't try a task again, so the job is
+        got.collect()
+    assert {r.id: r.response for r in got.collect()} == before
+
+
+def test_keys_of_several_columns(spark):
+    rows = [("a", "b", 1), ("ab", "", 2), ("ab", None, 3), ("a", "b", 4)]
+    df = spark.createDataFrame(rows, "x string, y string, id int").withColumn("text", F.lit("t"))
+    keys = [r.k for r in df.select(row_key("x", "y").alias("k"), "id").orderBy("id").collect()]
+    assert len(set(keys)) == 3 and keys[0] == keys[3]
+    found = {r.id: r.response for r in generate(df, drawing(), key=["x", "y"]).collect()}
+    assert found[1] == found[4] and len(set(found.values())) == 3
+
+
+def test_streams_for_token_models(spark):
+    def model():
+        return lambda rows, parameters, streams: [[*ids, int(s.integers(100))] for ids, s in zip(rows, streams)]
+
+    df = spark.createDataFrame([(i, [i, i]) for i in range(50)], "id int, input_ids array<int>")
+    one, two = ({r.id: r.output_ids for r in generate_tokens(df.repartition(n), model, key="id").collect()} for n in (1, 6))
+    assert one == two and len(one[3]) == 3
+
+
+def test_sampled_query_gives_the_same_rows_again(spark):
+    folder = "/root/testdata/sf0.001"
+    got = {(r.conv_id, r.turn): r.response for r in QUERIES["prompts_sampled"](spark, folder).collect()}
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").collect()
+    assert len(got) == len(turns)
+    for t in turns:
+        words = t.text.split(" ")
+        order = row_stream(5, f'["{t.conv_id}","{t.turn}"]').permutation(len(words))[:8]
+        assert got[t.conv_id, t.turn] == " ".join(words[i] for i in order)
+
+
+# predictions in the order of the lines
+
+
+@pytest.mark.parametrize("size", ["300", "128m"])
+def test_parts_follow_the_input(spark, tmp_path, size):
+    def echo():
+        return lambda texts, parameters: [t.upper() for t in texts]
+
+    want = []
+    (tmp_path / "in").mkdir()
+    for f in range(4):
+        lines = [f'{{"prompt":"f{f} l{i} {"x" * (i * 7 % 40)}"}}' for i in range(60 * (f + 1))]
+        (tmp_path / "in" / f"{f}.jsonl").write_text("\n\n".join(lines) + "\n")
+        want += lines
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        lines = read_prompt_lines(spark, str(tmp_path / "in"), places=True)
+        out = str(tmp_path / "out")
+        write_ordered_lines(predict_lines(lines, echo, keep=PLACE), out)
+        numbered = {r.number: r.value for r in read_ordered_lines(spark, out).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    parts = sorted((tmp_path / "out").glob("part-*"))
+    joined = "".join(p.read_text() for p in parts).splitlines()
+    assert [x.split('"response"')[0].rstrip(",") + "}" for x in joined] == want
+    assert numbered == dict(enumerate(joined))
+    manifest = spark.read.json(str(tmp_path / "out" / "_manifest")).orderBy("part").collect()
+    assert [r.part for r in manifest] == [p.name for p in parts]
+    counts = [len(p.read_text().splitlines()) for p in parts]
+    assert [r.lines for r in manifest] == counts
+    assert [r["first"] for r in manifest] == [sum(counts[:i]) for i in range(len(counts))]
+
+
+# advantages of a stream
+
+SCORED = "prompt_id bigint, gen_id bigint, reward double, time timestamp"
+
+
+def scored(spark, rows, start=1_600_000_000):
+    df = spark.createDataFrame(rows, "prompt_id bigint, gen_id bigint, reward double, s bigint")
+    return df.select("prompt_id", "gen_id", "reward", F.timestamp_seconds(F.lit(start) + F.col("s")).alias("time"))
+
+
+def run_stream(spark, tmp_path, **options):
+    stream = spark.readStream.schema(SCORED).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    advantages = stream_advantage(stream, "time", generations=3, **options)
+    writer = advantages.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state"))
+    writer.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    return spark.read.parquet(str(tmp_path / "out"))
+
+
+def values(rows):
+    return sorted((r.prompt_id, r.gen_id, r.reward, r.advantage and round(r.advantage, 9)) for r in rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stream_equals_batch_over_restarts(spark, tmp_path, seed):
+    import random
+
+    rows = [(p, g, float((p * 7 + g * 3) % 5), p) for p in range(30) for g in range(3)]
+    random.Random(seed).shuffle(rows)
+    for i in range(0, 45, 15):
+        scored(spark, rows[i : i + 15]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    first = run_stream(spark, tmp_path).count()
+    for i in range(45, 90, 15):
+        again = rows[i : i + 15] + rows[i : i + 1]  # one comes twice while its group may wait
+        scored(spark, again).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    got = run_stream(spark, tmp_path)  # goes on from its state
+    done = got.where("complete").dropDuplicates(["prompt_id", "gen_id"])
+    assert 0 < first < 90 and values(done.collect()) == values(group_advantage(scored(spark, rows)).collect())
+
+
+def test_groups_that_stay_short_time_out(spark, tmp_path):
+    scored(spark, [(1, 0, 1.0, 0), (1, 1, 3.0, 5), (2, 0, 2.0, 1)]).coalesce(1).write.parquet(str(tmp_path / "in"))
+    assert run_stream(spark, tmp_path, late="10 seconds", wait_ms=10_000).count() == 0
+    for later in (100, 200):
+        scored(spark, [(later, g, 1.0, later) for g in range(3)]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    rows = run_stream(spark, tmp_path, late="10 seconds", wait_ms=10_000).collect()
+    short = values([r for r in rows if not r.complete])
+    part = round(1 / (2**0.5 + 1e-4), 9)
+    assert short == [(1, 0, 1.0, -part), (1, 1, 3.0, part), (2, 0, 2.0, None)]
+    assert sum(r.complete for r in rows) == 6
