@@ -37,8 +37,13 @@ HOT_PARTS = 64
 #: too small, phrases pass that need not; they cost counting, and results stay the same.
 BITS_PER_PHRASE, MOST_BITS = 16, 1 << 27
 
-STRIPES = "lang string, prefix string, part int, nexts array<string>, counts array<bigint>"
-MERGED = STRIPES + ", total bigint, best bigint"
+#: On their way to be merged, stripes are written small: the key is the prefix, a tab and the
+#: language, the next words stand in one text with blanks between them.
+STRIPES = "key string, part int, nexts string, counts array<int>"
+MERGED = (
+    "lang string, prefix string, part int, nexts array<string>, counts array<bigint>, "
+    "total bigint, best bigint"
+)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _FRESH = np.uint64(0x243F6A8885A308D3)
 
@@ -163,19 +168,19 @@ def _stripes(batch: pa.RecordBatch, start: int, stop: int, size: int, frequent:
     groups, nexts = keys // (span + 1), keys % (span + 1) - 1
     heads = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]])) if len(groups) else groups
     example = starts[first[groups[heads] // HOT_PARTS]]
-    text = pc.binary_join_element_wise(
-        *[known.take(pa.array(index[example + place])) for place in range(size)], " "
+    places = [known.take(pa.array(index[example + place])) for place in range(size)]
+    key = pc.binary_join_element_wise(
+        pc.binary_join_element_wise(*places, " "), langs.take(pa.array(codes[example])), "\t"
     )
     offsets = pa.array(np.append(heads, len(groups)).astype(np.int32))
-    slots = pa.array(nexts, mask=nexts < 0)
+    slots = pc.fill_null(known.take(pa.array(nexts, mask=nexts < 0)), "")
     columns = [
-        langs.take(pa.array(codes[example])),
-        text,
+        key,
         pa.array((groups[heads] % HOT_PARTS).astype(np.int32)),
-        pa.ListArray.from_arrays(offsets, pc.fill_null(known.take(slots), "")),
-        pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int64))),
+        pc.binary_join(pa.ListArray.from_arrays(offsets, slots), " "),
+        pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int32))),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "part", "nexts", "counts"])
+    return pa.RecordBatch.from_arrays(columns, ["key", "part", "nexts", "counts"])
 
 
 def count_stripes(docs: DataFrame, size: int, frequent: Frequent) -> DataFrame:
@@ -194,9 +199,18 @@ def count_stripes(docs: DataFrame, size: int, frequent: Frequent) -> DataFrame:
     return docs.mapInArrow(run, STRIPES)
 
 
+def _opened(batch: pa.RecordBatch) -> pa.Table:
+    """Stripes with their next words as lists and counts of 64 bits."""
+    counts = batch.column("counts")
+    offsets = pa.array((counts.offsets.to_numpy() - counts.offsets[0].as_py()).astype(np.int32))
+    wide = pa.ListArray.from_arrays(offsets, counts.flatten().cast(pa.int64()))
+    nexts = pc.split_pattern(batch.column("nexts"), " ")
+    return pa.table([batch.column("key"), batch.column("part"), nexts, wide], ["key", "part", "nexts", "counts"])
+
+
 def _merge(rows: pa.Table) -> tuple[pa.Table, np.ndarray]:
     """Rows that follow each other with one key added element by element; the entries' rows."""
-    keys = [rows[c].combine_chunks() for c in ("lang", "prefix", "part")]
+    keys = [rows[c].combine_chunks() for c in ("key", "part")]
     changes = np.ones(len(rows), bool)
     if len(rows) > 1:
         changes[1:] = False
@@ -212,15 +226,9 @@ def _merge(rows: pa.Table) -> tuple[pa.Table, np.ndarray]:
     np.add.at(sums, places, counts.flatten().to_numpy())
     owners = entries // span
     offsets = pa.array(np.searchsorted(owners, np.arange(len(heads) + 1)).astype(np.int32))
-    merged = pa.table(
-        [
-            *[key.take(heads) for key in keys],
-            pa.ListArray.from_arrays(offsets, coded.dictionary.take(pa.array(entries % span))),
-            pa.ListArray.from_arrays(offsets, pa.array(sums)),
-        ],
-        ["lang", "prefix", "part", "nexts", "counts"],
-    )
-    return merged, owners
+    nexts = pa.ListArray.from_arrays(offsets, coded.dictionary.take(pa.array(entries % span)))
+    columns = [*[key.take(heads) for key in keys], nexts, pa.ListArray.from_arrays(offsets, pa.array(sums))]
+    return pa.table(columns, ["key", "part", "nexts", "counts"]), owners
 
 
 def _summed(merged: pa.Table, owners: np.ndarray, least: int) -> pa.Table:
@@ -234,9 +242,12 @@ def _summed(merged: pa.Table, owners: np.ndarray, least: int) -> pa.Table:
     np.maximum.at(best, owners[words], counts[words])
     kept = words & (counts >= least)
     offsets = pa.array(np.searchsorted(owners[kept], np.arange(len(merged) + 1)).astype(np.int32))
+    key = pc.split_pattern(merged["key"].combine_chunks(), "\t", max_splits=1)
     return pa.table(
         [
-            *[merged[c] for c in ("lang", "prefix", "part")],
+            pc.list_element(key, 1),
+            pc.list_element(key, 0),
+            merged["part"],
             pa.ListArray.from_arrays(offsets, nexts.filter(pa.array(kept))),
             pa.ListArray.from_arrays(offsets, pa.array(counts[kept])),
             pa.array(total),
@@ -258,7 +269,7 @@ def merge_stripes(stripes: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            rows = pa.Table.from_batches([batch])
+            rows = _opened(batch)
             merged, owners = _merge(rows if held is None else pa.concat_tables([held, rows]))
             held = merged.slice(len(merged) - 1)
             done = owners < len(merged) - 1
@@ -267,7 +278,7 @@ def merge_stripes(stripes: DataFrame, least: int) -> DataFrame:
         if held is not None:
             yield from _summed(*_merge(held), least).to_batches()
 
-    key = ["lang", "prefix", "part"]
+    key = ["key", "part"]
     return stripes.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, MERGED)
 
 
