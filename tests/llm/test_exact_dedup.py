@@ -1,9 +1,11 @@
 import hashlib
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
 
+from quillspark.llm import exact_dedup
 from quillspark.llm.exact_dedup import PatriciaTrie, drop_duplicates, duplicate_classes, owners
 
 
@@ -78,3 +80,64 @@ def test_trie_compresses_shared_beginnings():
     assert list(trie.root.children) == [ord("r")]
     assert trie.root.children[ord("r")].label == b"rom"
     assert {t for t, _ in trie.entries()} == {b"romane", b"romanus", b"romulus", b"rom"}
+
+
+def owned(rows, limit):
+    return {t: (o, n) for t, _, o, n in owners(iter(rows), False, limit)}
+
+
+def peak(rows, limit):
+    """Most memory that owners takes above the rows themselves, and what it gives."""
+    found = 0
+    tracemalloc.start()
+    try:
+        for _ in owners(iter(rows), False, limit):
+            found += 1
+        return tracemalloc.get_traced_memory()[1], found
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("beginning", [b"", b"shared beginning", b"x" * 5000])
+def test_memory_is_bounded_whatever_texts_share(beginning, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "_HELD_BYTES", 100_000)
+    rng, limit = random.Random(1), 1_000_000
+    rows = [(beginning + rng.randbytes(rng.randrange(2000)), b"d" * 32, i, 1) for i in range(8000)]
+    most, found = peak(rows, limit)
+    assert sum(len(t) for t, *_ in rows) > 7 * limit
+    assert most < 2 * limit + 5000 + 7000 and found == len({t for t, *_ in rows})
+
+
+def test_nested_beginnings_of_any_depth(monkeypatch):
+    monkeypatch.setattr(exact_dedup, "_HELD_BYTES", 100_000)
+    text = random.Random(2).randbytes(6000)
+    rows = [(text[:n], b"d" * 32, n, 1) for n in range(6000)]
+    random.Random(3).shuffle(rows)
+    most, found = peak(rows, 200_000)
+    assert found == 6000 and most < 2 * 200_000 + 100_000
+    assert owned(rows[:2000], 5000) == {t: (o, 1) for t, _, o, _ in rows[:2000]}
+
+
+def test_spilled_files_are_removed(monkeypatch, tmp_path):
+    monkeypatch.setattr(exact_dedup.tempfile, "tempdir", str(tmp_path))
+    texts = [bytes([a, b]) * 50 for a in range(60) for b in range(60)]
+    assert len(owned([(t, b"d" * 32, 1, 1) for t in texts * 2], 10_000)) == 3600
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_one_row_of_every_text_stays(spark):
+    rows = [
+        (1, "same", "a"), (1, "same", "b"), (2, "SAME", "a"), (0, "B", "a"), (1, "b", "a"), (None, "z", "a"),
+        (None, "Z", "b"), (3, None, "a"), (3, "", "a"), (None, "same", "c"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _key string").withColumn("length", F.lit(1))
+    for largest, want in ((False, {(1, "same"), (0, "b"), (None, "z"), (3, "")}), (True, {(2, "same"), (1, "b"), (None, "z"), (3, "")})):
+        kept = drop_duplicates(docs.repartition(5), largest)
+        assert kept.columns == docs.columns
+        got = [(r.doc_id, (r.text or "").lower()) for r in kept.collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_many_copies_of_one_row_are_one_row(spark):
+    docs = spark.range(20_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("copy").alias("text"))
+    assert [tuple(r) for r in drop_duplicates(docs).collect()] == [(7, "copy")]
