@@ -8,10 +8,13 @@ distributed sums over (source, size) cells, into which the documents are counted
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +23,8 @@ from quillspark.session import store
 
 #: Documents of one source and one size beyond which a cell is dealt out in parts.
 CELL_ROWS = 50_000
+#: Times that what is left of a source's words is settled at most.
+SETTLING = 8
 
 
 def word_count(text: Column) -> Column:
@@ -180,22 +185,91 @@ def plan_mix(
             _rate(F.col("multiplier"), F.col("size"), F.col("mean"), cap)
         ),
     )
-    whole = F.floor("rate")
-    rest = F.round((F.col("rate") - whole) * 1_000_000).cast("bigint") * F.col("n")
-    upto = Window.partitionBy("number").orderBy("size").rowsBetween(Window.unboundedPreceding, 0)
-    run = F.sum(rest).over(upto)
-    million, half = F.lit(1_000_000), F.lit(500_000)
-    extra = F.floor((run + half) / million) - F.floor((run - rest + half) / million)
-    quotas = rated.select("number", "size", "n", "rate", whole.alias("whole"), extra.alias("extra"))
+    rated = rated.select("number", "size", "n", "rate", F.floor("rate").alias("whole"))
+    quotas = rated.groupBy("number").applyInPandas(
+        _rounded, "number int, size bigint, n bigint, rate double, whole bigint, extra bigint"
+    )
     return facts({}).withColumnRenamed("_source", "source"), quotas
 
 
+def _rounded(cells: pd.DataFrame) -> pd.DataFrame:
+    """Whole numbers of further copies (``extra``) for the cells of one source.
+
+    From long documents to short ones: each cell takes as many copies as bring the words taken so
+    far nearest to the words that the rates ask for, so that shorter documents make up for what
+    longer ones leave. What is left at the end is made up for by one copy more of one size, one
+    copy less of another, or both, a few times over. A source has a cell for each size.
+    """
+    cells = cells.sort_values("size", ascending=False, kind="stable")
+    sizes, counts = cells["size"].to_numpy(), cells["n"].to_numpy()
+    parts = (cells["rate"] - cells["whole"]).to_numpy()
+    owed, extras = 0.0, np.zeros(len(cells), np.int64)
+    for i, (size, n, part) in enumerate(zip(sizes.tolist(), counts.tolist(), parts.tolist())):
+        owed += part * size * n
+        if part > 1e-9:
+            extras[i] = min(n, max(0, math.floor(owed / size + 0.5))) if size else round(part * n)
+        owed -= float(extras[i]) * size
+    most = np.where(parts > 1e-9, counts, 0)
+    for _ in range(SETTLING):
+        owed, before = _settle(sizes, most, extras, owed), owed
+        if owed == before:
+            break
+    return cells.assign(extra=extras)
+
+
+def _settle(sizes: np.ndarray, most: np.ndarray, extras: np.ndarray, owed: float) -> float:
+    """Change ``extras``, within 0 and ``most``, by one copy more and one less so that the words
+    owed, which are returned, become as few as can be. Place -1 stands for no change."""
+    more = np.append(np.flatnonzero((extras < most) & (sizes > 0)), -1)
+    less = np.append(np.flatnonzero((extras > 0) & (sizes > 0)), -1)
+    of = np.append(sizes, 0)  # the last one is what place -1 takes
+    less = less[np.argsort(of[less], kind="stable")]
+    wanted = of[more] - owed
+    at = np.searchsorted(of[less], wanted)
+    best = (abs(owed), -1, -1)
+    for near in (at - 1, at):
+        near = near.clip(0, len(less) - 1)
+        left = np.abs(of[more] - of[less[near]] - owed)
+        i = int(left.argmin())
+        if left[i] < best[0] - 1e-9:
+            best = (float(left[i]), int(more[i]), int(less[near[i]]))
+    for place, step in ((best[1], 1), (best[2], -1)):
+        if place >= 0:
+            extras[place] += step
+            owed -= step * float(sizes[place])
+    return owed
+
+
+def _part_quotas(rows: DataFrame, quotas: DataFrame) -> DataFrame:
+    """Quotas (number, size, _part, n, rate, whole, quota) of all parts of all cells.
+
+    The parts of a large cell get its quota by their sizes, each what the parts up to it should
+    have together less what those before it got, so that they sum to the quota of the cell.
+    """
+    names = ["number", "size", "rate", "whole"]
+    small = quotas.where(F.col("n") <= CELL_ROWS)
+    small = small.select(*names, F.lit(0).cast("bigint").alias("_part"), F.col("extra").alias("quota"))
+    large = quotas.where(F.col("n") > CELL_ROWS)
+    if large.isEmpty():
+        return small
+    counts = rows.where(F.col("_parts").isNotNull()).groupBy("number", "size", "_part").agg(F.count(F.lit(1)).alias("here"))
+    upto = F.sum("here").over(Window.partitionBy("number", "size").orderBy("_part"))
+    counts = counts.withColumns({"upto": upto}).join(F.broadcast(large), ["number", "size"])
+
+    def share(rows: Column) -> Column:
+        return F.call_function("div", (F.col("extra") * rows).cast("decimal(38,0)"), F.col("n").cast("decimal(38,0)"))
+
+    quota = share(F.col("upto")) - share(F.col("upto") - F.col("here"))
+    return small.unionByName(counts.select(*names, "_part", quota.alias("quota")))
+
+
 def take_copies(sized: DataFrame, sources: DataFrame, quotas: DataFrame) -> DataFrame:
-    """Add ``source_size``, ``target``, ``rate`` and ``copies`` to rows (doc_id, source, size).
+    """Add ``source_size``, ``target``, ``rate`` and ``copies`` to rows (doc_id, source, size, tie).
 
-    A cell's documents with the smallest hashes of their ids get one copy more. A cell of more
-    than CELL_ROWS documents is dealt out in parts, each with its share of the quota; there are
-    at most one in CELL_ROWS such cells, whose list is broadcast.
+    A cell's documents with the smallest hashes of their ids get one copy more; equal ids go by
+    ``tie``. A cell of more than CELL_ROWS documents is dealt out in parts, which changes which
+    documents are taken but not how many; there are at most one in CELL_ROWS such cells, whose
+    list is broadcast.
     """
     names = sources.select(F.col("source").alias("_source"), "number", "source_size", "target")
     rows = sized.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("_source")))
@@ -204,39 +278,40 @@ def take_copies(sized: DataFrame, sources: DataFrame, quotas: DataFrame) -> Data
     rows = rows.join(F.broadcast(large.select("number", "size", parts.alias("_parts"))), ["number", "size"], "left")
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.coalesce("_parts", F.lit(1)).cast("bigint"))
     rows = rows.withColumns({"_part": part, "_chance": F.xxhash64("doc_id", F.lit("copies"))})
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), parts.cast("bigint") - 1))
-    rows = rows.join(quotas.withColumn("_part", every), ["number", "size", "_part"])
+    rows = rows.join(_part_quotas(rows, quotas), ["number", "size", "_part"])
     cell = Window.partitionBy("number", "size", "_part")
-    place = F.row_number().over(cell.orderBy("_chance", "doc_id"))
-    here = F.count(F.lit(1)).over(cell)
-    quota = F.when(F.col("n") <= CELL_ROWS, F.col("extra")).otherwise(
-        F.round(F.col("extra") * here / F.col("n"))
-    )
-    copies = F.col("whole") + F.when(place <= quota, 1).otherwise(0)
+    place = F.row_number().over(cell.orderBy("_chance", "doc_id", "tie"))
+    copies = F.col("whole") + F.when(place <= F.col("quota"), 1).otherwise(0)
     added = [F.col("source_size"), F.col("target"), F.col("rate"), copies.cast("bigint").alias("copies")]
-    return rows.select(*[sized[c] if c != "size" else rows[c] for c in sized.columns], *added)
+    kept = [sized[c] if c != "size" else rows[c] for c in sized.columns if c != "tie"]
+    return rows.select(*kept, *added)
+
+
+def _tie(docs: DataFrame) -> Column:
+    return F.xxhash64(docs["text"]).alias("tie")
 
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
     """One row (doc_id, source, size, source_size, target, rate, copies) per row of ``docs``.
 
-    Sizes are counted once and stored. Rates are rounded to whole copies: running sums of the
-    fractions over a source's cells, in order of size, say how many documents of each cell get
-    one copy more. A source's tokens then miss its target by about one long document.
+    Sizes are counted once and stored. Rates are rounded to whole copies from the longest
+    documents of a source to the shortest, carrying the words that are owed, so that a source
+    misses its target by less than a short document (see _rounded).
 
     Documents without words have size 0 and never change a source's tokens; null sources are one
     source, the last. Repeated rows are documents of their own. An empty table gives no rows.
     Other columns of ``docs`` are not read. See plan_mix for the options.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _tie(docs))
     sized = store(sized, "mix-sizes")
-    return take_copies(sized, *plan_mix(sized, **options))
+    sources, quotas = plan_mix(sized, **options)
+    return take_copies(sized, sources, store(quotas, "mix-quotas"))
 
 
 def repeat_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is copied, columns unchanged."""
     columns = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), columns)
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _tie(docs), columns)
     sources, quotas = plan_mix(sized.select("source", "size"), **options)
     taken = take_copies(sized, sources, store(quotas, "mix-quotas")).where("copies > 0")
     copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
