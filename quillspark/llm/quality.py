@@ -266,13 +266,14 @@ def judge(rows: DataFrame, m: str, model: LabelModel, threshold: float = 0.5) ->
     """Add MEASURES, ``base_failed``, ``quality`` and ``kept`` to rows that have measures ``m``.
 
     Every row gets a verdict: null and empty texts fail the base check. Repeated rows get equal
-    verdicts.
+    verdicts. Input columns of the added names are replaced. Whole texts of any length count.
     """
+    added = {*MEASURES, "base_failed", "quality", "kept"}
     column = F.col(m)
     failed = base_failed(column)
     score = quality(column, model)
     return rows.select(
-        *[c for c in rows.columns if c != m],
+        *[c for c in rows.columns if c != m and c not in added],
         *[column[name].alias(name) for name in MEASURES],
         failed.alias("base_failed"),
         score.alias("quality"),
@@ -284,11 +285,14 @@ def keep_good(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that pass the base check and the label model, columns unchanged.
 
     The texts are measured twice, for the model and for the verdict, so that nothing is
-    shuffled or stored. An empty table stays empty.
+    shuffled or stored. An empty table stays empty. Columns of any name are kept.
     """
+    name = "_measures"
+    while name in docs.columns:
+        name += "_"
     model = fit_rules(docs.select(measures(F.col("text")).alias("m")), "m")
     m = measures(F.col("text"))
-    taken = docs.withColumn("_measures", m)
-    column = F.col("_measures")
+    taken = docs.withColumn(name, m)
+    column = F.col(name)
     verdict = ~base_failed(column) & (quality(column, model) >= threshold)
-    return taken.where(verdict).drop("_measures")
+    return taken.where(verdict).drop(name)

@@ -112,3 +112,13 @@ def test_column_and_model_agree(documents):
     votes = F.array(*[r.vote(F.col("m")) for r in quality.RULES])
     rows = measured.select(votes.alias("v"), quality.quality(F.col("m"), model).alias("q")).collect()
     assert all(r.q == pytest.approx(model.posterior(r.v), rel=1e-6) for r in rows)
+
+
+def test_columns_of_the_added_names(documents):
+    docs = documents((1, "these are some plain words of a good document that says what it says " * 3), (2, None))
+    clash = docs.withColumns({"quality": F.lit("x"), "kept": F.lit("y"), "_measures": F.lit("z"), "n_words": F.lit(-1)})
+    assert keep_good(clash).columns == clash.columns
+    rows = clash.withColumn("m", measures(F.col("text")))
+    judged = judge(rows, "m", fit_rules(rows, "m"))
+    assert len(set(judged.columns)) == len(judged.columns)
+    assert {r.doc_id: (r.n_words, r.kept) for r in judged.collect()}[2] == (0, False)
