@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.sampling import bounded_sample
+from quillspark.llm.sampling import first_rows, hash_sample
 from quillspark.llm.words import plain_texts, slices
 from quillspark.session import store
 
@@ -419,11 +419,14 @@ def _scores(df: DataFrame, model: LanguageModel):
 
 def calibrate(model: LanguageModel, rows: DataFrame, most: int = CALIBRATION_ROWS) -> None:
     """Fit the chance of being right to the margin, by penalised Newton steps on at most ``most``
-    rows (text, lang) that the model hasn't learnt from, those with the smallest hashes."""
-    known = rows.where(F.col("lang").isNotNull()).select("text", "lang")
-    known = bounded_sample(known, most, "text", "lang")
+    rows (text, lang) that the model hasn't learnt from, those with the smallest hashes of their
+    doc_id, or of their text if they have none."""
+    key = "doc_id" if "doc_id" in rows.columns else "text"
+    known = rows.where(F.col("lang").isNotNull())
+    known = hash_sample(known, most, key).select("text", "lang", "_place")
     scored = _with_scores(known, model).where("_s.best >= 0")
-    data = scored.select("lang", "_s.best", "_s.margin", "_s.symbols").collect()
+    scored = scored.select("_place", "lang", "_s.best", "_s.margin", "_s.symbols")
+    data = first_rows(scored, most, "lang", "best", "margin", "symbols").collect()
     x = np.array([(1.0, r.margin, r.margin * np.log1p(r.symbols)) for r in data]).reshape(-1, 3)
     y = np.array([model.langs[r.best] == r.lang for r in data], float)
     b = start = np.array([0.0, 1.0, 1.0])

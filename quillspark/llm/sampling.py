@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 _RANGE = 1 << 30
 
 
-def bounded_sample(rows: DataFrame, most: int, *columns: str) -> DataFrame:
-    """``most`` rows at most: those with the smallest hashes of ``columns``.
+def hash_sample(rows: DataFrame, most: int, key: str) -> DataFrame:
+    """About ``most`` rows of a larger table, all of a smaller one, with their ``_place``.
 
-    A filter on the hash leaves little more than that of a large table before anything is
-    sorted, so only the sample is shuffled. Equal rows have equal hashes; where a great many of
-    them fall on either side of the filter, the sample is smaller or the sort larger.
+    Rows are chosen by a hash of ``key``, such as the id, so that copies of one text are drawn one
+    by one. Nothing is shuffled; see first_rows for the exact number.
     """
-    place = F.pmod(F.xxhash64(*columns), F.lit(_RANGE))
     count = rows.count()
-    if count > most:
-        rows = rows.where(place <= int(1.2 * most / count * _RANGE))
-    return rows.orderBy(place, *columns).limit(most)
+    placed = rows.withColumn("_place", F.pmod(F.xxhash64(key), F.lit(_RANGE)))
+    return placed.where(F.col("_place") <= int(1.2 * most / count * _RANGE)) if count > most else placed
+
+
+def first_rows(sampled: DataFrame, most: int, *numbers: str) -> DataFrame:
+    """At most ``most`` rows of a sample, those with the smallest hashes.
+
+    Ties go by ``numbers``, so that only hashes and numbers are sorted, never texts.
+    """
+    return sampled.select("_place", *numbers).orderBy("_place", *numbers).limit(most).drop("_place")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.sampling import bounded_sample
+from quillspark.llm.sampling import first_rows, hash_sample
 from quillspark.llm.words import plain_texts, slices
 from quillspark.session import store
 
@@ -167,16 +167,18 @@ def learn_lexicon(
     """A lexicon from rows (text, label 0 or 1), all of which are counted.
 
     Candidates are all beginnings of words, and short words whole, counted in Spark under both
-    labels. One becomes a
-    term if ``min_documents`` toxic documents hold it, ``precision`` of the documents that hold it
-    are toxic and no shorter term begins it; only terms come to the driver and the workers. The
-    weight is the smoothed log ratio of the shares.
+    labels. One becomes a term if ``min_documents`` toxic documents hold it, ``precision`` of the
+    documents that hold it are toxic and no shorter term begins it; only terms come to the driver
+    and the workers. The weight is the smoothed log ratio of the shares.
+
     Phrases of a term's word and a neighbour become exceptions if three clear documents hold them
-    and no larger share of those that do is toxic than of all rows (or a tenth). The two calibration slopes are fitted on the
-    ``calibration_rows`` rows with the smallest hashes. Without labels of both kinds the lexicon
-    is empty.
+    and no larger share of those that do is toxic than of all rows (or a tenth). The two
+    calibration slopes are fitted on the ``calibration_rows`` rows with the smallest hashes of
+    their doc_id, or of their text if they have none. Without labels of both kinds the lexicon is
+    empty.
     """
-    rows = store(rows.where("label in (0, 1)").select("text", "label"), "labelled")
+    key = ["doc_id"] if "doc_id" in rows.columns else []
+    rows = store(rows.where("label in (0, 1)").select("text", "label", *key), "labelled")
     totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clear = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clear:
@@ -230,9 +232,9 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon, share: float) -> list[str]:
 
 def _calibrate(rows: DataFrame, lexicon: Lexicon, most: int) -> None:
     """Two slopes and a bias by penalised Newton steps on a bounded sample."""
-    sample = bounded_sample(rows, most, "text", "label")
+    sample = hash_sample(rows, most, "doc_id" if "doc_id" in rows.columns else "text")
     scored = sample.withColumn("_e", _evidence_column(rows, lexicon)("text"))
-    data = scored.select("label", "_e.x", "_e.y").collect()
+    data = first_rows(scored.select("_place", "label", "_e.x", "_e.y"), most, "label", "x", "y").collect()
     x = np.array([(1.0, r.x, r.y) for r in data]).reshape(len(data), 3)
     y = np.array([r.label for r in data], float)
     b = np.array([-3.0, 1.0, 0.0])

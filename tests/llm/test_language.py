@@ -13,7 +13,7 @@ from quillspark.llm.language import (
     symbols,
 )
 from quillspark.llm.queries import LLM_QUERIES
-from quillspark.llm.sampling import bounded_sample
+from quillspark.llm.sampling import first_rows, hash_sample
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -119,11 +119,16 @@ def test_count_cutoff_bounds_the_model(documents):
 
 
 def test_samples_are_bounded_and_repeatable(spark):
-    rows = spark.range(5000).select(F.col("id").cast("string").alias("text"))
-    first = bounded_sample(rows, 300, "text").collect()
+    rows = spark.range(5000).select("id", F.lit("the same text").alias("text"))
+
+    def sample(rows, most):
+        return first_rows(hash_sample(rows, most, "id"), most, "id")
+
+    first = sample(rows, 300).collect()
     assert len(first) == 300 == len(set(first))
-    assert sorted(first) == sorted(bounded_sample(rows.repartition(7), 300, "text").collect())
-    assert bounded_sample(rows, 9000, "text").count() == 5000
+    assert sorted(first) == sorted(sample(rows.repartition(7), 300).collect())
+    assert sample(rows, 9000).count() == 5000
+    assert "text" not in str(sample(rows, 300)._jdf.queryExecution().executedPlan()).split("Scan")[0]
 
 
 def test_held_out_accuracy(spark):
