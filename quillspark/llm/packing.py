@@ -9,7 +9,10 @@ packing, to the next island. All state between epochs is rows of stored tables.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator, Sequence
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, combinations
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -17,14 +20,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.tokenize import TextEncoder
+from quillspark.llm.tokenize import worker_encoder
 from quillspark.llm.words import list_array, slices
 from quillspark.session import store
 
 CAPACITY = 2048
 #: Pieces of a shard on average. A shard wastes at most about one sequence in its thousands.
 SHARD_PIECES = 4000
-ISLANDS, EPOCHS, GENERATIONS, POPULATION = 2, 2, 3, 4
+#: Generations are only run where best fit misses the least number of sequences.
+ISLANDS, EPOCHS, GENERATIONS, POPULATION = 2, 2, 12, 4
+#: Bins injected or dissolved at once, at most; displaced items that pairs are made of; items of a
+#: bin that are offered for a swap. They bound the work of a generation, not the result.
+INJECTED, PAIRED, MEMBERS = 8, 40, 12
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _STATE = "shard bigint, island int, item int, length int, bin int"
@@ -41,7 +48,7 @@ def cut_pieces(
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(shared.value)
+        encoder = worker_encoder(shared.value)
         for batch in batches:
             texts, owners = batch.column(1), batch.column(0)
             for first, stop in slices(texts):
@@ -119,41 +126,112 @@ def fitness(packing: Packing, lengths: Sequence[int], capacity: int) -> tuple[in
     return -len(packing), sum(f * f for f in fills)
 
 
+def _fill(members: list[int], lengths: Sequence[int]) -> int:
+    return sum([lengths[i] for i in members])
+
+
+class Displaced:
+    """Items without a bin, by length, and the lengths that one or two of them have together."""
+
+    def __init__(self, items: Iterable[int], lengths: Sequence[int]):
+        self.items = sorted(items, key=lambda i: (lengths[i], i))
+        self.lengths = lengths
+        self._measure()
+
+    def _measure(self) -> None:
+        self.singles = [self.lengths[i] for i in self.items]
+        # pairs of the items spread over all lengths: enough of them to fill most rooms
+        step = max(1, len(self.items) // PAIRED)
+        some = range(0, len(self.items), step)
+        sums = [(self.singles[a] + self.singles[b], a, b) for a in some for b in some if a < b]
+        self.pairs = sorted(sums)
+
+    def best_within(self, limit: int) -> tuple[int, tuple[int, ...]]:
+        """The largest length up to ``limit`` of one or two items, and their places."""
+        at = bisect_right(self.singles, limit)
+        best = (self.singles[at - 1], (at - 1,)) if at else (0, ())
+        two = bisect_right(self.pairs, (limit, len(self.items), 0))
+        if two and self.pairs[two - 1][0] > best[0]:
+            best = self.pairs[two - 1][0], self.pairs[two - 1][1:]
+        return best
+
+    def swap(self, places: tuple[int, ...], back: list[int]) -> list[int]:
+        taken = [self.items[p] for p in places]
+        rest = [i for p, i in enumerate(self.items) if p not in places]
+        self.items = sorted(rest + back, key=lambda i: (self.lengths[i], i))
+        self._measure()
+        return taken
+
+
+def replace(bins: Packing, displaced: list[int], lengths: Sequence[int], capacity: int) -> list[int]:
+    """Swap one or two items of a bin for one or two displaced ones that fill it better, bin by
+    bin, the emptiest last. The bins change; what is displaced now is returned."""
+    pool = Displaced(displaced, lengths)
+    rooms = [(capacity - _fill(b, lengths), place) for place, b in enumerate(bins)]
+    for room, place in sorted(rooms):
+        if not pool.items:
+            break
+        members = bins[place]
+        while room:
+            best = (0, (), ())
+            for out in chain([()], combinations(members[:MEMBERS], 1), combinations(members[:MEMBERS], 2)):
+                gone = _fill(out, lengths)
+                length, places = pool.best_within(gone + room)
+                if length - gone > best[0]:
+                    best = (length - gone, out, places)
+                    if best[0] == room:
+                        break
+            gain, out, places = best
+            if not gain:
+                break
+            room -= gain
+            members[:] = [i for i in members if i not in out] + pool.swap(places, list(out))
+    return pool.items
+
+
+def _refilled(kept: Packing, displaced: list[int], lengths: Sequence[int], capacity: int) -> Packing:
+    """A packing of bins and displaced items: replacement first, then best fit, longest first."""
+    left = replace(kept, displaced, lengths, capacity)
+    child = Bins(lengths, capacity)
+    for b in kept:
+        child.add_bin(b, capacity - _fill(b, lengths))
+    for item in sorted(left, key=lambda i: (-lengths[i], i)):
+        child.best_fit(item)
+    return child.bins
+
+
 def crossover(
     host: Packing, donor: Packing, lengths: Sequence[int], capacity: int, rng: np.random.Generator
 ) -> Packing:
-    """Inject the donor's well-filled bins at random, drop the host's bins that hold any of
-    their items, and best-fit what was displaced, longest first."""
-    full = [b for b in donor if sum([lengths[i] for i in b]) >= 0.98 * capacity]
+    """Inject well-filled bins of the donor, drop the host's bins that hold any of their items,
+    and place what was displaced."""
+    known = {frozenset(b) for b in host}
+    full = [b for b in donor if _fill(b, lengths) >= 0.98 * capacity and frozenset(b) not in known]
     if not full:
         return [list(b) for b in host]
-    picks = rng.random(len(full)) < rng.uniform(0.1, 0.5)
-    injected = [b for b, taken in zip(full, picks) if taken]
+    few = min(len(full), int(rng.integers(1, INJECTED + 1)))
+    injected = [full[i] for i in rng.permutation(len(full))[:few]]
     inside = {i for b in injected for i in b}
-    child, displaced = Bins(lengths, capacity), []
-    for b in injected:
-        child.add_bin(list(b), capacity - sum([lengths[i] for i in b]))
+    kept, displaced = [list(b) for b in injected], []
     for b in host:
         if inside.isdisjoint(b):
-            child.add_bin(list(b), capacity - sum([lengths[i] for i in b]))
+            kept.append(list(b))
         else:
             displaced.extend(i for i in b if i not in inside)
-    displaced.sort(key=lambda i: (-lengths[i], i))
-    for item in displaced:
-        child.best_fit(item)
-    return child.bins
+    return _refilled(kept, displaced, lengths, capacity)
 
 
-def mutate(packing: Packing, lengths: Sequence[int], capacity: int) -> Packing:
-    """Dissolve the emptiest bins and best-fit their items anew."""
-    order = sorted(packing, key=lambda b: sum([lengths[i] for i in b]))
-    count = max(1, len(order) // 50)
-    kept = Bins(lengths, capacity)
-    for b in order[count:]:
-        kept.add_bin(list(b), capacity - sum([lengths[i] for i in b]))
-    for item in sorted((i for b in order[:count] for i in b), key=lambda i: (-lengths[i], i)):
-        kept.best_fit(item)
-    return kept.bins
+def mutate(
+    packing: Packing, lengths: Sequence[int], capacity: int, rng: np.random.Generator
+) -> Packing:
+    """Dissolve the emptiest bins and some others, and place their items anew."""
+    order = sorted(packing, key=lambda b: _fill(b, lengths))
+    few = 1 + int(rng.integers(0, 3))
+    others = rng.permutation(len(order) - few)[: int(rng.integers(0, INJECTED))] + few if len(order) > few else []
+    gone = {*range(few), *map(int, others)}
+    displaced = [i for place in gone if place < len(order) for i in order[place]]
+    kept = [list(b) for place, b in enumerate(order) if place not in gone]
+    return _refilled(kept, displaced, lengths, capacity)
 
 
 def evolve(
@@ -161,33 +239,35 @@ def evolve(
 ) -> Packing:
     """One epoch of one island; the best packing it has seen.
 
-    It stops early when no packing can have fewer bins than the best.
+    It stops when no packing can have fewer bins than the best.
     """
     rng = np.random.default_rng(seed)
     least = -(-sum(lengths) // capacity)
     items = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
-    people = seeds + [best_fit_all(items, lengths, capacity)]
 
     def rank(p: Packing) -> tuple[int, float]:
         return fitness(p, lengths, capacity)
 
-    best = max(people, key=rank)
-    if len(best) <= least:
-        return best
+    people = [(rank(p), p) for p in [*seeds, best_fit_all(items, lengths, capacity)]]
+    best = max(people, key=itemgetter(0))
+    if len(best[1]) <= least:
+        return best[1]
     while len(people) < POPULATION:  # longest first, with chance neighbours swapped
         noise = np.array(lengths) * rng.uniform(0.9, 1.0, len(lengths))
-        people.append(best_fit_all(np.argsort(-noise).tolist(), lengths, capacity))
+        found = best_fit_all(np.argsort(-noise, kind="stable").tolist(), lengths, capacity)
+        people.append((rank(found), found))
     for _ in range(GENERATIONS):
-        people.sort(key=rank, reverse=True)
-        if len(people[0]) <= least:
-            break
-        parents = people[:2]
+        people.sort(key=itemgetter(0), reverse=True)
+        host, donor = people[0][1], people[1 + int(rng.integers(0, len(people) - 1))][1]
         children = [
-            crossover(parents[0], parents[1], lengths, capacity, rng),
-            mutate(crossover(parents[1], parents[0], lengths, capacity, rng), lengths, capacity),
+            mutate(host, lengths, capacity, rng),
+            mutate(crossover(host, donor, lengths, capacity, rng), lengths, capacity, rng),
         ]
-        people = [*people[: POPULATION - 2], *children]
-    return max(people, key=rank)
+        people = people[: POPULATION - 2] + [(rank(c), c) for c in children]
+        best = max([best, *people], key=itemgetter(0))
+        if len(best[1]) <= least:
+            break
+    return best[1]
 
 
 def _epoch(capacity: int, seed: int):

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.tokenize import TextEncoder
+from quillspark.llm.tokenize import worker_encoder
 from quillspark.llm.words import list_array, slices
 
 FILE_SCHEMA = "doc_id bigint, part int, place bigint, n_tokens bigint, ids array<int>"
@@ -53,7 +53,7 @@ def write_token_files(
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(shared.value)
+        encoder = worker_encoder(shared.value)
         part, place = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = batch.column(1)

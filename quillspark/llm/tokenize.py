@@ -3,27 +3,84 @@
 A tokenizer that drops white space treats every blank-separated word by itself. Then each word
 is encoded once and remembered, which is several times as fast as encoding every text anew; any
 other tokenizer gets whole texts. Both give the ids that the tokenizer gives for the whole text.
+A Python worker keeps its encoder from task to task, so that common words are encoded once a worker.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-from quillspark.llm.words import SLICE_BYTES, list_array, plain_texts, slices, split_words
+from quillspark.llm.words import plain_texts, split_words
 
-#: Words seen once that one Python worker remembers, and words seen again: both bound its memory.
-RECENT, OFTEN = 300_000, 300_000
+#: Words that one Python worker remembers at most, and how many of them it keeps, those last met,
+#: when there are more: both bound its memory.
+REMEMBERED, KEPT = 400_000, 200_000
+#: Longer words are encoded anew each time.
+LONGEST = 64
 
 #: ASCII marks other than quotes and the brackets of special strings.
 _MARKS = r"!-&(-/:;=?@\[\\\]^_`{}~"
 _PROBES = ["Words, and words.", "a-b", "it's 12 ß", "(", "The!!", " \t a\n\nb ", "don't", "Été, Übel"]
 
 
+def _listed(words: pa.Array) -> list[str]:
+    """Words, which hold no line ends, as a list, by way of one text."""
+    if not len(words):
+        return []
+    lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "\n")
+    return lines[0].as_py().split("\n")
+
+
+class Remembered:
+    """Words and their ids, looked up a whole array at a time."""
+
+    def __init__(self):
+        self.words = pa.array([], pa.string())
+        self.pool = np.empty(0, np.uint32)
+        self.firsts, self.sizes, self.met = (np.empty(0, np.int64) for _ in range(3))
+        self.time = 0
+
+    def ids_of(self, words: pa.Array, encode) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A pool of ids and, for each of the distinct words, its first place there and its size.
+        ``encode`` gives the ids of a list of words that are not remembered."""
+        self.time += 1
+        found = pc.index_in(words, value_set=self.words)
+        missing = found.is_null().to_numpy(zero_copy_only=False)
+        place = pc.fill_null(found, 0).to_numpy()
+        self.met[place[~missing]] = self.time
+        new = words.filter(pa.array(missing))
+        values = encode(_listed(new))
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) >> 2
+        firsts = np.cumsum(sizes) - sizes + len(self.pool)
+        pool = np.concatenate([self.pool, np.frombuffer(b"".join(values), np.uint32)])
+        at, size = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        at[~missing], size[~missing] = self.firsts[place[~missing]], self.sizes[place[~missing]]
+        at[missing], size[missing] = firsts, sizes
+        self._add(new, pool, firsts, sizes)
+        return pool, at, size
+
+    def _add(self, new: pa.Array, pool: np.ndarray, firsts: np.ndarray, sizes: np.ndarray) -> None:
+        short = pc.binary_length(new).to_numpy() <= LONGEST
+        self.words = pa.concat_arrays([self.words, new.filter(pa.array(short))])
+        self.firsts = np.concatenate([self.firsts, firsts[short]])
+        self.sizes = np.concatenate([self.sizes, sizes[short]])
+        self.met = np.concatenate([self.met, np.full(int(short.sum()), self.time)])
+        self.pool = pool
+        if len(self.words) > REMEMBERED:
+            kept = np.sort(np.argpartition(-self.met, KEPT)[:KEPT])
+            self.words, self.met, sizes = self.words.take(pa.array(kept)), self.met[kept], self.sizes[kept]
+            ends = np.cumsum(sizes)
+            self.pool = pool[np.repeat(self.firsts[kept] - (ends - sizes), sizes) + np.arange(ends[-1])]
+            self.firsts, self.sizes = ends - sizes, sizes
+
+
 class TextEncoder:
     """Ids of Arrow string arrays. ``tokenizer`` is the content of a tokenizer file."""
 
@@ -34,8 +91,7 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_buffer(tokenizer)
         self.letters: dict[int, str] = {}
         self.marks: dict[str, list[int]] = {}
-        self.recent: dict[str, bytes] = {}
-        self.often: dict[str, bytes] = {}
+        self.words = Remembered()
         words = [w for p in _PROBES for w in p.split()]
         self.by_word = all(
             self._library([p])[0] == [i for ids in self._library(p.split()) for i in ids]
@@ -77,29 +133,16 @@ class TextEncoder:
         return ids + tail
 
     def _ids_of(self, words: list[str]) -> list[bytes]:
-        """Little-endian ids of distinct words. Most words of a corpus are rare: a word moves to
-        ``often`` when it comes again, and ``recent`` starts anew when it is full."""
-        recent, often = self.recent, self.often
-        found = [often.get(w) for w in words]
-        missing, again = [], []
-        for i, value in enumerate(found):
-            if value is None:
-                (missing if (value := recent.get(words[i])) is None else again).append(i)
-                found[i] = value
-        if len(often) + len(again) > OFTEN:
-            often.clear()
-        often.update((words[i], found[i]) for i in again)
-        if len(recent) + len(missing) > RECENT:
-            recent.clear()
-        others = []
-        for i in missing:
-            if (ids := self._direct(words[i])) is None:
+        """Little-endian ids of words."""
+        found, others = [], []
+        for i, word in enumerate(words):
+            if (ids := self._direct(word)) is None:
                 others.append(i)
+                found.append(b"")
             else:
-                found[i] = array("I", ids).tobytes()
+                found.append(array("I", ids).tobytes())
         for i, ids in zip(others, self._library([words[i] for i in others])):
             found[i] = array("I", ids).tobytes()
-        recent.update((words[i], found[i]) for i in missing if len(words[i]) <= 64)
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -110,10 +153,7 @@ class TextEncoder:
             return np.array([i for r in rows for i in r], np.uint32), offsets
         words, places = split_words(texts)
         coded = words.dictionary_encode()
-        values = self._ids_of(coded.dictionary.to_pylist())
-        pool = np.frombuffer(b"".join(values), np.uint32)
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) >> 2
-        firsts = np.cumsum(sizes) - sizes
+        pool, firsts, sizes = self.words.ids_of(coded.dictionary, self._ids_of)
         index = coded.indices.to_numpy()
         lengths = sizes[index]
         ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
@@ -131,10 +171,13 @@ class TextEncoder:
         return closed, offsets
 
 
-def id_lists(encoder: TextEncoder, texts: pa.Array, end_id: int) -> pa.ChunkedArray:
-    """Lists of ids, a chunk for each slice of the texts."""
-    chunks = []
-    for start, stop in slices(texts, SLICE_BYTES):
-        flat, offsets = encoder.encode_with_end(texts.slice(start, stop - start), end_id)
-        chunks.append(list_array(offsets, pa.array(flat.view(np.int32))))
-    return pa.chunked_array(chunks, pa.list_(pa.int32()))
+_encoders: dict[bytes, TextEncoder] = {}
+
+
+def worker_encoder(tokenizer: bytes) -> TextEncoder:
+    """The encoder of this Python worker, which goes on from task to task with what it remembers."""
+    key = hashlib.blake2b(tokenizer).digest()
+    if key not in _encoders:
+        _encoders.clear()  # one tokenizer at a time
+        _encoders[key] = TextEncoder(tokenizer)
+    return _encoders[key]
