@@ -124,7 +124,7 @@ def test_any_text_comes_back(spark, with_bytes, encoder, decoder):
 
 
 @given(texts=st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=30), min_size=1, max_size=20))
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=4, deadline=None)
 def test_generated_texts_come_back(spark, with_bytes, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
     rows = encode(df, with_bytes).select("i", "input_ids")
