@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.words import plain_texts
+from quillspark.llm.words import giving_back, plain_texts
 
 #: Bytes of one trie; beyond it subtrees are spilled until half of it is left.
 TRIE_BYTES = 48 << 20
@@ -308,7 +308,7 @@ def text_owners(docs: DataFrame, largest: bool = False, limit: int = TRIE_BYTES)
                 for text, owner in zip(texts, batch.column(0).to_pylist()):
                     yield text, hashlib.sha256(text).digest(), owner, 1
 
-        yield from _batches(_partial_owners(rows(), largest, limit), True)
+        yield from giving_back(_batches(_partial_owners(rows(), largest, limit), True))
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[Row]:
@@ -316,7 +316,7 @@ def text_owners(docs: DataFrame, largest: bool = False, limit: int = TRIE_BYTES)
                 columns = (batch.column(n).to_pylist() for n in ("text", "text_sha256", "keep_id", "group_size"))
                 yield from zip(*columns)
 
-        yield from _batches(owners(rows(), largest, limit), False)
+        yield from giving_back(_batches(owners(rows(), largest, limit), False))
 
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
     local = rows.mapInArrow(partial, ROW)

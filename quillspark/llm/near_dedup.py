@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quillspark.llm.components import connected_components
 from quillspark.llm.words import (
     SMALL_SLICE,
+    giving_back,
     mix,
     plain_texts,
     slices,
@@ -142,7 +143,7 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
     """Per row: size of its shingle set, 128 bits that stand for the set, and its registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in giving_back(batches):
             for start, stop in slices(batch.column(1), SMALL_SLICE):
                 texts = batch.column(1).slice(start, stop - start)
                 sets = distinct_sets(*shingle_hashes(texts, width))
@@ -186,7 +187,7 @@ def set_rows(docs: DataFrame, width: int) -> DataFrame:
     """Rows (id, items): sorted distinct shingle hashes of documents that have any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in giving_back(batches):
             for start, stop in slices(batch.column(1), SMALL_SLICE):
                 texts = batch.column(1).slice(start, stop - start)
                 sets = distinct_sets(*shingle_hashes(texts, width))

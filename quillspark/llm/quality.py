@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.words import SMALL_SLICE, plain_texts, slices
+from quillspark.llm.words import SMALL_SLICE, giving_back, plain_texts, slices
 
 # Fixed values of the base check.
 MIN_WORDS, MAX_REPEATED_PERCENT = 10, 20
@@ -116,7 +116,7 @@ def measures(text: Column) -> Column:
 
     @F.arrow_udf(_MEASURED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in giving_back(batches):
             parts = [_measure(texts.slice(a, b - a)) for a, b in slices(texts, SMALL_SLICE)]
             empty = pa.array([], pa.struct([(m, pa.int64()) for m in MEASURES]))
             yield pa.concat_arrays(parts) if parts else empty

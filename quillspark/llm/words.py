@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,21 @@ SLICE_BYTES = 4 << 20
 SMALL_SLICE = 1 << 20
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)
+
+
+def giving_back(items: Iterator) -> Iterator:
+    """The items; when they are through, unused memory goes back to the system.
+
+    Python workers live on, and the stages that follow share their executor's memory with them.
+    """
+    try:
+        yield from items
+    finally:
+        pa.default_memory_pool().release_unused()
+        _trim(0)
+
+
 def plain_texts(texts: pa.Array) -> pa.Array:
     """The strings with null as empty."""
     return pc.fill_null(texts, "")
