@@ -248,6 +248,11 @@ def _vocabulary(
     return _VOCABULARIES[key]
 
 
+def whole_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """All tokens of the documents, stored for the queries that read it."""
+    return _vocabulary(spark, folder, None).select("token", "id")
+
+
 def _encoded(
     spark: SparkSession,
     folder: str,
