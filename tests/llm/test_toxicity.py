@@ -1,8 +1,20 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from quillspark.llm.queries import LLM_QUERIES
-from quillspark.llm.toxicity import Lexicon, fold, learn_lexicon, matches, score_toxicity, weigh
+from quillspark.llm.toxicity import (
+    Lexicon,
+    StoredLexicon,
+    around,
+    beginnings,
+    fold,
+    learn_lexicon,
+    matches,
+    score_toxicity,
+    weigh,
+)
 
 #: Large enough that its labels show every language's words.
 FOLDER = "/root/testdata/sf0.1"
@@ -66,6 +78,101 @@ def test_lexicon_from_labels(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def brute_lexicon(rows, least, precision):
+    """Gains of terms and the exceptions, by sets and loops."""
+    texts = [(fold(text or "").split(), label) for text, label in rows if label in (0, 1)]
+    toxic, clear = (sum(label == kind for _, label in texts) for kind in (1, 0))
+    held = {}
+    for words, label in texts:
+        for term in beginnings(set(words)):
+            held.setdefault(term, [0, 0])[label] += 1
+    gains = {}
+    for term, (other, hits) in held.items():
+        gain = math.log((hits + 0.5) / (toxic + 1)) - math.log((other + 0.5) / (clear + 1))
+        if hits >= least and hits >= precision * (hits + other) and gain > 0:
+            gains[term] = gain
+    gains = {t: g for t, g in gains.items() if not any(t[:n] in gains for n in range(4, len(t)))}
+    phrases = {}
+    for words, label in texts:
+        pairs = zip(words, words[1:])
+        for phrase in {f"{a} {b}" for a, b in pairs if begun(a, gains) or begun(b, gains)}:
+            phrases.setdefault(phrase, [0, 0])[label] += 1
+    share = max(toxic / (toxic + clear), 0.1)
+    return gains, {p for p, (c, t) in phrases.items() if c >= 3 and t <= share * (c + t)}
+
+
+def begun(word, gains):
+    return next((t for t in gains if (word + " ").startswith(t)), None)
+
+
+def brute_score(text, gains, exceptions, lexicon):
+    folded = fold(text or "")
+    words = folded.split()
+    weight = 0.0
+    for i, word in enumerate(words):
+        near = {" ".join(words[max(i - 1, 0) : i + 1]), " ".join(words[i : i + 2])}
+        if not near & exceptions and (term := begun(word, gains)):
+            weight += gains[term]
+    x, y = math.log1p(weight), math.log1p(1000 * weight / (len(folded) + 200))
+    return 1 / (1 + math.exp(-(lexicon.bias + lexicon.slopes[0] * x + lexicon.slopes[1] * y)))
+
+
+HARD = [
+    ("You gr0bl1ns grobling", None),
+    ("pond slime, vile slime pond slime slime", 1),
+    ("slime", 1),
+    ("zog", 1),
+    ("ZOG zogal", 1),
+    ("zog zog", 1),
+    ("a zog", 1),
+    ("zogal", 0),
+    ("", 1),
+    (None, 0),
+    ("w" * 200 + " slime " + "x" * 200, 0),
+    ("plain words " * 5000 + "slime", 0),
+]
+
+
+@pytest.mark.parametrize("shipped", [1_000_000, 30, 10, 0])
+def test_learnt_lexicon_and_scores_by_brute_force(spark, shipped):
+    """Shipped whole, exceptions in tables, terms cut short, and every word a candidate."""
+    rows = [(r.text, r.label) for r in labelled(spark).collect()] + HARD * 2
+    df = spark.createDataFrame(rows, "text string, label int").repartition(5)
+    lexicon = learn_lexicon(df, precision=0.4, shipped=shipped)
+    gains, exceptions = brute_lexicon(rows, 4, 0.4)
+    assert exceptions and len(gains) > 2
+    if shipped == 1_000_000:
+        got, phrases = lexicon.weights, set(lexicon.exceptions)
+    else:
+        assert isinstance(lexicon, StoredLexicon)
+        assert sum(map(len, lexicon.coarse.weights)) <= shipped
+        got = {r.term: r.gain for r in lexicon.terms.collect()}
+        phrases = {r.term for r in lexicon.exceptions.collect()}
+    assert got == pytest.approx(gains) and phrases == exceptions
+    texts = [t for t, _ in HARD] + ["the river slime", "river slime vile", "pond slime", "you groblins now"]
+    docs = spark.createDataFrame(
+        [(None if i % 5 == 0 else i // 2, t, i) for i, t in enumerate(texts)],
+        "doc_id bigint, text string, _row int",
+    )
+    docs = docs.withColumns({c: F.lit("mine") for c in ("weight", "word", "term", "n", "_evidence", "SCORE")})
+    scored = score_toxicity(docs, lexicon)
+    assert set(scored.columns) == {*docs.columns, "score", "predicted"} - {"SCORE"}
+    out = {r["_row"]: r for r in scored.collect()}
+    assert len(out) == len(texts)
+    for place, text in enumerate(texts):
+        want = brute_score(text, gains, exceptions, lexicon)
+        assert out[place].score == pytest.approx(want, abs=1e-9)
+        assert out[place].predicted == int(want >= 0.7) and out[place].weight == "mine"
+    assert score_toxicity(docs.limit(0), lexicon).count() == 0
+
+
+def test_words_around():
+    folded = fold("one two three")
+    assert around(folded, 1) == ("", "one", "two")
+    assert around(folded, 5) == ("one", "two", "three")
+    assert around(folded, 9) == ("two", "three", "")
+
+
 def test_rare_terms_of_a_large_table(spark):
     """Four of 2,000 toxic documents are enough for a precise term; no longer beginning is one."""
     rows = [("plain words here grobling", 1)] * 1996 + [("plain words here zarkians", 1)] * 4
