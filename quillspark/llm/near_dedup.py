@@ -25,19 +25,20 @@ from quillspark.llm.words import (
 )
 from quillspark.session import store
 
-#: Two sets of similarity s share a band with probability 1 - (1 - s ** ROWS) ** BANDS: at 0.8
-#: fewer than one pair in ten million shares none.
-BANDS, ROWS = 32, 4
-REGISTERS = BANDS * ROWS
+#: Registers of a set, and chance that a pair at the threshold shares no band of them (see band_rows).
+REGISTERS, LOST = 128, 1e-7
 #: A register: leading zeros of the least hash in 6 bits, and the MANTISSA bits after its first one.
 MANTISSA = 10
 #: Rounds of fresh partners before the rest is compared in full, and rows of one such comparison.
 ROUNDS, BLOCK_ROWS = 2, 2000
-#: Standard deviations of the estimate that a pair may lie below the threshold before it is
-#: left unconfirmed.
-MARGIN = 4.5
+#: Standard deviations of the estimate that a pair may lie below the threshold before it is left
+#: unconfirmed. Of sets smaller than REGISTERS the estimate deviates up to 1.3 times as much.
+MARGIN = 8
 
-_SEEDS = mix(np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEED = np.uint64(0x9E3779B97F4A7C15)
+_EMPTY = np.iinfo(np.uint64).max
+#: For each bucket, all buckets in an order of its own.
+_ORDER = mix(np.arange(1, REGISTERS**2 + 1, dtype=np.uint64) * _SEED).reshape(REGISTERS, -1).argsort(axis=1)
 
 
 def shingle_hashes(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,25 +78,30 @@ def distinct_sets(hashes: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 def registers(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """HyperMinHash registers of non-empty sets, REGISTERS numbers of 16 bits for each.
 
-    Register j holds the least value of the j-th permutation, shortened to its number of leading
-    zeros and the mantissa bits that follow its first one.
+    The low bits of an item's one hash choose its bucket. The bucket keeps the least hash, shortened
+    to its number of leading zeros and the mantissa bits that follow its first one. A bucket that no
+    item falls into takes the register of the first filled one in an order of its own, so that
+    those of small sets agree as often as the sets do.
     """
     rows = len(offsets) - 1
-    out = np.empty((rows, REGISTERS), np.uint16)
-    if not rows:
-        return out
-    step = 1 << 15  # hashes that stay in cache
-    start = 0
-    while start < rows:
-        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + step, "right")) - 1)
-        part = hashes[offsets[start] : offsets[stop]]
-        heads = offsets[start:stop] - offsets[start]
-        least = np.empty((stop - start, REGISTERS), np.uint64)
-        for j in range(REGISTERS):
-            values = (part ^ _SEEDS[j]) * (_SEEDS[REGISTERS + j] | np.uint64(1))
-            least[:, j] = np.minimum.reduceat(values, heads)
-        out[start:stop] = compress(least)
-        start = stop
+    keyed = mix(hashes ^ _SEED)
+    slots = np.repeat(np.arange(rows) * REGISTERS, np.diff(offsets))
+    slots += (keyed % np.uint64(REGISTERS)).astype(np.int64)
+    least = np.full(rows * REGISTERS, _EMPTY)
+    np.minimum.at(least, slots, keyed)
+    filled = np.zeros(rows * REGISTERS, bool)
+    filled[slots] = True
+    least, filled = least.reshape(rows, REGISTERS), filled.reshape(rows, REGISTERS)
+    out = compress(least)
+    own = out.copy()
+    row, bucket = np.nonzero(~filled)
+    for step in range(REGISTERS):
+        if not len(row):
+            break
+        other = _ORDER[bucket, step]
+        hit = filled[row, other]
+        out[row[hit], bucket[hit]] = own[row[hit], other[hit]]
+        row, bucket = row[~hit], bucket[~hit]
     return out
 
 
@@ -128,8 +134,11 @@ def collision_rate(left: int, right: int) -> float:
 
 
 def estimate(same: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Similarity from the number of equal registers, corrected for chance agreement."""
-    logs = np.log2(np.stack([np.maximum(left, 1), np.maximum(right, 1)])).round().astype(int)
+    """Similarity of sets of ``left`` and ``right`` items from the number of equal registers.
+
+    It is corrected for chance agreement of buckets with as many items.
+    """
+    logs = np.log2(np.maximum(np.stack([left, right]) / REGISTERS, 1)).round().astype(int)
     chance = np.array([collision_rate(a, b) for a, b in logs.T.tolist()])
     return np.clip((same / REGISTERS - chance) / (1 - chance), 0, 1)
 
@@ -156,7 +165,7 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
                 if len(filled):
                     heads = offsets[filled]
                     low[filled] = np.add.reduceat(flat, heads)
-                    high[filled] = np.add.reduceat(mix(flat ^ _SEEDS[0]), heads)
+                    high[filled] = np.add.reduceat(mix(flat ^ _SEED), heads)
                     signed = registers(flat, np.append(heads, offsets[-1]))
                 packed: list[bytes | None] = [None] * len(sizes)
                 for row, place in enumerate(filled.tolist()):
@@ -175,10 +184,20 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, _SIGNED)
 
 
-def bands(signed: DataFrame) -> DataFrame:
+def band_rows(percent: int) -> int:
+    """Registers of a band: the most that let fewer than LOST of the pairs at the threshold share none."""
+    share = percent / 100
+    sizes = [r for r in (16, 8, 4, 2) if (1 - share**r) ** (REGISTERS // r) < LOST]
+    return sizes[0] if sizes else 1
+
+
+def bands(signed: DataFrame, rows: int) -> DataFrame:
     """Rows (band, id) for sets (id, registers); ``band`` hashes the band's number and content."""
     parts = F.array(
-        *[F.xxhash64(F.lit(b), F.substring("registers", 1 + 2 * ROWS * b, 2 * ROWS)) for b in range(BANDS)]
+        *[
+            F.xxhash64(F.lit(b), F.substring("registers", 1 + 2 * rows * b, 2 * rows))
+            for b in range(REGISTERS // rows)
+        ]
     )
     return signed.select(F.explode(parts).alias("band"), "id")
 
@@ -363,7 +382,7 @@ def near_duplicate_links(signed: DataFrame, docs: DataFrame, width: int, percent
     late_links). So no pair that shares a band is left out, but pairs within a component are
     never formed.
     """
-    everything = bands(signed)
+    everything = bands(signed, band_rows(percent))
     buckets = everything.groupBy("band").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size"))
     shared = store(everything.join(buckets.where("size > 1"), "band"), "buckets")
     wanted = store(shared.select("id").distinct(), "bucket-ids")

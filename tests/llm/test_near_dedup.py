@@ -2,12 +2,15 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quillspark.llm import near_dedup
 from quillspark.llm.components import connected_components
 from quillspark.llm.near_dedup import (
+    REGISTERS,
+    band_rows,
     collision_rate,
     compress,
     estimate,
@@ -108,6 +111,53 @@ def test_registers_estimate_similarity():
     assert max(errors) < 0.16 and np.mean(errors) < 0.05
 
 
+def test_registers_by_brute_force():
+    """One hash an item, one bucket a hash; small sets borrow."""
+    rng = np.random.default_rng(4)
+    sets = [rng.integers(0, 2**63, n, dtype=np.uint64) for n in (1, 3, 90, 2000, 1)]
+    table = registers(np.concatenate(sets), np.cumsum([0] + [len(x) for x in sets]))
+    for items, got in zip(sets, table):
+        kept = {}
+        for h in near_dedup.mix(items ^ near_dedup._SEED).tolist():
+            kept[h % REGISTERS] = min(h, kept.get(h % REGISTERS, h))
+        for bucket in range(REGISTERS):
+            owner = next(o for o in [bucket, *near_dedup._ORDER[bucket].tolist()] if o in kept)
+            assert got[bucket] == compress(np.array([kept[owner]], np.uint64))[0]
+    assert registers(np.empty(0, np.uint64), np.zeros(1, np.int64)).shape == (0, REGISTERS)
+
+
+@pytest.mark.parametrize("percent, size", [(100, 16), (95, 8), (80, 4), (50, 2), (30, 1), (10, 1)])
+def test_bands_follow_the_threshold(percent, size):
+    assert band_rows(percent) == size
+
+
+@pytest.mark.parametrize("percent", [30, 50, 80])
+@pytest.mark.parametrize("size", [5, 40, 600])
+def test_pairs_at_the_threshold_share_a_band_and_are_plausible(spark, percent, size):
+    """300 pairs at or just above the threshold: none is lost."""
+    rng = np.random.default_rng(size + percent)
+    shared = -(-size * percent // 100)
+    pairs = [rng.integers(0, 2**63, size, dtype=np.uint64) for _ in range(300)]
+    sets = [x for items in pairs for x in (items, items[:shared])]
+    table = registers(np.concatenate(sets), np.cumsum([0] + [len(x) for x in sets]))
+    rows = band_rows(percent)
+    same = (table[0::2] == table[1::2]).reshape(300, REGISTERS // rows, rows).all(2).any(1)
+    assert same.all()
+    data = {"id": range(600), "n": [len(x) for x in sets], "registers": [x.tobytes() for x in table]}
+    signed = spark.createDataFrame(pa.table(data))
+    links = spark.range(300).selectExpr("2 * id as a", "2 * id + 1 as b")
+    assert near_dedup.plausible(links, signed, percent).count() == 300
+
+
+@pytest.mark.parametrize("percent", [30, 50, 95])
+def test_other_thresholds_equal_brute_force(documents, percent):
+    rng = random.Random(percent)
+    texts = family(rng, 20, 80, (100 - percent) / 400) + family(rng, 10, 12, 0.05)
+    rows = list(enumerate(texts))
+    got = near_duplicates(documents(*rows), 2, percent).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 2, percent)
+
+
 def test_register_layout():
     values = np.array([2**64 - 1, 2**63, 2**62 + 2**61, 1, 0, 2**53 + 1, 2**54 - 1], np.uint64)
     zeros, rest = compress(values) >> 10, compress(values) & 1023
