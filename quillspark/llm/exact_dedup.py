@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.words import giving_back, plain_texts
+from quillspark.llm.words import giving_back, plain_texts, slices
 
 #: Bytes of one trie; beyond it subtrees are spilled until half of it is left.
 TRIE_BYTES = 48 << 20
@@ -380,10 +380,14 @@ def _row_key(text: Column, doc_id: Column) -> Column:
     """A row's id, length and digest as one text; a null id is an empty one."""
 
     @F.arrow_udf("string")
-    def digest(texts: pa.Array) -> pa.Array:
-        plain = normalised(texts)
-        sizes = pc.binary_length(plain).to_pylist()
-        return pa.array([f"{n}:{d.hex()}" for n, d in zip(sizes, _digests(plain))], pa.string())
+    def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in giving_back(batches):
+            keys: list[str] = []
+            for start, stop in slices(texts):
+                plain = normalised(texts.slice(start, stop - start))
+                sizes = pc.binary_length(plain).to_pylist()
+                keys += [f"{n}:{d.hex()}" for n, d in zip(sizes, _digests(plain))]
+            yield pa.array(keys, pa.string())
 
     return _joined_key(doc_id, digest(text))
 
