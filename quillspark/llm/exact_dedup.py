@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.words import giving_back, plain_texts, slices
+from quillspark.llm.words import giving_back, parts, plain_texts, slices
 
 #: Bytes of one trie; beyond it subtrees are spilled until half of it is left.
 TRIE_BYTES = 48 << 20
@@ -303,18 +303,18 @@ def text_owners(docs: DataFrame, largest: bool = False, limit: int = TRIE_BYTES)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[Row]:
-            for batch in batches:
-                texts = normalised(batch.column(1)).cast(pa.binary()).to_pylist()
-                for text, owner in zip(texts, batch.column(0).to_pylist()):
+            for part in parts(batches, "text"):
+                texts = normalised(part.column(1)).cast(pa.binary()).to_pylist()
+                for text, owner in zip(texts, part.column(0).to_pylist()):
                     yield text, hashlib.sha256(text).digest(), owner, 1
 
         yield from giving_back(_batches(_partial_owners(rows(), largest, limit), True))
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[Row]:
-            for batch in batches:
-                columns = (batch.column(n).to_pylist() for n in ("text", "text_sha256", "keep_id", "group_size"))
-                yield from zip(*columns)
+            names = ("text", "text_sha256", "keep_id", "group_size")
+            for part in parts(batches, "text"):
+                yield from zip(*(part.column(n).to_pylist() for n in names))
 
         yield from giving_back(_batches(owners(rows(), largest, limit), False))
 
@@ -351,11 +351,11 @@ def duplicate_classes(docs: DataFrame, largest: bool = False) -> DataFrame:
     """
 
     def digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = normalised(batch.column(1))
+        for part in giving_back(parts(batches, "text")):
+            texts = normalised(part.column(1))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    part.column(0),
                     pa.array(_digests(texts), pa.binary()),
                     pc.cast(pc.binary_length(texts), pa.int64()),
                 ],

@@ -52,6 +52,14 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         start = stop
 
 
+def parts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The batches cut into pieces of about SLICE_BYTES of text in ``column``, without a copy."""
+    for batch in batches:
+        texts = batch.column(column)
+        for start, stop in slices(texts):
+            yield batch.slice(start, stop - start)
+
+
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts in order and, for n texts, their n + 1 offsets."""
     lists = pc.ascii_split_whitespace(plain_texts(texts))
