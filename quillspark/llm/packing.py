@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.tokenize import worker_encoder
-from quillspark.llm.words import list_array, slices
+from quillspark.llm.words import giving_back, list_array, slices
 from quillspark.session import store
 
 CAPACITY = 2048
@@ -49,7 +49,7 @@ def cut_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(shared.value)
-        for batch in batches:
+        for batch in giving_back(batches, each=True):
             texts, owners = batch.column(1), batch.column(0)
             for first, stop in slices(texts):
                 flat, offsets = encoder.encode_with_end(texts.slice(first, stop - first), end_id)

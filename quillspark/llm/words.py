@@ -22,16 +22,24 @@ SMALL_SLICE = 1 << 20
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: 0)
 
 
-def giving_back(items: Iterator) -> Iterator:
-    """The items; when they are through, unused memory goes back to the system.
+def giving_back(items: Iterator, each: bool = False) -> Iterator:
+    """The items; when they are through, unused memory goes back to the system, with ``each``
+    also after every item.
 
     Python workers live on, and the stages that follow share their executor's memory with them.
     """
     try:
-        yield from items
+        for item in items:
+            yield item
+            if each:
+                _give_back()
     finally:
-        pa.default_memory_pool().release_unused()
-        _trim(0)
+        _give_back()
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    _trim(0)
 
 
 def plain_texts(texts: pa.Array) -> pa.Array:
