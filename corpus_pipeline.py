@@ -8,34 +8,43 @@ from quillspark.llm import exact_dedup, mixing, near_dedup, packing, quality
 from quillspark.llm.queries import tokenizer_file
 from quillspark.session import ship_package, store
 
+#: Texts that a task hands to its Python worker at once. Executors hold them twice, in the JVM and
+#: in Python, for each of their cores; without it Spark allows 64 MB.
+BATCH_BYTES = "8m"
+
+
+def _prepare(spark: SparkSession) -> None:
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules accept."""
-    ship_package(spark)
+    _prepare(spark)
     return quality.keep_good(docs)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the smallest id."""
-    ship_package(spark)
+    _prepare(spark)
     return exact_dedup.drop_duplicates(docs)
 
 
 def dissimilar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates (five words, similarity 0.8), the document with the smallest id."""
-    ship_package(spark)
+    _prepare(spark)
     return near_dedup.keep_representatives(docs)
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    ship_package(spark)
+    _prepare(spark)
     return mixing.repeat_documents(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document goes in sequences of 2048 tokens."""
-    ship_package(spark)
+    _prepare(spark)
     return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"), end_id=0)
 
 
