@@ -161,3 +161,27 @@ def test_without_all_bytes_words_are_unknown(spark, base):
 
 def test_word_pattern_is_unchanged():
     assert word_pattern(["<a>"]).endswith("<a>|<") and F.lit is not None
+
+
+def test_words_and_tokens_in_one_pass(spark, texts):
+    from quillspark.functions.tokens import word_pattern, words
+    from quillspark.operators.scanner import registered_words, split_registered
+
+    tokens = ["e", "the", "on the", "\n", "é", "<|eot_id|>", "a\n"]
+    odd = ["", None, "the one on the <|eot_id|> a\n\n\n<e é\t😀e", "e", "x", " \n<", "on th"]
+    df = texts(*odd)
+    pieces = split_registered(spark, tokens)(F.col("text"))
+    want = F.flatten(F.transform(pieces, lambda s: F.when(s["token"], F.array(s["text"])).otherwise(words(s["text"]))))
+    got = registered_words(spark, tokens, word_pattern())(F.col("text"))
+    rows = df.select(want.alias("want"), got.alias("got")).collect()
+    assert len(rows) == len(odd) and all(r.want == r.got for r in rows)
+
+
+def test_registered_words_do_not_pass_the_scanner_as_pieces(spark, texts):
+    from quillspark.operators import encode as E
+    from quillspark.operators.vocabulary import add_tokens, build_vocabulary
+
+    df = texts("the one")
+    vocab = add_tokens(build_vocabulary(df, 10), ["e"]).persist()
+    plan = E.encode(df, vocab)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
