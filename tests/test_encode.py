@@ -184,3 +184,31 @@ def test_plugin(spark, corpus):
     assert table(E.encode_with(nulls, factory, 5)) == {1: (None, None), 2: ([3], [1])}
     with pytest.raises(Exception, match="rows for"):
         E.encode_with(data, lambda: lambda texts: [[1]] * (len(texts) + 1)).collect()
+
+
+@pytest.mark.parametrize("block", [1, 200, 10**6])
+def test_a_word_is_joined_once_for_a_block(spark, corpus, full_vocab, monkeypatch, block):
+    monkeypatch.setattr(E, "BLOCK_BYTES", block)
+    small = store(full_vocab.where(F.col("id") < 30), "vocabulary")
+    joined, seen = E.encode_by_join(corpus.coalesce(1), small, keep=["id"]), []
+    assert joined.columns == ["id", "input_ids", "attention_mask"]
+    assert table(joined) == table(E.encode(corpus, small))
+    monkeypatch.setattr(E, "store", lambda df, name: seen.append(store(df, name)) or seen[-1])
+    encoded = E.encode(corpus, full_vocab).select("id", "text", "input_ids")
+    decoded = E.decode_by_join(encoded.coalesce(1).withColumnRenamed("text", "want"), full_vocab)
+    assert all(r.text == r.want for r in decoded.collect()) and decoded.count() == 203
+    listed = seen[0].where("_items is not null").select(F.explode("_items"))
+    distinct = encoded.select(F.explode("input_ids")).distinct().count()
+    if block == 10**6:  # one block: each id once, whatever its occurrences
+        assert listed.count() == distinct
+    if block == 1:
+        assert seen[0].select("_block").distinct().count() == 203
+
+
+def test_null_ids_and_odd_columns_by_join(spark, full_vocab):
+    rows = [(1, [1, None, 99999], {"a": 1}), (None, None, None), (1, [], {}), (1, [1, None, 99999], {"a": 1})]
+    df = spark.createDataFrame(rows, "id int, input_ids array<int>, extra map<string, int>")
+    first = template_tokens()[1] + UNKNOWN * 2
+    got = E.decode_by_join(df, full_vocab).collect()
+    assert sorted(got, key=repr) == sorted(E.decode(df, full_vocab).collect(), key=repr)
+    assert sorted((r.text for r in got), key=repr) == sorted([first, None, "", first], key=repr)
