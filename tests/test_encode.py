@@ -212,3 +212,15 @@ def test_null_ids_and_odd_columns_by_join(spark, full_vocab):
     got = E.decode_by_join(df, full_vocab).collect()
     assert sorted(got, key=repr) == sorted(E.decode(df, full_vocab).collect(), key=repr)
     assert sorted((r.text for r in got), key=repr) == sorted([first, None, "", first], key=repr)
+
+
+def test_conversion_goes_by_slices(spark, corpus, full_vocab, monkeypatch):
+    import pyarrow as pa
+
+    sizes = []
+    lists = pa.array([[1, 2], None, [], list(range(500)), [3]], pa.list_(pa.int32()))
+    monkeypatch.setattr(E, "SLICE_BYTES", 40)
+    whole = E._in_slices(lists, lambda part: sizes.append(len(part.flatten())) or part)
+    assert whole.equals(lists) and sizes == [2, 500, 1]
+    assert E._in_slices(lists[:0], lambda part: part).equals(lists[:0])
+    assert E._in_slices(lists[2:], lambda part: part).equals(lists[2:])
