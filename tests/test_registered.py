@@ -1,12 +1,14 @@
 import random
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillspark.functions.tokens import SPECIAL_TOKENS, word_pattern
-from quillspark.operators.encode import decode, decode_by_join, encode, encode_by_join
+from quillspark.operators.encode import decode, decode_by_join, encode, encode_by_join, numbers_text
 from quillspark.operators.scanner import TokenScanner
 from quillspark.operators.vocabulary import (
     LookupLimit,
@@ -185,3 +187,48 @@ def test_registered_words_do_not_pass_the_scanner_as_pieces(spark, texts):
     vocab = add_tokens(build_vocabulary(df, 10), ["e"]).persist()
     plan = E.encode(df, vocab)._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all" not in plan
+
+
+@given(st.lists(st.one_of(st.none(), st.text("ab é", max_size=9)), max_size=12), st.integers(1, 30))
+@settings(max_examples=100, deadline=None)
+def test_rows_are_taken_a_few_bytes_at_a_time(texts, size):
+    from quillspark.operators.scanner import _row_cuts
+
+    sizes = [len((t or "").encode()) for t in texts]
+    array = pa.array([None, "before", *texts], pa.string())[2:]
+    cuts = list(_row_cuts(array, size))
+    assert [i for a, b in cuts for i in range(a, b)] == list(range(len(texts)))
+    assert all(a < b and (b == a + 1 or sum(sizes[a:b]) <= size) for a, b in cuts)
+
+
+def test_a_task_holds_the_words_of_a_few_rows_and_not_of_a_batch(spark):
+    from quillspark.operators.scanner import WORDS_BYTES, registered_words
+
+    words = []
+
+    def sizes(lists):
+        words.append(len(lists.flatten()))
+        return pc.list_value_length(lists)
+
+    scan = registered_words(spark, ["e", "th"], word_pattern(), "<s>", 5, sizes, "int").func
+    batch = pa.array([None, *["the one two"] * 300_000, ""], pa.string())
+    given_back = [len(part) for part in scan(iter([batch, batch[:0], batch[:2]]))]
+    assert sum(given_back) == len(batch) + 2 and max(given_back) <= WORDS_BYTES / len("the one two") + 3
+    assert max(words) <= 5 * max(given_back)  # cut before they are looked up
+
+
+def test_words_do_not_leave_the_worker_between_scan_and_lookup(spark, base):
+    vocab = store(add_tokens(base, ["e"]), "vocabulary")
+    df = spark.createDataFrame([(1, "the one")], "doc_id bigint, text string")
+    plan = encode(df, vocab, 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1
+
+
+def test_numbers_are_written_a_few_rows_at_a_time():
+    ids = pa.array([[1, 20, 3] * 1000, None, []] * 2000, pa.list_(pa.int32()))
+    mask = pa.array([[1, 1, 1] * 1000, None, []] * 2000, pa.list_(pa.int32()))
+    parts = list(numbers_text("ids", "mask").func(iter([(ids, mask), (ids[:0], mask[:0])])))
+    assert max(len(p) for p in parts) < 1100
+    for name, lists in (("ids", ids), ("mask", mask)):
+        got = [row[name] for part in parts for row in part.to_pylist()]
+        assert got == [None if r is None else " ".join(map(str, r)) for r in lists.to_pylist()]
