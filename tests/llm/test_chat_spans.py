@@ -1,3 +1,4 @@
+import dataclasses
 import types
 import hashlib
 import random
@@ -5,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quillspark.llm import chat_spans
 from quillspark.llm.chat_spans import (
     CONTROL,
     MARKED,
@@ -155,3 +157,56 @@ def test_a_text_that_cannot_be_read_back_stops_the_job(spark):
     formatted = format_turns(turns, Template(stripped, str, None))
     with pytest.raises(Exception, match="does not stand in its piece"):
         conversation_digests(formatted, str).collect()
+
+
+def latest(messages):
+    return "".join(f"<{'late' if i > 100 else 'early'}>{t}</>" for i, (_, t) in enumerate(messages))
+
+
+def from_the_start(messages):
+    """Fails on anything but the beginning of a conversation."""
+    if messages[0][0] != "first":
+        raise ValueError("not a whole prefix")
+    return "".join(f"<{i}>{t}</>" for i, (_, t) in enumerate(messages))
+
+
+def recounting(messages):
+    """The end is written anew after each turn."""
+    return "".join(t for _, t in messages) + f"|{len(messages)}"
+
+
+def a_long_conversation(spark, n=150):
+    rows = [(1, t, "user" if t else "first", f"text {t}") for t in range(n)]
+    return spark.createDataFrame([*rows, (2, 0, "first", "alone")], TURNS)
+
+
+def test_a_lookback_is_checked_on_every_turn(spark):
+    """Also where it fails after a hundred turns only."""
+    with pytest.raises(Exception, match="depends on more than 1 messages"):
+        format_turns(a_long_conversation(spark), Template(by_value(latest), str, 1)).collect()
+
+
+def test_every_prefix_is_rendered_whole(spark):
+    template = dataclasses.replace(MARKED, render=by_value(from_the_start), encode=str)
+    got = format_turns(a_long_conversation(spark), template).where("conv_id = 1").orderBy("seq").collect()
+    assert "".join(r.piece for r in got) == "".join(f"<{t}>text {t}</>" for t in range(150))
+
+
+@pytest.mark.parametrize("render", [render_marked, latest, recounting])
+@pytest.mark.parametrize("chars", [1, 20_000, 10**9])
+def test_parts_of_a_long_conversation_give_the_pieces_of_the_whole(spark, monkeypatch, render, chars):
+    monkeypatch.setattr(chat_spans, "PART_CHARS", chars)
+    turns = a_long_conversation(spark, 90).repartition(3)
+    last = {r.conv_id: r.last for r in chat_spans._in_parts(turns).collect()}
+    assert last[2] == 0 and (last[1] == 0 if chars == 10**9 else 2 < last[1] <= chat_spans.MOST_PARTS)
+    template = Template(render if render is render_marked else by_value(render), escape)
+    got = format_turns(turns, template).where("conv_id = 1").orderBy("seq").collect()
+    text, earlier = "", []
+    for t, r in enumerate(got):
+        message = ("user" if t else "first", f"text {t}")
+        want = next_piece(Template(render, escape), earlier, message)
+        assert (r.seq, r.turn, r.role) == (t, t, message[0])
+        assert (r.piece, r.cut, r.text_start, r.text_length) == dataclasses.astuple(want)
+        earlier.append(message)
+        text = text[: len(text) - r.cut] + r.piece
+    assert len(got) == 90 and text == render(earlier)
