@@ -25,6 +25,10 @@ from quillspark.session import store
 CELL_ROWS = 50_000
 #: Times that what is left of a source's words is settled at most.
 SETTLING = 8
+#: Share of a source's words that may be left besides less than its shortest document.
+LEFT = 1e-3
+#: Sizes of which two are changed at once, where there are few and one more and one less won't do.
+PAIRED = 256
 
 
 def word_count(text: Column) -> Column:
@@ -198,7 +202,9 @@ def _rounded(cells: pd.DataFrame) -> pd.DataFrame:
     From long documents to short ones: each cell takes as many copies as bring the words taken so
     far nearest to the words that the rates ask for, so that shorter documents make up for what
     longer ones leave. What is left at the end is made up for by one copy more of one size, one
-    copy less of another, or both, a few times over. A source has a cell for each size.
+    copy less of another, or both, a few times over. Where more than the shortest document and a
+    thousandth of the words are still left, two sizes change against one. A source has a cell for
+    each size.
     """
     cells = cells.sort_values("size", ascending=False, kind="stable")
     sizes, counts = cells["size"].to_numpy(), cells["n"].to_numpy()
@@ -214,6 +220,10 @@ def _rounded(cells: pd.DataFrame) -> pd.DataFrame:
         owed, before = _settle(sizes, most, extras, owed), owed
         if owed == before:
             break
+    shortest = sizes[(parts > 1e-9) & (sizes > 0)].min(initial=np.iinfo(np.int64).max)
+    allowed = max(shortest, LEFT * float((cells["rate"] * sizes * counts).sum()))
+    if abs(owed) > allowed and len(sizes) <= PAIRED:
+        _settle_pairs(sizes, most, extras, owed)
     return cells.assign(extra=extras)
 
 
@@ -240,6 +250,33 @@ def _settle(sizes: np.ndarray, most: np.ndarray, extras: np.ndarray, owed: float
     return owed
 
 
+def _settle_pairs(sizes: np.ndarray, most: np.ndarray, extras: np.ndarray, owed: float) -> None:
+    """As _settle, by two copies (of one size or two) one way and at most one the other way."""
+    best, change = abs(owed), []
+    for step in (1, -1):
+        room = np.where(sizes > 0, most - extras if step > 0 else extras, 0)
+        back = np.where(sizes > 0, extras if step > 0 else most - extras, 0)
+        left, right = np.triu_indices(len(sizes))
+        fits = (room[left] > 0) & (room[right] > 0) & ((left != right) | (room[left] > 1))
+        left, right = left[fits], right[fits]
+        if not len(left):
+            continue
+        single = np.append(np.flatnonzero(back), -1)  # place -1 stands for no change
+        of = np.append(sizes, 0)
+        single = single[np.argsort(of[single], kind="stable")]
+        pairs = sizes[left] + sizes[right]
+        at = np.searchsorted(of[single], pairs - step * owed)
+        for near in (at - 1, at):
+            near = near.clip(0, len(single) - 1)
+            miss = np.abs(pairs - of[single[near]] - step * owed)
+            i = int(miss.argmin())
+            if miss[i] < best - 1e-9:
+                best, change = float(miss[i]), [(left[i], step), (right[i], step), (single[near[i]], -step)]
+    for place, step in change:
+        if place >= 0:
+            extras[place] += step
+
+
 def _part_quotas(rows: DataFrame, quotas: DataFrame) -> DataFrame:
     """Quotas (number, size, _part, n, rate, whole, quota) of all parts of all cells.
 

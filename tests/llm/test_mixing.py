@@ -1,6 +1,8 @@
+import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +141,38 @@ def test_own_weights(documents):
     rows = [(i, "w " * 50, "en", "ab"[i % 2]) for i in range(200)]
     got = mix_sources(documents(*rows), weights={"a": 3.0, "b": 1.0}).collect()
     assert {r.source: r.target for r in got} == {"a": 7500.0, "b": 2500.0}
+
+
+def test_two_documents_make_up_for_one():
+    """None out and no two swapped come near the words owed, but 1121 for 824 and 253 does."""
+    sizes = [36, 56, 246, 253, 824, 1121, 1128, 1256, 2060, 2072, 2121, 2172]
+    extras, most = np.array([1, 1, 1, 1, 1, 0, 1, 1, 0, 1, 1, 1]), np.ones(12, np.int64)
+    assert mixing._settle(np.array(sizes), most, extras.copy(), 46.8) == 46.8
+    mixing._settle_pairs(np.array(sizes), most, extras, 46.8)
+    assert extras.tolist() == [1, 1, 1, 0, 0, 1, 1, 1, 0, 1, 1, 1]
+
+
+def test_pairs_are_the_best_there_are():
+    rng = random.Random(4)
+    for _ in range(200):
+        sizes = rng.sample(range(60), rng.randrange(1, 7))
+        most = [rng.randrange(4) for _ in sizes]
+        extras = np.array([rng.randint(0, m) for m in most])
+        owed = rng.uniform(-90, 90)
+        best = abs(owed)
+        for step in (1, -1):
+            for a, b in itertools.combinations_with_replacement(range(len(sizes)), 2):
+                for c in [None, *range(len(sizes))]:
+                    new = extras.copy()
+                    for place, by in ((a, step), (b, step)):
+                        new[place] += by if sizes[place] else 99
+                    fits = (0 <= new).all() and (new <= most).all()
+                    if c is not None:
+                        fits = fits and sizes[c] and 0 <= extras[c] - step <= most[c]
+                        new[c] -= step
+                    if fits:
+                        best = min(best, abs(owed - sum((new - extras) * sizes)))
+        got = extras.copy()
+        mixing._settle_pairs(np.array(sizes), np.array(most), got, owed)
+        assert (0 <= got).all() and (got <= most).all()
+        assert abs(owed - sum((got - extras) * sizes)) == pytest.approx(best)
